@@ -157,17 +157,16 @@ def sanitize_cell(c: Column) -> Column:
 
 
 def strip_code_fence(c: Column, language: str = "markdown") -> Column:
-    return let(
-        F.regexp_replace(c, rf"^```{language}[{SPACE}]*", ""),
-        lambda x: let(
-            F.when(x == c, F.regexp_replace(x, rf"^```[{SPACE}]*", "")).otherwise(
-                F.regexp_replace(strip(x), rf"^```[{SPACE}]*", "")
-            ),
-            lambda y: F.when(
-                F.endswith(y, F.lit("```")), strip(F.regexp_replace(y, r"```\z", ""))
-            ).otherwise(F.when(c.startswith("```"), strip(y)).otherwise(y)),
-        ),
-    )
+    """Drop a leading fence (with or without the language) and a trailing one."""
+    opener = "```" + language
+
+    def without(x: Column, prefix: str) -> Column:
+        return F.when(x.startswith(prefix), strip(F.substr(x, F.lit(len(prefix) + 1)))).otherwise(x)
+
+    def close(x: Column) -> Column:
+        return F.when(x.endswith("```"), strip(F.substr(x, F.lit(1), F.length(x) - 3))).otherwise(x)
+
+    return let(without(c, opener), lambda x: let(without(x, "```"), close))
 
 
 def normalise_original_path(path: Column, root: str, prefix: str) -> Column:

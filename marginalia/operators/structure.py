@@ -20,6 +20,12 @@ def unfold(df: DataFrame, items: Column, *keep: str) -> DataFrame:
     return df.select(*keep, F.inline(items))
 
 
+def compute_once(df: DataFrame, value: Column, name: str, *keep: str) -> DataFrame:
+    """Add a costly value behind a generator, so that later filters and projections
+    read it instead of being rewritten into copies of its expression."""
+    return df.select(*keep, F.explode(F.array(value)).alias(name))
+
+
 def fold_rows(rows: Column, separator: str = "\n") -> Column:
     """Aggregate (position, text) structs back to one text in order."""
     ordered = F.array_sort(F.collect_list(rows))
@@ -296,8 +302,13 @@ def summary_toc_body(text: Column) -> Column:
     return let(lines(text), build)
 
 
-def links(text: Column) -> Column:
-    """Internal links and images with line number; an image is also found as a link."""
+def links(text: Column, images_once: bool = False) -> Column:
+    """Internal links and images with line number.
+
+    An image is also found as a link unless ``images_once``.
+    """
+    link = r"(?<!!)" + P.LINK if images_once else P.LINK
+
     def found(x: Column, i: Column, kind: str, pattern: str, external: str) -> Column:
         labels = F.regexp_extract_all(x, F.lit(pattern), F.lit(1))
         targets = F.regexp_extract_all(x, F.lit(pattern), F.lit(2))
@@ -307,7 +318,7 @@ def links(text: Column) -> Column:
         return F.filter(pairs, lambda p: ~p["target"].rlike(external))
 
     return F.flatten(F.transform(lines(text), lambda x, i: F.concat(
-        found(x, i, "link", P.LINK, "^(https?://|mailto:)"),
+        found(x, i, "link", link, "^(https?://|mailto:)"),
         found(x, i, "image", P.IMAGE, "^https?://"),
     )))
 
@@ -332,8 +343,15 @@ def topics(text: Column) -> Column:
 
 
 def target_business(text: Column) -> Column:
-    found = F.regexp_extract(F.get(summary_points(text), F.lit(0)), P.BUSINESS, 1)
-    return F.coalesce(F.nullif(found, F.lit("")), F.lit("不明"))
+    """The first clause of the first summary point that ends in a business word.
+
+    Clauses are tested one by one, from their start: the same answer as a
+    search at every position, in linear time.
+    """
+    clauses = F.split(F.get(summary_points(text), F.lit(0)), "[、。]", -1)
+    found = F.filter(clauses, lambda c: c.rlike("^" + P.BUSINESS))
+    return F.coalesce(
+        F.regexp_extract(F.get(found, F.lit(0)), "^" + P.BUSINESS, 1), F.lit("不明"))
 
 
 def parse_toc(toc: Column) -> Column:
