@@ -113,15 +113,16 @@ _pair_queries("list_similarity", lambda: M.list_similarity(heading_titles(F.col(
 
 def content_similarity_sql(rows: str, keep: str) -> str:
     """(keep, score) over ``rows(keep, a, b)``."""
-    def grams(x):
-        return (f"CASE WHEN length({x}) < 3 THEN [] ELSE list_distinct(list_transform(range(1, length({x}) - 1), "
-                f"lambda i: substr({x}, i, 3))) END")
+    def grams(c):
+        return (f"list_distinct(list_transform(list_slice(list_zip({c}, list_slice({c}, 2, len({c})), list_slice({c}, 3, len({c}))), 1, len({c}) - 2), "
+                f"lambda z: z[1] || z[2] || z[3]))")
     return f"""SELECT {keep}, CASE WHEN a = '' OR b = '' THEN 0.0 WHEN na = nb THEN 1.0 WHEN na = '' OR nb = '' THEN 0.0
         WHEN len(ga) = 0 OR len(gb) = 0 THEN {Q.jaccard('wa', 'wb')}
         ELSE {Q.jaccard('wa', 'wb')} * 0.4::DOUBLE + {Q.jaccard('ga', 'gb')} * 0.6::DOUBLE END AS score
       FROM (SELECT *, list_distinct(string_split(lower(na), ' ')) AS wa, list_distinct(string_split(lower(nb), ' ')) AS wb,
-          {grams('lower(na)')} AS ga, {grams('lower(nb)')} AS gb
-        FROM (SELECT *, {Q.normalize_content('a')} AS na, {Q.normalize_content('b')} AS nb FROM ({rows})))"""
+          {grams('ca')} AS ga, {grams('cb')} AS gb
+        FROM (SELECT *, string_split(lower(na), '') AS ca, string_split(lower(nb), '') AS cb
+          FROM (SELECT *, {Q.normalize_content('a')} AS na, {Q.normalize_content('b')} AS nb FROM ({rows}))))"""
 
 
 _pair_queries("content_similarity", lambda: M.content_similarity(F.col("before"), F.col("after")),

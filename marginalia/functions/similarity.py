@@ -23,27 +23,25 @@ def space_word_set(c: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: w != ""))
 
 
-def gram_set(c: Column, n: int = 3) -> Column:
-    """Distinct lowered character n-grams of normalised text."""
+def gram_set(c: Column) -> Column:
+    """Distinct lowered character 3-grams of normalised text, in linear time."""
     return let(
-        F.lower(normalize_content(c)),
-        lambda t: F.when(F.length(t) < n, F.array().cast("array<string>")).otherwise(
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1))),
-                    lambda i: F.substr(t, i, F.lit(n)),
-                )
-            )
+        F.split(F.lower(normalize_content(c)), "", -1),
+        lambda t: F.when(F.size(t) < 3, F.array().cast("array<string>")).otherwise(
+            F.array_distinct(F.transform(
+                F.slice(t, F.lit(3), F.greatest(F.size(t) - 2, F.lit(0))),
+                lambda x, i: F.concat(F.get(t, i), F.get(t, i + 1), x),
+            ))
         ),
     )
 
 
 def jaccard(a: Column, b: Column) -> Column:
     """Jaccard of two sets; 0.0 where either is empty."""
-    shared = F.size(F.array_intersect(a, b))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(
-        shared / (F.size(a) + F.size(b) - shared)
-    )
+    def score(x: Column, y: Column) -> Column:
+        return let(F.size(F.array_intersect(x, y)), lambda n: ratio_of_counts(n, F.size(x), F.size(y)))
+
+    return let(a, lambda x: let(b, lambda y: score(x, y)))
 
 
 def ratio_of_counts(shared: Column, left: Column, right: Column) -> Column:
@@ -79,16 +77,17 @@ def weighted_content_score(words: Column, grams: Column) -> Column:
 
 
 def content_similarity(a: Column, b: Column) -> Column:
-    na, nb = normalize_content(a), normalize_content(b)
-    words = jaccard(space_word_set(a), space_word_set(b))
-    ga, gb = gram_set(a), gram_set(b)
-    return (
+    def unequal(na: Column, nb: Column) -> Column:
+        words = jaccard(space_word_set(na), space_word_set(nb))
+        return let(gram_set(na), lambda ga: let(gram_set(nb), lambda gb: F.when(
+            (F.size(ga) == 0) | (F.size(gb) == 0), words
+        ).otherwise(weighted_content_score(words, jaccard(ga, gb)))))
+
+    return let(normalize_content(a), lambda na: let(normalize_content(b), lambda nb: (
         F.when((a == "") | (b == ""), F.lit(0.0))
         .when(na == nb, F.lit(1.0))
         .when((na == "") | (nb == ""), F.lit(0.0))
-        .when((F.size(ga) == 0) | (F.size(gb) == 0), words)
-        .otherwise(weighted_content_score(words, jaccard(ga, gb)))
-    )
+        .otherwise(unequal(na, nb)))))
 
 
 def dot(a: Column, b: Column) -> Column:

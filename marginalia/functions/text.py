@@ -153,7 +153,7 @@ def parse_chapter_range(text: Column, total: Column) -> Column:
 
 def sanitize_cell(c: Column) -> Column:
     broken = F.regexp_replace(strip(F.coalesce(c, F.lit(""))), r"\r\n|\r|\n", "<br>")
-    return F.regexp_replace(broken, r"\|", r"\\\\|")
+    return F.regexp_replace(broken, r"\|", r"\\|")
 
 
 def strip_code_fence(c: Column, language: str = "markdown") -> Column:
