@@ -17,11 +17,11 @@ def _in(values):
 
 @query(
     "exclude_documents", "doc_id:l name:s",
-    """SELECT doc_id, name FROM md_docs WHERE NOT (name IN ('src1_1', 'src2_2') OR contains(name, 'src13')
-      OR contains(name, '_77') OR regexp_matches(name, '^src[0-4]_[0-9]*5$'))""",
+    """SELECT doc_id, name FROM md_docs WHERE NOT (name IN ('src1-1', 'src2-2') OR contains(name, 'src13')
+      OR contains(name, '-77') OR regexp_matches(name, '^src[0-4]-[0-9]*5$'))""",
 )
 def _(spark, d):
-    hit = C.is_excluded(F.col("name"), ["src1_1", "src2_2"], ["src13", "_77"], ["^src[0-4]_[0-9]*5$"])
+    hit = C.is_excluded(F.col("name"), ["src1-1", "src2-2"], ["src13", "-77"], ["^src[0-4]-[0-9]*5$"])
     return md_docs(spark, d).filter(~hit).select("doc_id", "name")
 
 

@@ -421,7 +421,7 @@ def _(spark, d):
 
 
 @query("fill_missing_chapters", "doc_id:l batch_no:l title:s n_chapters:l",
-       """SELECT doc_id, b AS batch_no, arg_min(clean_title, chapter_no) || CASE WHEN count(*) > 1 THEN ' 他' ELSE '' END AS title, count(*) AS n_chapters
+       """SELECT doc_id, b AS batch_no, left(arg_min(clean_title, chapter_no), 15) || ' 他' AS title, count(*) AS n_chapters
        FROM (SELECT *, (row_number() OVER (PARTITION BY doc_id ORDER BY chapter_no) - 1) // 15 AS b FROM missing_rows) GROUP BY doc_id, b""")
 def _(spark, d):
     return N.fill_missing(missing(spark, d))

@@ -68,6 +68,6 @@ def _needed(sql: str) -> list[str]:
 
 
 def _with_views(sql: str, columns: str) -> str:
-    views = [f"{v} AS ({VIEWS[v]})" for v in _needed(sql)]
+    views = [f"{v} AS MATERIALIZED ({VIEWS[v]})" for v in _needed(sql)]
     views.append(f"result_rows AS ({sql})")
     return f"WITH RECURSIVE {', '.join(views)} SELECT {columns} FROM result_rows"

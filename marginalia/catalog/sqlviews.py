@@ -93,9 +93,9 @@ def _markdown(source: str, revised: bool) -> str:
         "CASE lang WHEN 'de' THEN '01_de' WHEN 'en' THEN '02_en' WHEN 'es' THEN '03_es' "
         "WHEN 'fr' THEN '04_fr' ELSE '05_other' END"
     )
-    return f"""SELECT doc_id, lang, source, source || '_' || doc_id AS name, {category} AS category,
+    return f"""SELECT doc_id, lang, source, source || '-' || doc_id AS name, {category} AS category,
       'doc_' || doc_id || '.md' AS path,
-      {category} || '/' || lpad((doc_id % 12)::VARCHAR, 2, '0') || '_' || source || '_' || doc_id || '.md' AS kb_path,
+      {category} || '/' || lpad((doc_id % 12)::VARCHAR, 2, '0') || '_' || source || '-' || doc_id || '.md' AS kb_path,
       array_to_string({built}, chr(10)) AS text
       FROM (SELECT *, string_split(text, chr(10)) AS ls,
         (SELECT max(doc_id) + 1 FROM {source}) AS n_docs FROM {source})"""

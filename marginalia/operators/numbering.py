@@ -135,8 +135,7 @@ def fill_missing(missing: DataFrame, batch: int = 15) -> DataFrame:
     return batched.groupBy("doc_id", "batch_no").agg(
         F.min_by("clean_title", "chapter_no").alias("first_title"), F.count("*").alias("n_chapters"),
         F.min("chapter_no").alias("first_no"), F.max("chapter_no").alias("last_no"),
-    ).withColumn("title", F.when(
-        F.col("n_chapters") > 1, F.concat("first_title", F.lit(" 他"))).otherwise(F.col("first_title"))).drop("first_title")
+    ).withColumn("title", F.concat(F.substring("first_title", 1, 15), F.lit(" 他"))).drop("first_title")
 
 
 def missing_ranges(missing: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def _category(lang: Column) -> Column:
 
 def markdown(docs: DataFrame, revised: bool = False) -> DataFrame:
     n_docs = docs.agg((F.max("doc_id") + 1).alias("n_docs")).scalar()
-    name = F.concat("source", F.lit("_"), _s(F.col("doc_id")))
+    name = F.concat("source", F.lit("-"), _s(F.col("doc_id")))
     category = _category(F.col("lang"))
     return docs.withColumn("n_docs", n_docs).select(
         "doc_id", "lang", "source",
@@ -131,7 +131,7 @@ def versions(spark: SparkSession, folder: str) -> DataFrame:
     text, key, n = F.col("text"), F.col("doc_id"), F.col("n_docs")
     return docs.withColumn("n_docs", n_docs).select(
         "doc_id",
-        F.concat("source", F.lit("_"), _s(key)).alias("name"),
+        F.concat("source", F.lit("-"), _s(key)).alias("name"),
         F.array_join(_markdown_lines(text, key, n, False), "\n").alias("before"),
         F.array_join(_markdown_lines(text, key, n, True), "\n").alias("after"),
     )
