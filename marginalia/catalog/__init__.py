@@ -1,4 +1,4 @@
 from .registry import QUERIES, query
-from . import structure, quality, scalars, classify, files, matching  # noqa: F401
+from . import structure, quality, scalars, classify, files, matching, rewrite, assemble  # noqa: F401
 
 __all__ = ["QUERIES", "query"]
