@@ -515,7 +515,8 @@ def resolve_file_names(wanted: DataFrame, available: DataFrame) -> DataFrame:
     cleaned or the given name); the same on simplified names.  Later rules see
     only what the earlier ones left.
     """
-    files = available.select("file").distinct()
+    ensure_checkpoint_dir(available.sparkSession)
+    files = available.select("file").distinct().checkpoint()
     cleaned = strip(F.regexp_replace("name", r"[（(][0-9]+章[）)]$", ""))
     rows = wanted.select("key", "name", cleaned.alias("cleaned"), _simplified(F.col("name")).alias("simple"))
     found = None
@@ -525,7 +526,7 @@ def resolve_file_names(wanted: DataFrame, available: DataFrame) -> DataFrame:
         nonlocal found, rest
         hit = matches.select("key", "file", F.lit(rule).alias("rule"))
         found = hit if found is None else found.unionByName(hit)
-        rest = rest.join(hit.select("key"), "key", "left_anti")
+        rest = rest.join(hit.select("key"), "key", "left_anti").checkpoint()
 
     take(rest.join(files, F.col("name") == F.col("file")), 1)
     take(rest.join(files, F.col("cleaned") == F.col("file")), 2)

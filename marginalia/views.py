@@ -14,7 +14,16 @@ PAGE_OFFSET = 1_000_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table of fewer files than cores, whose scan would have too few tasks.
+
+    A large table has more files than that and is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
