@@ -10,6 +10,7 @@ from ..functions import patterns as P
 from ..functions.text import (
     clean_filename, join_range, let, lines, lstrip, normalize_title, pad, positions, strip,
 )
+from ..operators.chunking import UPDATE_SIZE, part_path, split_by_headings, split_large_update
 from ..operators.classify import is_excluded
 from ..operators.matching import UPDATE_LIMIT, already_in_base, best_match, features
 from ..operators.numbering import max_file_numbers, running_number
@@ -204,6 +205,31 @@ def execute_partial(actions: DataFrame, sources: DataFrame, base: DataFrame, run
     return updates.unionByName(creates)
 
 
+def execute_split_create(actions: DataFrame, sources: DataFrame, run_ts: Column) -> DataFrame:
+    """Creates that are split at headings into given files: ``actions(source, split_into)``."""
+    parts = split_by_headings(F.col("text"), F.size("split_into"), levels=2)
+    rows = actions.join(sources, "source").select(
+        "source", F.explode(F.array(F.arrays_zip("split_into", parts.alias("part")))).alias("z")
+    ).select("source", F.posexplode("z").alias("i", "z"))
+    head = front_matter(F.col("source"), run_ts, F.col("i") + 1)
+    return rows.select(
+        "source", F.col("z.split_into").alias("target"), F.lit("created").alias("result"),
+        F.concat(head, F.lit("\n\n"), "z.part").alias("text"), (F.col("i") + 1).alias("split_index"))
+
+
+def split_long_updates(outcomes: DataFrame, run_ts: Column, limit: int = UPDATE_SIZE) -> DataFrame:
+    """Updated texts over the limit in parts, each with its own front matter; other rows as they are."""
+    parts = F.when(F.col("result") == "updated", split_large_update(F.col("text"), limit))
+    rows = outcomes.select("*", F.explode(F.array(parts)).alias("_parts"))
+    whole = rows.filter("_parts IS NULL").drop("_parts")
+    cut = rows.filter("_parts IS NOT NULL").select(
+        *[c for c in outcomes.columns if c != "text"], F.posexplode("_parts").alias("_i", "_part"))
+    n = F.col("_i") + 1
+    later = F.concat(front_matter(F.concat("source", F.lit(" (Part "), n.cast("string"), F.lit(")")), run_ts), F.lit("\n\n"), "_part")
+    text = F.when(n == 1, update_front_matter(F.col("_part"), F.col("source"), run_ts)).otherwise(later)
+    return whole.unionByName(cut.withColumn("text", text).withColumn("target", part_path(F.col("target"), n)).select(*outcomes.columns))
+
+
 def update_ledger(ledger: DataFrame, outcomes: DataFrame, run_ts: Column) -> DataFrame:
     """Ledger ``(target, inputs, created_at, updated_at)`` after a run.
 

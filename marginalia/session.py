@@ -24,9 +24,16 @@ def local_session(cores: str = "8", partitions: str = "8") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; set a folder only where none is set."""
+    """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a temporary folder.
+    """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    if configured is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    context.setCheckpointDir(configured)
