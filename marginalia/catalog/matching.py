@@ -3,9 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import normalize_content, normalize_title
 from ..operators import inventory as I, matching as M
-from ..operators.structure import chapters, heading_titles, sections_with_lines, unfold
+from ..operators.structure import chapters, heading_titles, unfold
 from ..plans import updates as U
 from ..views import documents, incoming_docs, md_docs, page_docs, table, versions
 from . import sqlviews as Q
@@ -127,10 +126,6 @@ def _(spark, d):
     return M.embedding_topk(queries, base)
 
 
-def _keyed(spark, d, column):
-    return sections_with_lines(versions(spark, d).select(F.col("doc_id").alias("pair"), F.col(column).alias("text")), "text", "pair")
-
-
 Q.VIEWS["new_sections"] = keyed_sections_sql("md_docs_v2")
 Q.VIEWS["old_sections"] = keyed_sections_sql("md_docs")
 Q.VIEWS["diff_rows"] = f"""SELECT coalesce(a.doc_id, b.doc_id) AS pair, coalesce(a.heading, b.heading) AS heading, b.line_start, b.line_end,
@@ -141,7 +136,8 @@ _NAT = "CASE WHEN regexp_matches(heading, '^[0-9]') THEN 0 ELSE 1 END, coalesce(
 
 
 def _diff(spark, d):
-    return M.section_diff(_keyed(spark, d, "after"), _keyed(spark, d, "before"), "pair")
+    rows = versions(spark, d).withColumnRenamed("doc_id", "pair")
+    return unfold(rows, M.section_diff(F.col("after"), F.col("before")), "pair")
 
 
 @query("section_diff", "pair:l heading:s kind:s line_start:l line_end:l", "SELECT * FROM diff_rows")
@@ -160,7 +156,8 @@ def _(spark, d):
 
 @query("match_sections", "pair:l sec_pos:l heading:s kind:s old_heading:s line_start:l line_end:l similarity:d")
 def _(spark, d):
-    return M.match_sections(_keyed(spark, d, "after"), _keyed(spark, d, "before"))
+    return M.match_sections(versions(spark, d).select(
+        F.col("doc_id").alias("pair"), F.col("after").alias("new_text"), F.col("before").alias("old_text")))
 
 
 _PAIRS = f"SELECT doc_id, {_titles_sql('after')} AS a, {_titles_sql('before')} AS b FROM versions"

@@ -30,7 +30,7 @@ from ..functions.similarity import (
 )
 from ..functions.text import content_hash, let, normalize_content, strip
 from ..session import ensure_checkpoint_dir
-from .structure import heading_titles, sections_list, summary, unfold
+from .structure import heading_titles, keyed_sections, sections_list, summary
 
 UPDATE_LIMIT = 0.80
 NEARBY_LIMIT = 0.1
@@ -295,19 +295,29 @@ def embedding_topk(queries: DataFrame, base: DataFrame, k: int = 10, rows_per_bl
 # Sections and headings
 
 
-def section_diff(new: DataFrame, old: DataFrame, pair: str) -> DataFrame:
-    """added / changed / unchanged / kept sections per document pair.
+def section_diff(new_text: Column, old_text: Column) -> Column:
+    """added / changed / unchanged / kept sections of one document pair, inside the row.
 
-    Both sides are ``(pair, heading, sec_pos, line_start, line_end, content)``.
+    Array of (heading, kind, line_start, line_end) with the lines in the old text.
     """
-    a = new.select(pair, "heading", normalize_content(F.col("content")).alias("new_text"), F.lit(True).alias("in_new"))
-    b = old.select(pair, "heading", "line_start", "line_end",
-                   normalize_content(F.col("content")).alias("old_text"), F.lit(True).alias("in_old"))
-    kind = (
-        F.when(F.col("in_old").isNull(), "added")
-        .when(F.col("in_new").isNull(), F.when(F.col("heading").isin(*P.SPECIAL_SECTIONS), "special").otherwise("kept"))
-        .when(F.col("new_text") == F.col("old_text"), "unchanged").otherwise("changed"))
-    return a.join(b, [pair, "heading"], "full_outer").select(pair, "heading", kind.alias("kind"), "line_start", "line_end")
+    def row(heading: Column, kind: Column, o: Column) -> Column:
+        return F.struct(heading.alias("heading"), kind.alias("kind"), o["line_start"].alias("line_start"), o["line_end"].alias("line_end"))
+
+    def compare(a: Column, b: Column, ha: Column, hb: Column) -> Column:
+        def of_new(s: Column) -> Column:
+            o = F.get(b, (F.array_position(hb, s["heading"]) - 1).cast("int"))
+            return let(o, lambda old: row(s["heading"], F.when(old.isNull(), "added").when(
+                normalize_content(s["content"]) == normalize_content(old["content"]), "unchanged").otherwise("changed"), old))
+
+        gone = F.filter(b, lambda o: ~F.array_contains(ha, o["heading"]))
+        return F.concat(F.transform(a, of_new), F.transform(gone, lambda o: row(
+            o["heading"], F.when(o["heading"].isin(*P.SPECIAL_SECTIONS), "special").otherwise("kept"), o)))
+
+    def heads(ss: Column) -> Column:
+        return F.transform(ss, lambda s: s["heading"])
+
+    return let(keyed_sections(new_text), lambda a: let(keyed_sections(old_text), lambda b: let(
+        heads(a), lambda ha: let(heads(b), lambda hb: compare(a, b, ha, hb)))))
 
 
 def natural_order(heading: Column) -> list[Column]:
@@ -448,22 +458,20 @@ def _greedy(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["pair", "sec_pos", "heading", "kind", "old_heading", "line_start", "line_end", "similarity"])
 
 
-def match_sections(new: DataFrame, old: DataFrame) -> DataFrame:
+def match_sections(pairs: DataFrame) -> DataFrame:
     """Placement of each new section in the matched base document, in document order.
 
-    ``new`` and ``old`` are keyed sections ``(pair, heading, sec_pos, line_start,
-    line_end, content)``.  The order decides, so a document pair is one row
-    (never larger than its two documents) and the pairs are spread over tasks.
+    ``pairs(pair, new_text, old_text)``.  The order decides, so the sections of
+    a pair are placed together: the pair is one row before and after, and
+    nothing is shuffled.
     """
-    def packed(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("pair").agg(F.array_sort(F.collect_list(
-            F.struct("sec_pos", "heading", "line_start", "line_end", "content"))).alias(name))
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield _greedy(batch)
 
-    return packed(new, "new_sections").join(packed(old, "old_sections"), "pair").mapInPandas(
+    packed = pairs.select(
+        "pair", keyed_sections(F.col("new_text")).alias("new_sections"), keyed_sections(F.col("old_text")).alias("old_sections"))
+    return packed.mapInPandas(
         run, "pair bigint, sec_pos int, heading string, kind string, old_heading string, line_start int, line_end int, similarity double")
 
 

@@ -125,17 +125,32 @@ def sections_list(text: Column) -> Column:
     )
 
 
-def sections_with_lines(df: DataFrame, text: str, *keep: str) -> DataFrame:
+def keyed_sections(text: Column) -> Column:
     """Sections keyed by heading: the last content, in the order of the first occurrence.
 
-    ``sec_pos`` is the line of the first occurrence.  The merge of equal
-    headings is an aggregate with map-side combine on (document, heading).
+    ``sec_pos`` is the line of the first occurrence.  Equal headings are found
+    inside the row, so no section text is shuffled.
     """
-    rows = unfold(df, all_sections(F.col(text)), *keep)
-    last = F.max_by(F.struct("line_start", "line_end", "content"), F.col("line_start"))
-    return rows.groupBy(*keep, "heading").agg(
-        F.min("line_start").alias("sec_pos"), last.alias("s")
-    ).select(*keep, "heading", "sec_pos", "s.line_start", "s.line_end", "s.content")
+    def build(ss: Column) -> Column:
+        def pick(heads: Column, back: Column) -> Column:
+            def row(x: Column) -> Column:
+                last = F.get(ss, (F.size(heads) - F.array_position(back, x)).cast("int"))
+                first = F.get(ss, (F.array_position(heads, x) - 1).cast("int"))
+                return let(last, lambda s: F.struct(
+                    x.alias("heading"), first["line_start"].alias("sec_pos"), s["line_start"].alias("line_start"),
+                    s["line_end"].alias("line_end"), s["content"].alias("content")))
+
+            return F.transform(F.array_distinct(heads), row)
+
+        return let(F.transform(ss, lambda s: s["heading"]), lambda heads: let(
+            F.reverse(heads), lambda back: pick(heads, back)))
+
+    return let(all_sections(text), build)
+
+
+def sections_with_lines(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """Rows of ``keyed_sections``."""
+    return unfold(df, keyed_sections(F.col(text)), *keep)
 
 
 def sections_h12(text: Column) -> Column:

@@ -230,15 +230,13 @@ def test_match_sections(spark):
         j = len(w1 & w2) / len(w1 | w2)
         return 0.4 * j + 0.6 * len(g1 & g2) / len(g1 | g2) if g1 and g2 else j
 
-    new, old, want = [], [], {}
+    pairs, want = [], {}
     for pair in range(25):
         a = {f"n{i}" if i % 3 else f"s{i}": text() for i in range(8)}
         b = {f"o{i}" if i % 3 else f"s{i}": text() for i in range(9)}
         want[pair] = _place(a, b, score)
-        new += [(pair, h, i, i, i, t) for i, (h, t) in enumerate(a.items())]
-        old += [(pair, h, i, i, i, t) for i, (h, t) in enumerate(b.items())]
-    schema = "pair bigint, heading string, sec_pos int, line_start int, line_end int, content string"
-    rows = M.match_sections(spark.createDataFrame(new, schema), spark.createDataFrame(old, schema)).collect()
+        pairs.append((pair, *["\n".join(f"# {h}\n{t}" for h, t in side.items()) for side in (a, b)]))
+    rows = M.match_sections(spark.createDataFrame(pairs, "pair bigint, new_text string, old_text string")).collect()
     got = {p: [(r["heading"], r["kind"], r["old_heading"]) for r in sorted((r for r in rows if r["pair"] == p), key=lambda r: r["sec_pos"])] for p in want}
     assert got == want
 
