@@ -92,26 +92,24 @@ def _signer(bands: int, rows: int):
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text, rk in zip(batch["doc_id"], batch["text"], batch["rk"], strict=True):
+            for text, *row in zip(batch["text"], batch["doc_id"], batch["known"], batch["rk"], strict=True):
                 s = shingle_set(text)
                 if not len(s):
-                    out.append((doc_id, rk, 0, None, None, None, None))
+                    out.append((*row, 0, 0, 0, None, None))
                     continue
                 digest = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
                 values = samples(s, bands * rows)
                 keys = [xxhash.xxh3_64_intdigest(v.tobytes(), seed=b) for b, v in enumerate(values.reshape(bands, rows))]
                 sub = [xxhash.xxh3_64_intdigest(v.tobytes(), seed=1000 + b)
                        for b, v in enumerate(values[: SUB_BANDS * 4].reshape(SUB_BANDS, 4))]
-                out.append((doc_id, rk, len(s), digest[0], digest[1],
+                out.append((*row, len(s), digest[0], digest[1],
                             np.array(keys + sub, np.uint64).view(np.int64), odd_sketch(values)))
-            frame = pd.DataFrame(out, columns=["doc_id", "rk", "n_shingles", "h1", "h2", "keys", "sketch"])
-            frame[["doc_id", "h1", "h2"]] = frame[["doc_id", "h1", "h2"]].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=["doc_id", "known", "rk", "n_shingles", "h1", "h2", "keys", "sketch"])
 
     return sign
 
 
-SIGNED = "doc_id bigint, rk bigint, n_shingles bigint, h1 bigint, h2 bigint, keys array<bigint>, sketch array<bigint>"
+SIGNED = "doc_id bigint, known boolean, rk bigint, n_shingles bigint, h1 bigint, h2 bigint, keys array<bigint>, sketch array<bigint>"
 
 
 def _differing(a: Column, b: Column) -> Column:
@@ -147,7 +145,13 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 def _judged(docs: DataFrame, similarity_pct: int = 85, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """The result with ``rk``, a hash of id and text that finds a row again."""
     raw = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"))
-    signed = stored(raw.mapInPandas(_signer(bands, rows), SIGNED), "signed")
+    # A null among integers would make pandas turn them into floats.
+    flagged = raw.select(
+        F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text", "rk")
+    some = F.col("n_shingles") > 0
+    signed = stored(flagged.mapInPandas(_signer(bands, rows), SIGNED).select(
+        F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "rk", "n_shingles", F.when(some, F.col("h1")).alias("h1"),
+        F.when(some, F.col("h2")).alias("h2"), "keys", "sketch"), "signed")
     classes = stored(
         signed.filter("n_shingles > 0").groupBy("h1", "h2").agg(
             F.min("doc_id").alias("least"), F.min("rk").alias("rk"), F.min("n_shingles").alias("n"),

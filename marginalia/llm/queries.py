@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import near_dedup
+from . import decontamination, language_id, mixing, near_dedup, sharding, token_blocks
 
 QUERIES = {
+    "op1_mixing": mixing.op1,
+    "op2_language_id": language_id.op2,
     "op4_near_dedup": near_dedup.op4,
+    "op6_decontamination": decontamination.op6,
+    "op9_sharding": sharding.op9,
+    "op10_token_blocks": token_blocks.op10,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_mixing": mixing.SQL,
+    "op9_sharding": sharding.SQL,
+}
