@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, mixing, near_dedup, sharding, token_blocks
+from . import chat, decontamination, language_id, mixing, near_dedup, secrets, sharding, token_blocks
 
 QUERIES = {
     "op1_mixing": mixing.op1,
     "op2_language_id": language_id.op2,
+    "op3_secrets": secrets.op3,
     "op4_near_dedup": near_dedup.op4,
+    "op5_chat": chat.op5,
     "op6_decontamination": decontamination.op6,
     "op9_sharding": sharding.op9,
     "op10_token_blocks": token_blocks.op10,
@@ -15,5 +17,7 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
+    "op3_secrets": secrets.SQL,
+    "op5_chat": chat.SQL,
     "op9_sharding": sharding.SQL,
 }
