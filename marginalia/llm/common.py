@@ -8,22 +8,31 @@ from ..sources.sinks import scratch_path
 
 #: Matches of one document are numbered in blocks of this many, so that positions cost no quadratic work.
 BLOCK = 256
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Cut the lineage with a written table in the shared folder.
 
     Lost executors lose nothing of it, columns are pruned on reading, and its
     size is known to the planner, which broadcasts it only below the limit of
-    the session.
+    the session.  ``batch``: rows that a Python worker gets at once, for rows
+    that hold many values.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(ARROW_ROWS)
+    try:
+        if batch:
+            spark.conf.set(ARROW_ROWS, str(batch))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def letters(word: str) -> str:
