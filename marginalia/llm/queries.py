@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontamination, language_id, mixing, near_dedup, secrets, sharding, token_blocks
+from . import chat, decontamination, itq_dedup, language_id, mixing, near_dedup, pii, secrets, sharding, token_blocks
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_near_dedup": near_dedup.op4,
     "op5_chat": chat.op5,
     "op6_decontamination": decontamination.op6,
+    "op7_itq_dedup": itq_dedup.op7,
+    "op8_pii": pii.op8,
     "op9_sharding": sharding.op9,
     "op10_token_blocks": token_blocks.op10,
 }
@@ -19,5 +21,7 @@ SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op3_secrets": secrets.SQL,
     "op5_chat": chat.SQL,
+    "op7_itq_dedup": itq_dedup.SQL,
+    "op8_pii": pii.SQL,
     "op9_sharding": sharding.SQL,
 }
