@@ -4,21 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marginalia.llm.common import stored
+from marginalia.llm.common import stored, table
+from marginalia.llm.decontamination import clean
+from marginalia.llm.language_id import accepted
+from marginalia.llm.mixing import mixed
 from marginalia.llm.near_dedup import one_of_each
+from marginalia.llm.token_blocks import encoded
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can't be told go: without text, without a letter, or undecided."""
+    return accepted(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return one_of_each(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its edit budget go."""
+    return clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay as often as the mix of sources takes them."""
+    return mixed(docs)
+
+
+def write_token_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in ascending order of id, as written and read back."""
+    return encoded(spark, docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("token_blocks", write_token_blocks),
+]
+
+#: No SQL for trained language models, signatures and tokenizers; ``tests/llm`` holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written as Parquet and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
