@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..functions.text import content_hash, lines, normalize_title
 from ..operators import assemble as A, inventory as I
+from ..operators.numbering import running_number
 from ..operators.structure import chapters, heading_titles, sections_h12, structure_record, unfold
 from ..plans import inference as X, structure as S, updates as U
 from ..views import documents, files, image_files, md_docs, md_docs_v2, table, terms, versions
@@ -72,43 +73,37 @@ def _(spark, d):
     return _hash(A.assemble_slides(c, ocr), "doc_id")
 
 
-MAX_ROWS = 500
-
-
 def cells(spark, d):
-    """Parts as sheet cells: one sheet per brand, five columns, gaps, pipes and line breaks."""
-    k = F.col("p_partkey")
-    ranked = table(spark, d, "part").select(
-        F.lit("book").alias("file"), F.col("p_brand").alias("sheet"), (F.floor(k / 25) + 1).cast("int").alias("row"), k.alias("k"),
-        "p_name", "p_type", "p_size")
+    """Parts as sheet cells, one row per part: one sheet per brand, five columns, gaps, pipes and line breaks."""
+    parts = table(spark, d, "part").select("p_brand", F.col("p_partkey").alias("k"), "p_name", "p_type", "p_size")
     k = F.col("k")
     values = F.array(
         F.col("p_name"), F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("p_type")), F.concat("p_name", F.lit("|x")),
         F.concat("p_type", F.lit("\ny")), F.col("p_size").cast("string"))
-    return ranked.groupBy("file", "sheet", "row").agg(F.min_by(values, "k").alias("v")).select(
-        "file", "sheet", "row", F.posexplode("v").alias("c", "value")).select(
-        "file", "sheet", "row", (F.col("c") + 1).alias("col"), "value")
+    return running_number(parts, ["k"], ["p_brand"], "row").select(
+        F.lit("book").alias("file"), F.col("p_brand").alias("sheet"), F.col("row").cast("int").alias("row"),
+        F.posexplode(values).alias("c", "value")).select("file", "sheet", "row", (F.col("c") + 1).alias("col"), "value")
 
 
 def merged(spark, d):
     sheets = cells(spark, d).select("file", "sheet").distinct()
     ranges = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, ("seq", "min_row", "max_row", "min_col", "max_col"))])
-                       for r in ((1, 2, 4, 1, 2), (2, 4, 4, 2, 3), (3, 499, 600, 5, 5))])
+                       for r in ((1, 2, 4, 1, 2), (2, 4, 4, 2, 3), (3, 60, 90, 5, 5))])
     return sheets.select("file", "sheet", F.inline(ranges))
 
 
 Q.VIEWS["cells"] = f"""SELECT 'book' AS file, sheet, row, unnest([1, 2, 3, 4, 5]) AS col, unnest([n, CASE WHEN k % 3 = 0 THEN NULL ELSE t END, n || '|x', t || {NL} || 'y', z]) AS value
-  FROM (SELECT p_brand AS sheet, p_partkey // 25 + 1 AS row, min(p_partkey) AS k, arg_min(p_name, p_partkey) AS n, arg_min(p_type, p_partkey) AS t, arg_min(p_size, p_partkey)::VARCHAR AS z FROM part GROUP BY ALL)"""
+  FROM (SELECT p_brand AS sheet, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS row, p_partkey AS k, p_name AS n, p_type AS t, p_size::VARCHAR AS z FROM part)"""
 Q.VIEWS["filled_cells"] = f"""SELECT c.file, c.sheet, c.row, c.col, CASE WHEN r.seq IS NOT NULL THEN t.value ELSE c.value END AS value FROM cells c
-  LEFT JOIN (SELECT x.row, x.col, max(seq) AS seq FROM (SELECT DISTINCT row, col FROM cells) x JOIN (VALUES (1, 2, 4, 1, 2), (2, 4, 4, 2, 3), (3, 499, 600, 5, 5)) m(seq, r1, r2, c1, c2)
+  LEFT JOIN (SELECT x.row, x.col, max(seq) AS seq FROM (SELECT DISTINCT row, col FROM cells) x JOIN (VALUES (1, 2, 4, 1, 2), (2, 4, 4, 2, 3), (3, 60, 90, 5, 5)) m(seq, r1, r2, c1, c2)
     ON x.row BETWEEN r1 AND r2 AND x.col BETWEEN c1 AND c2 GROUP BY ALL) r ON r.row = c.row AND r.col = c.col
-  LEFT JOIN (VALUES (1, 2, 1), (2, 4, 2), (3, 499, 5)) h(seq, r1, c1) ON h.seq = r.seq
-  LEFT JOIN cells t ON t.sheet = c.sheet AND t.row = h.r1 AND t.col = h.c1 WHERE c.row <= {MAX_ROWS}"""
+  LEFT JOIN (VALUES (1, 2, 1), (2, 4, 2), (3, 60, 5)) h(seq, r1, c1) ON h.seq = r.seq
+  LEFT JOIN cells t ON t.sheet = c.sheet AND t.row = h.r1 AND t.col = h.c1"""
 
 
 @query("fill_merged_cells", "sheet:s row:l col:l value:s", "SELECT sheet, row, col, value FROM filled_cells")
 def _(spark, d):
-    return A.fill_merged_cells(cells(spark, d), merged(spark, d), MAX_ROWS)
+    return A.fill_merged_cells(cells(spark, d), merged(spark, d))
 
 
 _CELL = f"replace(replace({Q.strip('coalesce(value, chr(32))')}, {NL}, '<br>'), '|', '\\|')"
@@ -122,7 +117,7 @@ _CELL = f"replace(replace({Q.strip('coalesce(value, chr(32))')}, {NL}, '<br>'),
 def _(spark, d):
     c = cells(spark, d)
     sheets = c.select("file", "sheet").distinct().unionByName(c.select("file").distinct().select("file", F.lit("zz empty").alias("sheet")))
-    return _hash(A.cells_to_markdown(A.fill_merged_cells(c, merged(spark, d), MAX_ROWS), sheets.withColumn("pos", F.col("sheet"))), "file")
+    return _hash(A.cells_to_markdown(A.fill_merged_cells(c, merged(spark, d)), sheets.withColumn("pos", F.col("sheet"))), "file")
 
 
 @query("image_list", "doc_id:l images:s",
@@ -505,8 +500,8 @@ def _(spark, d):
 
 
 @query("attach_enhancement", "conv_id:l turn:l stage:s summary_short:s summary_long:s file_type:s",
-       """SELECT conv_id, turn, CASE WHEN conv_id % 3 < 2 AND text <> '' THEN 'ai_enhanced' ELSE 'structured' END AS stage, CASE WHEN conv_id % 3 < 2 AND text <> '' THEN left(text, 40) END AS summary_short,
-         CASE WHEN conv_id % 3 < 2 AND text <> '' THEN left(text, 150) END AS summary_long, CASE WHEN conv_id % 3 < 2 AND text <> '' THEN role END AS file_type FROM conversations""")
+       """SELECT conv_id, turn, CASE WHEN conv_id % 3 < 2 AND text <> '' THEN 'ai_enhanced' ELSE 'structured' END AS stage, CASE WHEN conv_id % 3 < 2 AND text <> '' THEN text END AS summary_short,
+         CASE WHEN conv_id % 3 < 2 AND text <> '' THEN text END AS summary_long, CASE WHEN conv_id % 3 < 2 AND text <> '' THEN role END AS file_type FROM conversations""")
 def _(spark, d):
     k = F.col("conv_id") % 3
     fields = [F.col("text").alias("summary_short"), F.col("text").alias("summary_long"), F.array(F.lit("a")).alias("companies")]

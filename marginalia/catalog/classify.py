@@ -242,8 +242,7 @@ def _(spark, d):
 )
 def _(spark, d):
     base = md_docs(spark, d).select("path")
-    mode = C.run_mode(base, base.filter("path = ''"))
-    return base.limit(1).select(F.lit(mode).alias("mode"))
+    return C.run_mode(base, base.filter("path = ''"))
 
 
 @query(

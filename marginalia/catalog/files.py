@@ -435,11 +435,11 @@ def _(spark, d):
 
 
 @query("dedupe_images", "conv_id:l hash:s pos:l",
-       """SELECT conv_id, md5(u) AS hash, min(turn) AS pos FROM (SELECT conv_id, turn, left(text, 4) AS u FROM conversations) WHERE u <> '' GROUP BY conv_id, u""")
+       """SELECT conv_id, md5(u) AS hash, min(turn) AS pos FROM (SELECT conv_id, turn, text AS u FROM conversations) WHERE u <> '' GROUP BY conv_id, u""")
 def _(spark, d):
     images = table(spark, d, "conversations").select(
         F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"), F.concat(F.lit("img_"), "turn").alias("filename"),
-        F.substring("text", 1, 4).cast("binary").alias("data"))
+        F.col("text").cast("binary").alias("data"))
     return N.dedupe_images(images).withColumnRenamed("doc_id", "conv_id")
 
 

@@ -70,8 +70,8 @@ Q.VIEWS["plan_rows"] = f"""SELECT name AS source, key, is_excluded, known,
     CASE WHEN is_excluded OR known IS NOT NULL OR same THEN 'skip' WHEN score IS NULL OR score < 0.8 THEN 'create' ELSE 'update' END AS action,
     CASE WHEN is_excluded OR known IS NOT NULL THEN 0.0 WHEN same THEN 1.0 ELSE coalesce(score, 0.0) END AS similarity,
     CASE WHEN is_excluded THEN '{U.REASON_EXCLUDED}' WHEN known IS NOT NULL THEN '{U.REASON_LEDGER}' WHEN same THEN '{U.REASON_SAME}'
-      WHEN score IS NULL THEN '{U.REASON_NONE}' WHEN score < 0.8 THEN '「' || category || '」カテゴリに関連する内容のため、同カテゴリへ配置を推奨。'
-      ELSE '既存『' || target || '』と類似。同一トピックのため更新対象。' END AS reason, target AS match
+      WHEN score IS NULL THEN '{U.REASON_NONE}（類似度0%）' WHEN score < 0.8 THEN '「' || category || '」カテゴリに関連する内容のため、同カテゴリへ配置を推奨。{U.REASON_SIMPLE}（類似度' || CAST(round_even(score * 100, 0) AS BIGINT) || '%）'
+      ELSE '既存『' || target || '』と類似。同一トピックのため更新対象。{U.REASON_SIMPLE}' END AS reason, target AS match
   FROM (SELECT i.doc_id AS key, i.name, i.name = 'src1-1' OR contains(i.name, 'src13') OR regexp_matches(i.name, '-1[0-9]5$') AS is_excluded,
       l.target AS known, m.target, m.category, m.same, m.score
     FROM incoming_docs i LEFT JOIN (SELECT source, min(target) AS target FROM ledger WHERE target <> '' GROUP BY source) l
@@ -106,7 +106,7 @@ def _(spark, d):
     return M.best_match(M.features(_new(spark, d), "key", "name"), M.features(base, "path", "file_name"), nearby=False)
 
 
-@query("already_in_base", "name:s target:s", "SELECT i.name, l.target FROM incoming_docs i JOIN ledger l ON l.source = i.name WHERE l.target <> ''")
+@query("already_in_base", "name:s target:s", "SELECT DISTINCT i.name, l.target FROM incoming_docs i JOIN ledger l ON l.source = i.name WHERE l.target <> ''")
 def _(spark, d):
     return M.already_in_base(incoming_docs(spark, d).select("name"), ledger(spark, d))
 
@@ -123,7 +123,7 @@ def _(spark, d):
     vectors = e.select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector"))
     queries = docs.join(vectors, "key", "full_outer")
     base = e.select(F.col("vec_id").alias("target"), F.col("vec_id").alias("place"), F.col("embedding").alias("vector"))
-    return M.embedding_topk(queries, base)
+    return M.embedding_topk(queries, base, 64)
 
 
 Q.VIEWS["new_sections"] = keyed_sections_sql("md_docs_v2")
@@ -294,7 +294,7 @@ def _(spark, d):
 def _(spark, d):
     k = F.col("doc_id") % 4
     overrides = table(spark, d, "labels").filter("toxic = 1").join(md_docs(spark, d).select("doc_id", "name"), "doc_id").select(
-        F.col("name").alias("source"),
+        F.col("name").alias("source"), F.col("doc_id").alias("pos"),
         F.when(k == 0, "skip").when(k == 1, "CREATE").when(k == 2, "update").otherwise("destroy").alias("action_type"),
         F.when(k == 1, F.concat(F.lit("x/"), "name", F.lit(".md"))).otherwise("").alias("target_path"),
         F.when(k == 2, "by hand").alias("reason"))

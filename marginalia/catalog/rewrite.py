@@ -145,10 +145,12 @@ def strip_sql(source):
 
 
 Q.VIEWS["stripped"] = strip_sql("body_docs")
-Q.VIEWS["short_toc"] = f"""SELECT doc_id, '## 目次' || {NL} || {NL} || string_agg(item, {NL} ORDER BY line_no) AS toc, count(*) AS n FROM (
+_TOC = f"""SELECT doc_id, '## 目次' || {NL} || {NL} || string_agg(item, {NL} ORDER BY line_no) AS toc, count(*) AS n FROM (
     SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k, CASE WHEN starts_with(s, '### ') THEN '' ELSE '  ' END || '- [' || title || '](#' || {Q.anchor('title')} || ')' AS item
     FROM (SELECT *, {Q.strip("CASE WHEN starts_with(s, '### ') THEN substr(s, 5) ELSE substr(s, 6) END")} AS title
-      FROM (SELECT *, {Q.strip('line')} AS s FROM ({Q.explode('stripped')})) WHERE regexp_matches(s, '^####? '))) WHERE k <= 20 GROUP BY doc_id"""
+      FROM (SELECT *, {Q.strip('line')} AS s FROM ({Q.explode('stripped')})) WHERE regexp_matches(s, '^####? ')))"""
+Q.VIEWS["short_toc"] = f"{_TOC} WHERE k <= 20 GROUP BY doc_id"
+Q.VIEWS["whole_toc"] = f"{_TOC} GROUP BY doc_id"
 
 
 @query("strip_toc_summary", "doc_id:l text:s", "SELECT * FROM stripped")
@@ -163,7 +165,7 @@ def _(spark, d):
 
 @query("rebuild_toc", "doc_id:l text:s",
        f"""SELECT doc_id, '# ' || name || {NL} || {NL} || block || {NL} || {NL} || CASE WHEN toc IS NULL THEN '' ELSE toc || {NL} || {NL} END || '---' || {NL} || {NL} || s.text AS text
-       FROM body_docs b JOIN stripped s USING (doc_id) LEFT JOIN short_toc USING (doc_id) JOIN (
+       FROM body_docs b JOIN stripped s USING (doc_id) LEFT JOIN whole_toc USING (doc_id) JOIN (
          SELECT doc_id, string_agg(line, {NL} ORDER BY line_no) FILTER (WHERE line_no >= o AND line_no < c) AS block FROM (
            SELECT *, min(line_no) FILTER (WHERE line_no > o AND (t = '---' OR starts_with(t, '## '))) OVER (PARTITION BY doc_id) AS c
            FROM (SELECT *, min(line_no) FILTER (WHERE starts_with(t, '## サマリー')) OVER (PARTITION BY doc_id) AS o FROM (SELECT *, {Q.strip('line')} AS t FROM ({Q.explode('body_docs')})))) GROUP BY doc_id) USING (doc_id)""")

@@ -128,7 +128,7 @@ VIEWS: dict[str, str] = {
     "terms": """SELECT doc_id, i - 1 AS pos, lower(w[i]) AS term,
       array_to_string(list_slice(w, i + 1, i + 5), ' ') AS description,
       CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS flag
-      FROM (SELECT doc_id, w, unnest(range(1, least(len(w), 5) + 1)) AS i
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i
         FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents))""",
     "converter_results": f"""SELECT event_id, user_id, ts,
       'file_' || user_id || {_pick(('.pdf', '.xlsx', '.docx', '.pptx', '.ppt'), 'event_id % 5')} AS path,

@@ -78,24 +78,32 @@ def assemble_slides(slides: DataFrame, ocr: DataFrame) -> DataFrame:
     return joined.groupBy("doc_id").agg(strip(fold_rows(F.struct("slide_no", body.alias("text")), RULE)).alias("text"))
 
 
-def fill_merged_cells(cells: DataFrame, merged: DataFrame, max_rows: int) -> DataFrame:
+def fill_merged_cells(cells: DataFrame, merged: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Every cell of a merged range gets the top-left value; the last range wins.
 
     ``cells(file, sheet, row, col, value)``, ``merged(file, sheet, seq, min_row,
     max_row, min_col, max_col)``.  The ranges are unfolded to cells, so that the
-    join is on the cell and a large sheet is no hot key.
+    join is on the cell and a large sheet is no hot key.  All rows are kept
+    unless ``max_rows`` is given; a column ``truncated`` then tells of each sheet
+    whether it had more.
     """
+    within = F.lit(True) if max_rows is None else F.col("row") <= max_rows
+    last_row = F.col("max_row") if max_rows is None else F.least("max_row", F.lit(max_rows))
     tops = merged.select("file", "sheet", "seq", "max_row", "max_col", F.col("min_row").alias("row"), F.col("min_col").alias("col"))
     valued = tops.join(cells, ["file", "sheet", "row", "col"], "left")
-    rows = valued.filter(F.col("row") <= max_rows).select(
+    rows = valued.filter(within).select(
         "file", "sheet", "seq", "value", "col", "max_col",
-        F.explode(F.sequence("row", F.least("max_row", F.lit(max_rows)))).alias("at_row"))
+        F.explode(F.sequence("row", last_row)).alias("at_row"))
     spread = rows.select("file", "sheet", "seq", "value", "at_row", F.explode(F.sequence("col", "max_col")).alias("at_col"))
     last = spread.groupBy("file", "sheet", F.col("at_row").alias("row"), F.col("at_col").alias("col")).agg(
         F.max_by(F.struct("value"), "seq").alias("m"))
-    joined = cells.filter(F.col("row") <= max_rows).join(last, ["file", "sheet", "row", "col"], "left")
-    return joined.select("file", "sheet", "row", "col", F.when(
+    joined = cells.filter(within).join(last, ["file", "sheet", "row", "col"], "left")
+    filled = joined.select("file", "sheet", "row", "col", F.when(
         F.col("m").isNotNull(), F.col("m.value")).otherwise(F.col("value")).alias("value"))
+    if max_rows is None:
+        return filled
+    longest = cells.groupBy("file", "sheet").agg((F.max("row") > max_rows).alias("truncated"))
+    return filled.join(longest, ["file", "sheet"])
 
 
 def cells_to_markdown(cells: DataFrame, sheets: DataFrame) -> DataFrame:

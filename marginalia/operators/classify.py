@@ -255,9 +255,10 @@ def next_page_status(attempts: DataFrame, max_attempts: int = 3) -> DataFrame:
     )
 
 
-def run_mode(base: DataFrame, ledger: DataFrame) -> str:
-    """``update`` if a ledger or documents exist, else ``new``; reads one row at most."""
-    return "new" if ledger.isEmpty() and base.isEmpty() else "update"
+def run_mode(base: DataFrame, ledger: DataFrame) -> DataFrame:
+    """One row: ``update`` if a ledger or documents exist, else ``new``; reads one row of each at most."""
+    some = base.limit(1).select(F.lit(1)).unionAll(ledger.limit(1).select(F.lit(1)))
+    return some.agg(F.when(F.count("*") > 0, "update").otherwise("new").alias("mode"))
 
 
 def pdf_verdict(present: Column, size_kb: Column, white_ratio: Column, text_chars: Column) -> Column:

@@ -232,17 +232,18 @@ def best_match(new: DataFrame, base: DataFrame, nearby: bool = True) -> DataFram
 
 
 def already_in_base(docs: DataFrame, entries: DataFrame) -> DataFrame:
-    """(name, target) of documents a ledger entry names; the first entry decides and a blank
-    target counts as none."""
+    """(name, target), one row per name that documents bear and a ledger entry names; the first
+    entry decides and a blank target counts as none."""
     first = entries.groupBy("source").agg(F.min_by("target", "pos").alias("target"))
-    return docs.join(first.withColumnRenamed("source", "name"), "name").filter("target <> ''").select("name", "target")
+    return docs.select("name").distinct().join(first.withColumnRenamed("source", "name"), "name").filter("target <> ''").select("name", "target")
 
 
-def embedding_topk(queries: DataFrame, base: DataFrame, k: int = 10, rows_per_block: int = 20_000) -> DataFrame:
+def embedding_topk(queries: DataFrame, base: DataFrame, width: int, k: int = 10, rows_per_block: int = 20_000) -> DataFrame:
     """The k most similar base vectors of each query ``(key, vector)``; ``base(target, place, vector)``.
 
     A missing base vector scores 0.0; a missing query vector takes the first k
-    in place order; ties keep the place order.  Blocks of the base meet chunks
+    in place order; ties keep the place order; a vector of another length than
+    ``width`` raises an error.  Blocks of the base meet chunks
     of the queries as matrices, and each query leaves a block with k rows.
     """
     n_blocks, n_chunks = _blocks(base, rows_per_block), _blocks(queries, rows_per_block)
@@ -253,24 +254,25 @@ def embedding_topk(queries: DataFrame, base: DataFrame, k: int = 10, rows_per_bl
         right = right.sort_values("place", ignore_index=True)
 
         def unit(column: pd.Series) -> np.ndarray:
-            width = max((len(v) for v in column if v is not None), default=0)
             m = np.zeros((len(column), width))
-            for i, v in enumerate(column):
-                if v is not None and len(v) == width:
-                    m[i] = np.asarray(v, dtype=np.float64)
+            given = [i for i, v in enumerate(column) if v is not None]
+            if any(len(column.iat[i]) != width for i in given):
+                raise ValueError(f"a vector does not have {width} components")
+            if given:
+                m[given] = np.stack([column.iat[i] for i in given])
             norms = np.linalg.norm(m, axis=1, keepdims=True)
             return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
 
         a, b = unit(left["vector"]), unit(right["vector"])
         out = []
         for start in range(0, len(a), 1000):
-            sims = a[start:start + 1000] @ b.T if b.shape[1] == a.shape[1] else np.zeros((len(a[start:start + 1000]), len(b)))
+            sims = a[start:start + 1000] @ b.T
             # Equal vectors must tie whatever their place in the matrix.
             order = np.argsort(-np.round(sims, 12), axis=1, kind="stable")[:, :k]
-            for i, cols in enumerate(order):
-                out.append(pd.DataFrame({
-                    "key": left["key"].iat[start + i], "target": right["target"].to_numpy()[cols],
-                    "place": right["place"].to_numpy()[cols], "sim": sims[i, cols]}))
+            cols = order.ravel()
+            out.append(pd.DataFrame({
+                "key": np.repeat(left["key"].to_numpy()[start:start + 1000], order.shape[1]), "target": right["target"].to_numpy()[cols],
+                "place": right["place"].to_numpy()[cols], "sim": np.take_along_axis(sims, order, axis=1).ravel()}))
         return pd.concat(out, ignore_index=True)
 
     spread_q = queries.filter("vector IS NOT NULL").select(
@@ -607,8 +609,8 @@ def attach_chapter_summaries(chapters: DataFrame, summaries: DataFrame) -> DataF
 
 
 def apply_overrides(actions: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Override rows by source: known action types, non-empty targets, given reasons."""
-    o = overrides.groupBy("source").agg(F.first(F.struct("action_type", "target_path", "reason")).alias("o"))
+    """Override rows by source: known action types, non-empty targets, given reasons; the last by ``pos`` decides."""
+    o = overrides.groupBy("source").agg(F.max_by(F.struct("action_type", "target_path", "reason"), "pos").alias("o"))
     joined = actions.join(o, "source", "left")
     kind = F.lower(F.col("o.action_type"))
     return joined.select(

@@ -168,8 +168,8 @@ def render_toc(entries: Column) -> Column:
     return rstrip(F.array_join(F.transform(entries, line), "\n"))
 
 
-def build_toc(text: Column, limit: int = 20) -> Column:
-    """``## 目次`` with the first ``limit`` level 3-4 headings; empty if there are none."""
+def build_toc(text: Column, limit: int | None = 20) -> Column:
+    """``## 目次`` with the first ``limit`` level 3-4 headings (None: all); empty if there are none."""
     def line(x: Column) -> Column:
         def item(title: Column, indent: str) -> Column:
             return let(title, lambda t: F.concat(F.lit(indent + "- ["), t, F.lit("](#"), anchor(t), F.lit(")")))
@@ -177,8 +177,9 @@ def build_toc(text: Column, limit: int = 20) -> Column:
         return (F.when(x.startswith("### "), item(strip(F.substr(x, F.lit(5))), ""))
                 .when(x.startswith("#### "), item(strip(F.substr(x, F.lit(6))), "  ")))
 
-    entries = F.slice(F.array_compact(F.transform(
-        F.filter(F.transform(lines(text), strip), lambda x: x.rlike("^####? ")), line)), 1, limit)
+    entries = F.array_compact(F.transform(F.filter(F.transform(lines(text), strip), lambda x: x.rlike("^####? ")), line))
+    if limit is not None:
+        entries = F.slice(entries, 1, limit)
     return let(entries, lambda e: F.when(F.size(e) == 0, "").otherwise(
         F.concat(F.lit("## 目次\n\n"), F.array_join(e, "\n"))))
 
@@ -267,8 +268,8 @@ def finalize_document(text: Column, name: Column, stable: bool = False) -> Colum
     return F.when(strip(text) == "", text).otherwise(let(let(split_lines(text), parts), build))
 
 
-def rebuild_toc(text: Column, title: Column) -> Column:
-    """New title and contents table in front of the body; the summary block stays."""
+def rebuild_toc(text: Column, title: Column, limit: int | None = None) -> Column:
+    """New title and contents table (``limit`` entries at most, default all) in front of the body; the summary block stays."""
     def summary_block(ls: Column) -> Column:
         def build(t: Column) -> Column:
             start = F.array_min(positions(t, lambda x: x.startswith(P.SUMMARY_HEADING)))
@@ -279,7 +280,7 @@ def rebuild_toc(text: Column, title: Column) -> Column:
         return let(F.transform(ls, strip), build)
 
     def assemble(clean: Column) -> Column:
-        return let(build_toc(clean), lambda toc: let(let(lines(text), summary_block), lambda s: (
+        return let(build_toc(clean, limit), lambda toc: let(let(lines(text), summary_block), lambda s: (
             F.when(toc != "", F.concat(F.lit("# "), title, F.lit("\n\n"), s, toc, F.lit("\n\n---\n\n"), clean))
             .when(s != "", F.concat(F.lit("# "), title, F.lit("\n\n"), s, F.lit("---\n\n"), clean))
             .otherwise(clean))))

@@ -19,6 +19,9 @@ from ..operators.structure import sections_h12
 REASON_EXCLUDED = "除外設定にマッチ"
 REASON_LEDGER = "既にナレッジ化済み（mapping.jsonに存在）"
 REASON_NONE = "新規トピックとして追加。既存ナレッジに該当なし。"
+#: Fixed wording of the reasons.
+REASON_SIMPLE = "（AI判定が利用できないため簡易判定）"
+REASON_UNPLACED = "新規トピックとして追加。"
 REASON_SAME = "変更なし（ハッシュ一致）"
 NEW_CATEGORY = "01_新規"
 
@@ -62,6 +65,8 @@ def plan_updates(
         names.join(known.select("name", F.col("target").alias("known_target")), "name", "left")
         .join(matched, "key", "left").join(placed, "key", "left"))
     known_one = F.col("known_target").isNotNull()
+    percent = F.concat(
+        F.lit("（類似度"), F.bround(F.coalesce("similarity", F.lit(0.0)) * 100, 0).cast("bigint").cast("string"), F.lit("%）"))
     return joined.select(
         F.col("name").alias("source"), "key", "is_excluded",
         F.when(F.col("is_excluded") | known_one | F.col("same"), "skip")
@@ -71,10 +76,12 @@ def plan_updates(
         F.when(F.col("is_excluded") | known_one, 0.0).when(F.col("same"), 1.0)
         .otherwise(F.coalesce("similarity", F.lit(0.0))).alias("similarity"),
         F.when(F.col("is_excluded"), REASON_EXCLUDED).when(known_one, REASON_LEDGER).when(F.col("same"), REASON_SAME)
-        .when(F.col("match").isNull(), REASON_NONE)
+        .when(F.col("match").isNull(), F.concat(F.lit(REASON_NONE), percent))
         .when(F.col("created").isNotNull(), F.concat(
-            F.lit("「"), F.substring_index("match", "/", 1), F.lit("」カテゴリに関連する内容のため、同カテゴリへ配置を推奨。")))
-        .otherwise(F.concat(F.lit("既存『"), "match", F.lit("』と類似。同一トピックのため更新対象。"))).alias("reason"),
+            F.when(F.contains("match", F.lit("/")), F.concat(
+                F.lit("「"), F.substring_index("match", "/", 1), F.lit("」カテゴリに関連する内容のため、同カテゴリへ配置を推奨。")))
+            .otherwise(REASON_UNPLACED), F.lit(REASON_SIMPLE), percent))
+        .otherwise(F.concat(F.lit("既存『"), "match", F.lit("』と類似。同一トピックのため更新対象。" + REASON_SIMPLE))).alias("reason"),
     )
 
 

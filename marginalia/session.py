@@ -14,10 +14,12 @@ def local_session(cores: str = "8", partitions: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("marginalia")
         .config("spark.sql.shuffle.partitions", partitions)
+        .config("marginalia.scan.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

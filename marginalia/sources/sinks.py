@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterator
 
@@ -13,12 +14,22 @@ INVENTORY_COLUMNS = (
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder of the cluster."""
+    """A new folder below the shared checkpoint folder of the cluster, removed when the driver's Python ends."""
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
     root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:  # the session has ended
+        return
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_structured_json(records: DataFrame, path: str) -> None:

@@ -18,12 +18,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table of fewer files than cores, whose scan would have too few tasks.
+    """Deal the rows of a scan over as many partitions as the session asks for; by default they stay where they are.
 
-    A large table has more files than that and is left as it is: no shuffle.
+    Only a session over small test files, which one task would read, sets ``marginalia.scan.partitions``.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    wanted = df.sparkSession.conf.get("marginalia.scan.partitions", None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,13 +190,13 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def terms(spark: SparkSession, folder: str) -> DataFrame:
-    """Term rows: each of the first five words with the five words behind it."""
+    """Term rows: each word with the five words behind it."""
     words = F.split("text", " ", -1)
     base = documents(spark, folder).select("doc_id", words.alias("w"), F.size(words).alias("n"))
     return base.select(
         "doc_id",
         F.posexplode(F.transform(
-            F.sequence(F.lit(1), F.least(F.col("n"), F.lit(5))),
+            F.sequence(F.lit(1), F.col("n")),
             lambda i: F.struct(
                 F.lower(F.get(F.col("w"), i - 1)).alias("term"),
                 F.array_join(F.slice(F.col("w"), i + 1, F.lit(5)), " ").alias("description"),

@@ -188,7 +188,7 @@ def test_embedding_topk_blocks(spark):
     for key, v in queries:
         order = sorted(base, key=lambda t: (-round(cos(v, t[2]), 12), t[1])) if v is not None else base
         want[key] = [t[0] for t in order[:10]]
-    rows = M.embedding_topk(q, b, 10, rows_per_block=7).collect()
+    rows = M.embedding_topk(q, b, 4, 10, rows_per_block=7).collect()
     got = {k: [r["target"] for r in sorted((r for r in rows if r["key"] == k), key=lambda r: r["rank"])] for k, _ in queries}
     assert got == want
 
@@ -331,3 +331,34 @@ def test_text_stream_skips_what_was_seen(spark, tmp_path):
     (source / "b.txt").write_text("three")
     run_once(text_stream(spark, str(source)), out, state)
     assert sorted(r["text"] for r in spark.read.parquet(out).collect()) == ["one\ntwo", "three"]
+
+
+def test_repeated_names_give_one_row_per_document(spark):
+    new = spark.createDataFrame(
+        [(1, "n_1", "# A\ntext one"), (2, "n_1", "# B\ntext two"), (3, "n_2", "# C\nother text")], "key long, name string, text string")
+    base = spark.createDataFrame([("01_a/01_x.md", "01_a", "# Z\nsomething else")], "path string, category string, text string")
+    entries = spark.createDataFrame([("n_1", 1, "01_a/01_x.md"), ("n_1", 2, "later.md")], "source string, pos int, target string")
+    rows = {r["key"]: r for r in U.plan_updates(new, base, entries).collect()}
+    assert len(rows) == 3 and U.plan_updates(new, base, entries).count() == 3
+    assert rows[1]["target"] == rows[2]["target"] == "01_a/01_x.md" and rows[3]["action"] == "create"
+    assert "（類似度" in rows[3]["reason"]
+
+
+def test_last_override_and_empty_base(spark):
+    from marginalia.operators import classify as K
+
+    actions = spark.createDataFrame([("s", "create", "t", "r")], "source string, action string, target string, reason string")
+    overrides = spark.createDataFrame(
+        [("s", 1, "skip", "", None), ("s", 2, "update", "x.md", "by hand")], "source string, pos int, action_type string, target_path string, reason string")
+    row = M.apply_overrides(actions, overrides).first()
+    assert (row["action"], row["target"], row["reason"]) == ("update", "x.md", "by hand")
+    empty = spark.createDataFrame([], "path string")
+    assert [r["mode"] for r in K.run_mode(empty, empty).collect()] == ["new"]
+    assert [r["mode"] for r in K.run_mode(overrides, empty).collect()] == ["update"]
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    q = spark.createDataFrame([(1, [1.0, 2.0])], "key bigint, vector array<float>")
+    b = spark.createDataFrame([(1, 1, [1.0, 2.0, 3.0])], "target bigint, place bigint, vector array<float>")
+    with pytest.raises(Exception, match="components"):
+        M.embedding_topk(q, b, 2).collect()
