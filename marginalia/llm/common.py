@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.text import let
 from ..sources.sinks import scratch_path
 
 #: Matches of one document are numbered in blocks of this many, so that positions cost no quadratic work.
@@ -42,16 +43,15 @@ def letters(word: str) -> str:
 
 def running_sum(values: Column) -> Column:
     """Sum of the elements before each element of an array of longs, linear but for blocks."""
-    zero = F.lit(0).cast("bigint")
-    total = lambda part: F.aggregate(part, zero, lambda a, x: a + x)
+    total = lambda part: F.aggregate(part, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+    def placed(blocks: Column) -> Column:
+        return let(F.transform(blocks, total), lambda sums: F.flatten(F.transform(blocks, lambda part, b: let(
+            total(F.slice(sums, 1, b)), lambda before: F.transform(part, lambda _, i: before + total(F.slice(part, 1, i)))))))
+
     n_blocks = F.ceil(F.size(values) / BLOCK).cast("int")
-    blocks = F.transform(F.sequence(F.lit(1), n_blocks), lambda b: F.slice(values, (b - 1) * BLOCK + 1, BLOCK))
-    sums = F.transform(blocks, total)
-    parts = F.transform(
-        F.arrays_zip(blocks.alias("part"), F.sequence(F.lit(0), n_blocks - 1).alias("at")),
-        lambda z: F.transform(
-            z["part"], lambda _, i: total(F.slice(sums, 1, z["at"])) + total(F.slice(z["part"], 1, i))))
-    return F.when(F.size(values) == 0, F.array().cast("array<bigint>")).otherwise(F.flatten(parts))
+    cut = F.transform(F.sequence(F.lit(1), n_blocks), lambda b: F.slice(values, (b - 1) * BLOCK + 1, BLOCK))
+    return F.when(F.size(values) == 0, F.array().cast("array<bigint>")).otherwise(let(cut, placed))
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -62,15 +62,12 @@ def matches(text: Column, pattern: str) -> Column:
     """
     kind = "array<struct<start:bigint,match:string,before:string>>"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    both = F.zip_with(
-        found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("match"), g.alias("before")))
+    both = let(found, lambda m: F.zip_with(m, F.slice(F.split(text, pattern, -1), 1, F.size(m)), lambda x, gap: F.struct(
+        x.alias("match"), gap.alias("before"))))
 
     def placed(pairs: Column) -> Column:
         steps = F.transform(pairs, lambda p: (F.length(p["match"]) + F.length(p["before"])).cast("bigint"))
-        return F.zip_with(pairs, running_sum(steps), lambda p, s: F.struct(
+        return F.zip_with(pairs, let(steps, running_sum), lambda p, s: F.struct(
             (s + F.length(p["before"])).alias("start"), p["match"].alias("match"), p["before"].alias("before")))
 
-    # Evaluated once per row: the pairs are bound by a one-element transform.
-    bound = F.element_at(F.transform(F.array(both), placed), 1)
-    return F.when(text.rlike(pattern), bound).otherwise(F.array()).cast(kind)
+    return F.when(text.rlike(pattern), let(both, placed)).otherwise(F.array()).cast(kind)

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import matches, stored
+from ..functions.text import let
+from .common import BLOCK, matches, stored
 
 #: Fixed patterns of the base kinds, as they are told.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
@@ -81,16 +82,26 @@ def _tokens(text: Column, base: Column) -> Column:
     """(start, end, token, pattern, seed) of the words that may be identifiers."""
 
     def one(m: Column) -> Column:
-        led = F.regexp_replace(m["match"], _EDGE, "")
-        token = F.regexp_replace(led, _TAIL, "")
-        start = (m["start"] + F.length(m["match"]) - F.length(led)).cast("bigint")
-        end = (start + F.length(token)).cast("bigint")
-        before = F.regexp_extract(F.concat(F.lit("# # "), F.right(m["before"], F.lit(WINDOW))), _BEFORE, 0)
-        pattern = F.rtrim(F.lower(F.regexp_replace(before, f"[{_SPACE}]+", " ")))
-        seed = F.exists(base, lambda b: (b["start"] < end) & (start < b["end"]))
-        return F.struct(start.alias("start"), end.alias("end"), token.alias("token"), pattern.alias("pattern"), seed.alias("seed"))
-
-    return F.filter(F.transform(matches(text, _TOKEN), one), lambda t: F.length(t["token"]) > 0)
+        return let(F.regexp_replace(m["match"], _EDGE, ""), lambda led: let(F.regexp_replace(led, _TAIL, ""), lambda token: F.struct(
+            (m["start"] + F.length(m["match"]) - F.length(led)).cast("bigint").alias("start"),
+            (m["start"] + F.length(m["match"]) - F.length(led) + F.length(token)).cast("bigint").alias("end"),
+            token.alias("token"),
+            F.rtrim(F.lower(F.regexp_replace(
+                F.regexp_extract(F.concat(F.lit("# # "), F.right(m["before"], F.lit(WINDOW))), _BEFORE, 0), f"[{_SPACE}]+", " "))
+            ).alias("pattern"))))
+
+    def marked(tokens: Column) -> Column:
+        """Tokens are held against the base spans of their block only."""
+        cut = F.transform(F.sequence(F.lit(1), F.ceil(F.size(tokens) / BLOCK).cast("int")),
+                          lambda b: F.slice(tokens, (b - 1) * BLOCK + 1, BLOCK))
+        within = lambda part: F.filter(base, lambda b: (
+            b["start"] < F.element_at(part, -1)["end"]) & (b["end"] > F.element_at(part, 1)["start"]))
+        return F.flatten(F.transform(cut, lambda part: let(within(part), lambda near: F.transform(part, lambda t: t.withField(
+            "seed", F.exists(near, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))))))
+
+    kind = "array<struct<start:bigint,end:bigint,token:string,pattern:string,seed:boolean>>"
+    some = F.filter(F.transform(matches(text, _TOKEN), one), lambda t: F.length(t["token"]) > 0)
+    return let(some, lambda tokens: F.when(F.size(tokens) > 0, marked(tokens)).otherwise(F.array())).cast(kind)
 
 
 def _identifier(token: Column) -> Column:
