@@ -6,16 +6,19 @@ odd sketch, whose XOR population count estimates high similarities; only
 candidates that pass the estimate are confirmed on the full sets.
 
 Equal sets are one class, so copies cost one row.  Within a bucket every class
-is compared with one centre, drawn anew for each bucket, not with every other.
-What then still lies in several components of one bucket is compared across
-components; so no link between two classes that share a bucket is lost, and a
-group of near copies costs its size, not its square.
+is first compared with one centre, drawn anew for each bucket, which joins most
+groups at the cost of their size.  What then still lies in several components
+of one bucket is compared across components, in blocks: a task gets the
+sketches of two chunks, then the sets of those that may link, and hands on only
+which components are tied.  So no link between two classes that share a bucket
+is lost, and no pairs within a group are made as rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -29,9 +32,10 @@ from .components import components
 WORDS = 5
 BANDS, ROWS = 24, 5
 SKETCH_BITS = 512
-#: Buckets over this size are cut by further samples before members are compared across components.
-LARGE = 32
-SUB_BANDS = 6
+#: Classes of a bucket that one row of work compares at once.
+CHUNK = 128
+#: Cells of a table of (class, shingle) up to which a block is counted as a matrix.
+CELLS = 32_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -100,10 +104,8 @@ def _signer(bands: int, rows: int):
                 digest = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
                 values = samples(s, bands * rows)
                 keys = [xxhash.xxh3_64_intdigest(v.tobytes(), seed=b) for b, v in enumerate(values.reshape(bands, rows))]
-                sub = [xxhash.xxh3_64_intdigest(v.tobytes(), seed=1000 + b)
-                       for b, v in enumerate(values[: SUB_BANDS * 4].reshape(SUB_BANDS, 4))]
                 out.append((*row, len(s), digest[0], digest[1],
-                            np.array(keys + sub, np.uint64).view(np.int64), odd_sketch(values)))
+                            np.array(keys, np.uint64).view(np.int64), odd_sketch(values)))
             yield pd.DataFrame(out, columns=["doc_id", "known", "rk", "n_shingles", "h1", "h2", "keys", "sketch"])
 
     return sign
@@ -123,6 +125,59 @@ def _common(left: pd.Series, right: pd.Series) -> pd.Series:
         for x, y in zip(left, right, strict=True)], dtype="int64")
 
 
+class Side(NamedTuple):
+    """Classes of one chunk: sizes, roots, sketches, band keys."""
+
+    n: np.ndarray
+    root: np.ndarray
+    sketch: np.ndarray
+    keys: np.ndarray
+
+    @classmethod
+    def of(cls, n, root, sketch, keys) -> Side:
+        return cls(np.asarray(n), np.asarray(root), np.asarray(sketch).reshape(len(n), -1), np.asarray(keys).reshape(len(n), -1))
+
+
+def _may_link(a: Side, b: Side, key: int, similarity_pct: int, limit: int) -> np.ndarray:
+    """Pairs of different components that sizes and sketches allow and whose first shared band is this one."""
+    sizes = 100 * np.minimum(a.n[:, None], b.n[None, :]) >= similarity_pct * np.maximum(a.n[:, None], b.n[None, :])
+    near = sizes & (a.root[:, None] != b.root[None, :])
+    if not near.any():
+        return near
+    apart = np.zeros(near.shape, np.uint16)
+    for w in range(a.sketch.shape[1]):
+        apart += np.bitwise_count(a.sketch[:, w, None] ^ b.sketch[None, :, w])
+    near &= apart <= limit
+    band = int(np.flatnonzero(a.keys[0] == key)[0])
+    for k in range(band):
+        near &= a.keys[:, k, None] != b.keys[None, :, k]
+    return near
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray], near: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs in ``near``."""
+    names, at = np.unique(np.concatenate(left + right), return_inverse=True)
+    if len(names) * (len(left) + len(right)) <= CELLS:
+        table = np.zeros((len(left) + len(right), len(names)), np.float32)
+        table[np.repeat(np.arange(len(table)), [len(x) for x in left + right]), at] = 1
+        return (table[: len(left)] @ table[len(left):].T).astype(np.int64)
+    out = np.zeros(near.shape, np.int64)
+    for i, j in zip(*np.nonzero(near), strict=True):
+        out[i, j] = len(np.intersect1d(left[i], right[j], assume_unique=True))
+    return out
+
+
+def _tied(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest root tied to each row and column of a block of links."""
+    top = np.iinfo(np.int64).max
+    while True:
+        new_right = np.minimum(right, np.where(hit, left[:, None], top).min(axis=0))
+        new_left = np.minimum(left, np.where(hit, new_right[None, :], top).min(axis=1))
+        if (new_left == left).all() and (new_right == right).all():
+            return left, right
+        left, right = new_left, new_right
+
+
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         yield pd.DataFrame({"cid": batch["cid"], "shingles": [shingle_set(t).tobytes() for t in batch["text"]]})
@@ -171,19 +226,12 @@ def _judged(docs: DataFrame, similarity_pct: int = 85, bands: int = BANDS, rows:
     def sizes_fit(n: str, m: str) -> Column:
         return 100 * F.least(n, m) >= similarity_pct * F.greatest(n, m)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Links among (a, b), on the full sets, which are made for candidates only."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    def shingles_of(ids: DataFrame) -> DataFrame:
+        """Full sets, made anew from the texts, for these classes only."""
         wanted = stored(classes.select("cid", "rk").join(ids, "cid", "left_semi"), "wanted")
-        sets = stored(
-            raw.select("rk", "text").join(wanted, "rk").dropDuplicates(["cid"]).select("cid", "text")
-            .mapInPandas(_sets, "cid bigint, shingles binary"), "sets")
-        side = lambda s: sets.select(F.col("cid").alias(s), F.col("shingles").alias(f"set_{s}"))
-        met = pairs.join(side("b"), "b").join(side("a"), "a")
-        counted = met.select(
-            "a", "b", (F.octet_length("set_a") / 8).cast("bigint").alias("n"),
-            (F.octet_length("set_b") / 8).cast("bigint").alias("m"), _common("set_a", "set_b").alias("c"))
-        return counted.filter(100 * F.col("c") >= similarity_pct * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b")
+        # The same plan at every size: the texts go to the candidates by shuffle.
+        met = raw.select("rk", "text").join(wanted.hint("merge"), "rk").dropDuplicates(["cid"]).select("cid", "text")
+        return stored(met.mapInPandas(_sets, "cid bigint, shingles binary"), "sets", 1000)
 
     # Every class against the centre of each of its buckets.
     buckets = placed.groupBy("key").agg(
@@ -191,27 +239,75 @@ def _judged(docs: DataFrame, similarity_pct: int = 85, bands: int = BANDS, rows:
     ).filter("size > 1").select("key", F.col("hub.cid").alias("hub"), F.col("hub.n").alias("hub_n"))
     stars = placed.join(buckets, "key").filter((F.col("cid") != F.col("hub")) & sizes_fit("n", "hub_n")).select(
         F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
-    links = stored(confirmed(stored(alike(stars), "stars")), "links")
+    near = stored(alike(stars), "stars")
+    sets = shingles_of(near.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
+    side = lambda s: sets.select(F.col("cid").alias(s), F.col("shingles").alias(f"set_{s}"))
+    counted = near.join(side("b"), "b").join(side("a"), "a").select(
+        "a", "b", (F.octet_length("set_a") / 8).cast("bigint").alias("n"),
+        (F.octet_length("set_b") / 8).cast("bigint").alias("m"), _common("set_a", "set_b").alias("c"))
+    links = stored(counted.filter(
+        100 * F.col("c") >= similarity_pct * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b"), "links", 500)
     roots = components(links)
 
     # What several components of one bucket still hold, across components.
-    rooted = classes.join(roots, classes["cid"] == roots["node"], "left").select(
-        "cid", "n", "keys", F.coalesce("root", "cid").alias("root"))
-    spread = rooted.select("cid", "n", "root", F.slice("keys", bands + 1, SUB_BANDS).alias("sub"),
-                           F.explode(F.slice("keys", 1, bands)).alias("key"))
-    mixed = spread.groupBy("key").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")
-    ).filter("lo <> hi").select("key", "size")
-    left = spread.join(mixed, "key").select(
-        "cid", "n", "root", F.explode(F.when(F.col("size") <= LARGE, F.array("key")).otherwise(
-            F.transform("sub", lambda s: F.xxhash64("key", s)))).alias("key"))
-    left = stored(left, "left")
-    other = left.select("key", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
-    across = left.withColumnRenamed("cid", "a").join(other, "key").filter(
-        (F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & sizes_fit("n", "m")).select("a", "b").distinct()
-    rest = stored(alike(across), "across")
-    if not rest.isEmpty():
-        more = stored(confirmed(rest), "links")
+    rooted = stored(classes.join(roots, classes["cid"] == roots["node"], "left").select(
+        "cid", "n", "keys", "sketch", F.coalesce("root", "cid").alias("root")), "rooted")
+    spread = rooted.select("cid", "root", F.explode("keys").alias("key"))
+    several = spread.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    left = stored(spread.join(several, "key"), "left")
+    # A component that is large in a bucket has chunks of its own, which aren't compared with each other.
+    per_root = left.groupBy("key", "root").agg(F.count("*").alias("size")).withColumn(
+        "own", F.when(F.col("size") >= CHUNK, F.col("root")).otherwise(-1))
+    chunks = per_root.groupBy("key", "own").agg(F.ceil(F.sum("size") / CHUNK).alias("chunks"))
+    labels = per_root.select("key", "root", "own").join(chunks, ["key", "own"])
+    parts = ("cid", "n", "root", "sketch", "keys")
+    held = left.join(labels, ["key", "root"]).select("key", "cid", "own", F.pmod(F.xxhash64("cid", "key"), "chunks").alias("c")).join(
+        rooted, "cid").groupBy("key", "own", "c").agg(F.sort_array(F.collect_list(F.struct(*parts))).alias("h")).select(
+        "key", "own", "c", *[F.col(f"h.{c}") for c in parts[:3]], *[F.flatten(f"h.{c}").alias(c) for c in parts[3:]])
+    held = stored(held, "held")
+    other = held.select("key", *[F.col(c).alias(f"{c}_j") for c in ("own", "c", *parts)])
+    work = held.join(other, "key").filter(
+        "own > own_j OR (own = -1 AND own_j = -1 AND (c > c_j OR (c = c_j AND size(cid) > 1)))")
+
+    def candidates(batches):
+        for batch in batches:
+            for r in batch.itertuples():
+                same = r.own == r.own_j and r.c == r.c_j
+                a = Side.of(r.n, r.root, r.sketch, r.keys)
+                hit = _may_link(a, a if same else Side.of(r.n_j, r.root_j, r.sketch_j, r.keys_j), r.key, similarity_pct, limit)
+                if hit.any():
+                    ids = [np.asarray(r.cid)[hit.any(axis=1)], np.asarray(r.cid_j)[hit.any(axis=0)][: 0 if same else None]]
+                    yield pd.DataFrame({
+                        "key": r.key, "own": r.own, "c": r.c, "own_j": r.own_j, "c_j": r.c_j,
+                        "side": np.repeat([0, 1], [len(x) for x in ids]), "cid": np.concatenate(ids)})
+
+    block = ("key", "own", "c", "own_j", "c_j")
+    asked = stored(work.mapInPandas(
+        candidates, "key bigint, own bigint, c bigint, own_j bigint, c_j bigint, side int, cid bigint"), "asked", 64)
+    missing = stored(asked.select("cid").distinct().join(sets.select("cid"), "cid", "left_anti"), "missing")
+    every = sets if missing.isEmpty() else sets.unionByName(shingles_of(missing))
+    member = F.struct("side", *parts, "shingles")
+    blocks = asked.join(rooted, "cid").join(every, "cid").groupBy(*block).agg(
+        F.sort_array(F.collect_list(member)).alias("h")).select(
+        *block, *[F.col(f"h.{c}") for c in ("side", "n", "root", "shingles")], *[F.flatten(f"h.{c}").alias(c) for c in ("sketch", "keys")])
+
+    def ties(batches):
+        for batch in batches:
+            for r in batch.itertuples():
+                side, whole = np.asarray(r.side), Side.of(r.n, r.root, r.sketch, r.keys)
+                same = r.own == r.own_j and r.c == r.c_j
+                at = [np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))]
+                a, b = (Side(*[x[i] for x in whole]) for i in at)
+                near = _may_link(a, b, r.key, similarity_pct, limit)
+                sets_a, sets_b = ([np.frombuffer(r.shingles[i], np.uint64) for i in ids] for ids in at)
+                common = _intersections(sets_a, sets_b, near)
+                hit = near & (100 * common >= similarity_pct * (a.n[:, None] + b.n[None, :] - common))
+                if hit.any():
+                    tied = _tied(hit, a.root, b.root)
+                    yield pd.DataFrame({"a": np.concatenate([a.root, b.root]), "b": np.concatenate(tied)})
+
+    more = stored(blocks.mapInPandas(ties, "a bigint, b bigint").filter("a <> b").distinct(), "ties", 16)
+    if not more.isEmpty():
         tied = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(tied.union(more))
 
