@@ -217,13 +217,18 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) ->
 def clean(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all columns."""
     for block in _blocks(items, rate):
+        docs = docs.filter(~_hit(block)(F.col("text")))
+    return docs
 
-        def hit(texts: pd.Series, block=block) -> pd.Series:
-            finder = block.finder()
-            return pd.Series([bool(finder.find(t)) for t in texts], dtype=bool)
 
-        docs = docs.filter(~F.pandas_udf(hit, BooleanType())(F.col("text")))
-    return docs
+def _hit(block: _Block):
+    """A column function that tells whether a text holds an item of the block."""
+
+    def hit(texts: pd.Series) -> pd.Series:
+        finder = block.finder()
+        return pd.Series([bool(finder.find(t)) for t in texts], dtype=bool)
+
+    return F.pandas_udf(hit, BooleanType())
 
 
 def op6(spark: SparkSession, folder: str) -> DataFrame:
