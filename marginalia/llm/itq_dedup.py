@@ -27,7 +27,7 @@ SAMPLE = 10_000
 #: Mean size of a bucket, which sets the bits of a key from the number of vectors.
 BUCKET = 64
 #: Chance that a pair exactly at the limit shares no key, which sets the number of keys.
-MISS = 1e-4
+MISS = 1e-6
 MOST_ROTATIONS = 64
 STEPS = 30
 #: Vectors of a bucket that one row of work compares at once.
@@ -69,7 +69,7 @@ class Coder:
             self.matrices.append(rotation(centred, len(self.matrices)))
             differ = self.signs(base) != self.signs(partner)
             shared = ~self.cut(differ).any(axis=2)
-            if (~shared.any(axis=1)).mean() <= MISS:
+            if shared.any(axis=1).all() and np.prod(1 - shared.mean(axis=0)) <= MISS:
                 break
         apart = differ.sum(axis=1)
         self.radius = math.ceil(apart.mean() + 6 * apart.std() + 1)
