@@ -50,7 +50,7 @@ def _(spark, d):
     return R.scan_knowledge_base(paths)
 
 
-@query("read_csv_table", "p_partkey:l p_name:s p_size:l")
+@query("read_csv_table", "p_partkey:l p_name:s p_size:l", "SELECT p_partkey, p_name, p_size FROM part")
 def _(spark, d):
     out = K.scratch_path(spark, "csv")
     table(spark, d, "part").select("p_partkey", "p_name", "p_size").write.csv(out, header=True)

@@ -211,7 +211,12 @@ def _(spark, d):
     return md_docs(spark, d).select("doc_id", T.resolve_path(F.col("category"), target).alias("resolved"))
 
 
-@query("format_numbers", "doc_id:l thousands:s two:s three:s share:s")
+@query(
+    "format_numbers", "doc_id:l thousands:s two:s three:s share:s",
+    """SELECT doc_id, format('{:,}', length(text)) AS thousands, lpad((doc_id % 100)::VARCHAR, 2, '0') AS two,
+      CASE WHEN doc_id < 1000 THEN lpad(doc_id::VARCHAR, 3, '0') ELSE doc_id::VARCHAR END AS three,
+      CAST(round((doc_id % 1000)::DOUBLE / 1000::DOUBLE * 100) AS BIGINT) || '%' AS share FROM documents""",
+)
 def _(spark, d):
     k, n = F.col("doc_id"), F.length("text")
     return documents(spark, d).select(
