@@ -14,20 +14,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .common import stored
+
 LENGTHS = (4, 3, 2, 1)
 #: Labelled rows per language that the model is fitted on; all when there are fewer.
-ROWS = 5_000
+ROWS = 2_000
 #: Most frequent words and n-grams kept, which bounds the model; all other words back off.
-WORDS, GRAMS = 60_000, 60_000
+WORDS, GRAMS = 50_000, 30_000
 UNDETERMINED = "und"
 #: Words of evidence after which more of them don't raise the confidence.
 EVIDENCE = 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 _FLUSH = 200_000
+#: Words that a worker remembers with the score they backed off to.
+CACHE = 300_000
 
 
 def words(text: str | None) -> list[str]:
@@ -44,20 +49,24 @@ def grams(word: str, n: int) -> list[str]:
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of words and n-grams by language, summed within the task, handed on before they grow large."""
-    held: Counter = Counter()
+    held: dict[str, Counter] = {}
 
     def frame() -> pd.DataFrame:
-        return pd.DataFrame(
-            [(lang, kind, unit, n) for (lang, kind, unit), n in held.items()], columns=["lang", "kind", "unit", "n"])
+        rows = []
+        for lang, counted in held.items():
+            parts: Counter = Counter()
+            for word, n in counted.items():
+                rows.append((lang, 0, word, n))
+                for length in LENGTHS:
+                    for g in grams(word, length):
+                        parts[length, g] += n
+            rows += [(lang, length, g, n) for (length, g), n in parts.items()]
+        return pd.DataFrame(rows, columns=["lang", "kind", "unit", "n"])
 
     for batch in batches:
         for text, lang in zip(batch["text"], batch["lang"], strict=True):
-            for word, n in Counter(words(text)).items():
-                held[lang, 0, word] += n
-                for length in LENGTHS:
-                    for g in grams(word, length):
-                        held[lang, length, g] += n
-            if len(held) > _FLUSH:
+            held.setdefault(lang, Counter()).update(words(text))
+            if sum(map(len, held.values())) > _FLUSH:
                 yield frame()
                 held.clear()
     if held:
@@ -67,50 +76,69 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class Model:
     """Log frequencies of units per language."""
 
-    def __init__(self, rows: list[tuple[str, int, str, int]]) -> None:
-        self.langs = sorted({r[0] for r in rows})
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        self.tables: dict[int, dict[str, np.ndarray]] = {}
+    def __init__(self, counts: pa.Table) -> None:
+        """``counts(lang, kind, unit, n)``, kind 0 for words, else the length of the n-gram."""
+        frame = counts.to_pandas()
+        self.langs = sorted(set(frame["lang"]))
+        at = frame["lang"].map({lang: i for i, lang in enumerate(self.langs)}).to_numpy()
+        self.rows: dict[int, dict[str, int]] = {}
+        self.scores: dict[int, np.ndarray] = {}
         for kind in (0, *LENGTHS):
-            counts: dict[str, np.ndarray] = {}
-            for lang, k, unit, n in rows:
-                if k == kind:
-                    counts.setdefault(unit, np.zeros(len(self.langs)))[at[lang]] += n
-            total = sum(counts.values(), np.zeros(len(self.langs)))
-            smooth = np.log(total + 0.5 * (len(counts) + 1))
-            self.tables[kind] = {u: (np.log(c + 0.5) - smooth).astype(np.float32) for u, c in counts.items()}
-        self.cache: dict[str, np.ndarray | None] = {}
-
-    def word(self, word: str) -> np.ndarray | None:
-        """Scores of a word, or None where no unit of it is known."""
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
-        if word in self.cache:
-            return self.cache[word]
-        found = None
+            some = (frame["kind"] == kind).to_numpy()
+            places, names = pd.factorize(frame["unit"][some])
+            table = np.zeros((len(names), len(self.langs)))
+            np.add.at(table, (places, at[some].astype(np.int64)), frame["n"][some].to_numpy())
+            # A unit that a language lacks scores the same in all of them, below what any unit scores.
+            totals = np.maximum(table.sum(axis=0), 1)
+            seen = np.log(np.maximum(table, 1) / totals)
+            self.rows[kind] = {u: i for i, u in enumerate(names)}
+            self.scores[kind] = np.where(table > 0, seen, np.log(0.5 / totals.max(initial=1))).astype(np.float32)
+        # Rows of words: the known ones, then those that backed off, as far as they have room.
+        self.base = len(self.rows[0])
+        self.table = np.concatenate([self.scores[0], np.zeros((CACHE, len(self.langs)), np.float32)])
+        self.at = dict(self.rows[0])
+        self.next = self.base
+
+    def backed_off(self, word: str) -> np.ndarray | None:
+        """Mean score of the longest known n-grams of a word, or None where none is known."""
         for n in LENGTHS:
-            table = self.tables[n]
-            seen = [table[g] for g in grams(word, n) if g in table]
+            rows = self.rows[n]
+            seen = [rows[g] for g in grams(word, n) if g in rows]
             if seen:
-                found = np.mean(seen, axis=0)
-                break
-        if len(self.cache) >= 200_000:
-            self.cache.clear()
-        if len(word) <= 40:
-            self.cache[word] = found
-        return found
+                return self.scores[n][seen].mean(axis=0)
+        return None
+
+    def _row(self, word: str) -> int:
+        found = self.backed_off(word)
+        if found is None:
+            row = -1
+        else:
+            row, self.next = self.next, self.next + 1
+            self.table[row] = found
+        self.at[word] = row
+        return row
+
+    def word(self, word: str) -> np.ndarray | None:
+        row = self.at.get(word)
+        row = self._row(word) if row is None else row
+        return None if row < 0 else self.table[row]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and confidence; ``und`` and 0 for a text without letters or without a model."""
         counted = Counter(words(text))
         if not counted or not self.langs:
             return UNDETERMINED, 0.0
-        scored = [(s, n) for w, n in counted.items() if (s := self.word(w)) is not None]
-        if not scored:
+        if self.next + len(counted) > len(self.table) or len(self.at) > 4 * len(self.table):
+            self.at, self.next = dict(self.rows[0]), self.base
+            if len(counted) > CACHE:
+                self.table = np.concatenate([self.table, np.zeros((len(counted), len(self.langs)), np.float32)])
+        get = self.at.get
+        rows = np.array([self._row(w) if (r := get(w)) is None else r for w in counted])
+        weights = np.fromiter(counted.values(), np.float64, len(counted))
+        weights, rows = weights[rows >= 0], rows[rows >= 0]
+        if not len(rows):
             return self.langs[0], 1.0 / len(self.langs)
-        weights = np.array([n for _, n in scored], np.float64)
-        mean = weights @ np.array([s for s, _ in scored], np.float64) / weights.sum()
+        mean = weights @ self.table[rows] / weights.sum()
         best = int(mean.argmax())
         odds = np.exp((mean - mean[best]) * min(weights.sum(), EVIDENCE))
         return self.langs[best], float(1.0 / odds.sum())
@@ -130,12 +158,14 @@ def fit(labelled: DataFrame, rows: int = ROWS, most_words: int = WORDS, most_gra
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = usable.join(F.broadcast(shares.limit(10_000)), F.col("lang") == F.col("_lang")).filter(place < F.col("share"))
     counts = chosen.select("text", "lang").mapInPandas(_counts, "lang string, kind int, unit string, n bigint")
-    units = counts.groupBy("kind", "unit").agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("langs"))
+    summed = counts.groupBy("lang", "kind", "unit").agg(F.sum("n").alias("n"))
+    units = stored(summed.groupBy("kind", "unit").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("langs")), "units")
     order = [F.desc("total"), "unit"]
     kept = units.filter("kind = 0").orderBy(*order).limit(most_words).unionByName(
         units.filter("kind > 0").orderBy(*order, "kind").limit(most_grams))
-    return Model([(x["lang"], r["kind"], r["unit"], x["n"]) for r in kept.select("kind", "unit", "langs").collect() for x in r["langs"]])
+    listed = kept.select(F.explode("langs").alias("x"), "kind", "unit").select("x.lang", "kind", "unit", "x.n")
+    return Model(listed.toArrow())
 
 
 PREDICTED = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
