@@ -32,7 +32,7 @@ EVIDENCE = 20
 _WORD = re.compile(r"[^\W\d_]+")
 _FLUSH = 200_000
 #: Words that a worker remembers with the score they backed off to.
-CACHE = 300_000
+CACHE = 100_000
 
 
 def words(text: str | None) -> list[str]:
@@ -128,9 +128,9 @@ class Model:
         counted = Counter(words(text))
         if not counted or not self.langs:
             return UNDETERMINED, 0.0
-        if self.next + len(counted) > len(self.table) or len(self.at) > 4 * len(self.table):
+        if self.next + len(counted) > len(self.table) or len(self.at) > 2 * len(self.table):
             self.at, self.next = dict(self.rows[0]), self.base
-            if len(counted) > CACHE:
+            if self.base + len(counted) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros((len(counted), len(self.langs)), np.float32)])
         get = self.at.get
         rows = np.array([self._row(w) if (r := get(w)) is None else r for w in counted])
