@@ -16,6 +16,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,8 +31,8 @@ BLOCK = 4096
 PERCENTILE = 0.9
 #: Ids after which a segment ends with its document.
 SEGMENT = 1 << 18
-#: Distinct pieces a worker remembers.
-CACHE = 400_000
+#: Distinct pieces a worker remembers in each of two generations.
+CACHE = 200_000
 
 _HEAD = struct.Struct("<4sIQI")
 _BLOCK_HEAD = struct.Struct("<IIIB")
@@ -103,6 +104,10 @@ def unpack(payload: bytes, first: int = 0, n: int | None = None) -> np.ndarray:
     return whole[first % block: first % block + end - first]
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class Encoder:
     """Ids of whole texts from the tokenizers library, each distinct piece encoded once.
 
@@ -112,8 +117,10 @@ class Encoder:
     """
 
     LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-    PIECE = re.compile(rf"\s*[{LETTERS}]+(?=[.,;:!?])|\s*\S+|\s+")
-    WORD = re.compile(rf" ?[{LETTERS}]+")
+    PIECE = re.compile(r"\s*\S+|\s+")
+    WORD = re.compile(rf"( ?[{LETTERS}]++)([^\s\w]*)")
+    #: Texts that are cut by ``PIECE``: neighbouring white space, and the mark that the fast cut uses.
+    RUNS = re.compile(r"\s\s|\x00")
     #: White space for Python but not for the pre-tokenizer.
     UNSURE = re.compile("[\x1c-\x1f]")
 
@@ -132,21 +139,48 @@ class Encoder:
         plain = [c for c in shown if ord(c) < 256]
         hidden = [b for b in range(256) if chr(b) not in plain]
         self.shown = {b: c for b, c in zip(hidden, [c for c in shown if ord(c) >= 256], strict=True)}
-        self.cache: dict[str, bytes] = {}
+        # Pieces of this generation, and of the one before; what is met again moves on.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.uint32).tobytes() for x in found]
+        return [_bytes(x.ids) for x in found]
 
     def _learn(self, pieces: set[str]) -> None:
+        """After this, all ``pieces`` are in the young generation."""
+        if len(self.young) > CACHE:
+            self.old, self.young = self.young, {}
         rest = []
-        for p in pieces:
-            if self.WORD.fullmatch(p):
-                tokens = self.model.tokenize(p.encode().decode("latin1").translate(self.shown))
-                self.cache[p] = np.array([x.id for x in tokens], np.uint32).tobytes()
+        for p in pieces.difference(self.young):
+            if (known := self.old.get(p)) is not None:
+                self.young[p] = known
+            elif found := self.WORD.fullmatch(p):
+                word, signs = found.groups()
+                self.young[p] = self._word(word) + (self._signs(signs) if signs else b"")
             else:
                 rest.append(p)
-        self.cache.update(zip(rest, self._plain(rest), strict=True))
+        self.young.update(zip(rest, self._plain(rest), strict=True))
+
+    def _word(self, word: str) -> bytes:
+        """A run of letters is one unit of the model."""
+        known = self.young.get(word) or self.old.get(word)
+        if known is None:
+            tokens = self.model.tokenize(word.encode().decode("latin1").translate(self.shown))
+            known = self.young[word] = _bytes([x.id for x in tokens])
+        return known
+
+    def _signs(self, signs: str) -> bytes:
+        known = self.young.get(signs) or self.old.get(signs)
+        if known is None:
+            known = self.young[signs] = self._plain([signs])[0]
+        return known
+
+    def _cut(self, text: str) -> list[str]:
+        if self.RUNS.search(text):
+            return self.PIECE.findall(text)
+        # A space belongs to what follows, a line end is a piece.
+        return [p for p in text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00") if p]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids per text.  Texts are taken in runs, so that a batch of long ones needs no more memory."""
@@ -164,14 +198,9 @@ class Encoder:
     def _run(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self._plain(texts)
-        cut = [None if self.UNSURE.search(t) else self.PIECE.findall(t) for t in texts]
-        pieces = set().union(*[c for c in cut if c])
-        new = pieces.difference(self.cache)
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
-            new = pieces
-        self._learn(new)
-        get = self.cache.__getitem__
+        cut = [None if self.UNSURE.search(t) else self._cut(t) for t in texts]
+        self._learn(set().union(*[c for c in cut if c]))
+        get = self.young.__getitem__
         return [self._plain([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
 
 
