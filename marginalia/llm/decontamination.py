@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType
 
 EDIT_RATE = 0.06
-#: Long items are also matched by overlapping parts of this many characters, so that a quoted part counts.
+#: Long items are matched whole and by overlapping parts of this many characters, so that a quoted part counts.
 UNIT = 128
 #: Items with fewer characters say nothing about a document and match nowhere.
 LEAST = 20
 #: Characters of items that one pass over the documents looks for.
 BLOCK_CHARS = 8_000_000
+#: Windows that a worker remembers with their distance, and their characters.
+KNOWN, KNOWN_CHARS = 20_000, 4_000_000
 
 _OTHER = re.compile(r"[\W_]+")
 
@@ -35,11 +37,11 @@ def normal(text: str | None) -> str:
 
 
 def units(item: str) -> list[str]:
-    """The item itself, or its parts, overlapping by half."""
+    """The item itself, then the parts of a long one, overlapping by half."""
     if len(item) <= UNIT:
         return [item]
     starts = [*range(0, len(item) - UNIT, UNIT // 2), len(item) - UNIT]
-    return [item[s: s + UNIT] for s in starts]
+    return [item, *(item[s: s + UNIT] for s in starts)]
 
 
 def pieces(unit: str, budget: int) -> list[tuple[int, str]]:
@@ -54,13 +56,15 @@ class Pattern(NamedTuple):
     text: str
     budget: int
     masks: dict[str, int]
+    #: 1 for what ``parts`` counts, 0 for the whole of an item that has parts.
+    part: int
 
 
-def pattern(item: int, text: str, rate: float) -> Pattern:
+def pattern(item: int, text: str, rate: float, part: int = 1) -> Pattern:
     masks: dict[str, int] = {}
     for i, c in enumerate(text):
         masks[c] = masks.get(c, 0) | 1 << i
-    return Pattern(item, text, int(rate * len(text)), masks)
+    return Pattern(item, text, int(rate * len(text)), masks, part)
 
 
 def distance_within(p: Pattern, text: str) -> int:
@@ -98,7 +102,7 @@ class Finder:
             if len(item) < LEAST:
                 continue
             for unit in units(item):
-                p = pattern(at, unit, rate)
+                p = pattern(at, unit, rate, int(len(unit) <= UNIT))
                 for offset, piece in pieces(unit, p.budget):
                     where.setdefault(piece, []).append((len(self.patterns), offset))
                 self.patterns.append(p)
@@ -109,6 +113,7 @@ class Finder:
         if where:
             self.automaton.make_automaton()
         self.known: dict[tuple[int, str], int] = {}
+        self.known_chars = 0
 
     def find(self, text: str | None) -> dict[int, tuple[int, int]]:
         """Least distance and number of parts found, by item."""
@@ -135,7 +140,7 @@ class Finder:
                 first = last = start
             if best <= p.budget:
                 d, n = found.get(p.item, (best, 0))
-                found[p.item] = (min(d, best), n + 1)
+                found[p.item] = (min(d, best), n + p.part)
         return found
 
     def _distance(self, at: int, p: Pattern, window: str) -> int:
@@ -143,8 +148,10 @@ class Finder:
             return 0
         known = self.known.get((at, window))
         if known is None:
-            if len(self.known) >= 20_000:
+            if len(self.known) >= KNOWN or self.known_chars + len(window) > KNOWN_CHARS:
                 self.known.clear()
+                self.known_chars = 0
+            self.known_chars += len(window)
             known = self.known[at, window] = distance_within(p, window)
         return known
 
@@ -191,7 +198,10 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) ->
     size is one pass over the documents, which stay where they are.  Null and
     empty texts, and items under 20 letters and digits, match nothing; equal
     items and repeated documents are each reported; null ids are carried.
-    ``parts`` counts the parts of a long item that were found.
+    An item counts when it is found whole within its own budget, or, if long,
+    a part of it within the part's budget; ``distance`` is the least of these.
+    ``parts`` counts the parts of a long item that were found, 0 when only the
+    whole was, and is 1 for other items.
     """
     out = None
     for block in _blocks(items, rate):

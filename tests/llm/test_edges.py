@@ -230,6 +230,46 @@ def test_decontamination_against_brute_force():
         assert {i: d for i, (d, _) in finder.find(text).items()} == want
 
 
+def test_long_items_against_brute_force():
+    """Items with parts, edited where parts overlap, so that the whole is within its budget where no part is."""
+    import numpy as np
+    rng = random.Random(8)
+
+    def least(pattern, text):
+        signs, steps = np.array(list(pattern)), np.arange(len(pattern) + 1)
+        row, best = steps.copy(), len(pattern)
+        for c in text:
+            kept = np.concatenate([[0], np.minimum(row[1:] + 1, row[:-1] + (signs != c))])
+            row = np.minimum.accumulate(kept - steps) + steps
+            best = min(best, int(row[-1]))
+        return best
+
+    budget = lambda p: int(decontamination.EDIT_RATE * len(p))
+    plain = [decontamination.normal("".join(rng.choice("abcd efg") for _ in range(n))) for n in (140, 175, 215, 290, 410)]
+    assert all(decontamination.UNIT < len(p) <= 410 for p in plain)
+    finder = decontamination.Finder(plain)
+    whole_only = 0
+    for trial in range(40):
+        p = plain[trial % len(plain)]
+        k = 1 + len(p) // 256 + len(p) // 400
+        n, lost = (budget(p) + rng.randrange(-2, 3)) // k, rng.choice([0, 3])
+        cuts = [0, *(len(p) * i // (k + 1) for i in range(1, k + 1)), len(p)]
+        edited = ("x" * n).join(p[a + (lost if a else 0): b] for a, b in zip(cuts, cuts[1:], strict=False))
+        text = decontamination.normal(f"zz {edited if trial % 4 else p[cuts[1] // 2:][:150]} abc")
+        want = {}
+        for i, item in enumerate(plain):
+            of_whole = least(item, text)
+            of_parts = [least(u, text) for u in {*decontamination.units(item)} - {item}]
+            good = [d for d in of_parts if d <= budget(" " * decontamination.UNIT)]
+            if of_whole <= budget(item) or good:
+                want[i] = min(good + [of_whole] * (of_whole <= budget(item)))
+                whole_only += not good
+        found = finder.find(text)
+        assert {i: d for i, (d, _) in found.items()} == want
+        assert all(k <= len(decontamination.units(plain[i])) - 1 for i, (_, k) in found.items())
+    assert whole_only > 5
+
+
 def test_vectors(spark):
     rows = [
         (1, [1.0, 0.0, 0.0]), (2, [1.0, 0.0, 0.0]), (2, [2.0, 0.1, 0.0]), (3, None), (4, [0.0, 0.0, 0.0]), (5, [float("nan"), 1.0, 0.0]),
