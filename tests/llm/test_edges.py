@@ -87,6 +87,22 @@ def test_language(spark, docs, none):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {1, 6, 7, None}
 
 
+def test_language_is_undecided_in_an_unlearned_script(spark, docs):
+    greek = "αυτό είναι ένα κείμενο στα ελληνικά"
+    added = spark.createDataFrame([
+        (30, greek, None, "a"), (31, f"the {greek}", None, "a"), (32, "это русский текст", "en", "a"), (33, "这是中文", None, "a"),
+        (34, "the quick fox jumps, είναι", None, "a")], SCHEMA)
+    df = docs.select("doc_id", "text", "lang", "source").unionByName(added)
+    learned = docs.filter("lang IS NOT NULL")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identified(df, learned).select("doc_id", "_lang.*").collect()}
+    assert got[30] == got[31] == got[32] == got[33] == ("und", 0.0) and got[34][0] == "en"
+    kept = language_id.accepted(df.filter("doc_id IS NULL OR doc_id <> 32")).collect()
+    assert {r["doc_id"] for r in kept} == {1, 6, 7, 34, None}
+    tie = spark.createDataFrame([(40, "same words", "en", "a"), (41, "same words", "de", "a")], SCHEMA)
+    assert {zlib.crc32(str(i).encode()) % 3 != 1 for i in (40, 41)} == {True}
+    assert language_id.accepted(tie).count() == 0
+
+
 def test_language_backs_off(spark):
     rows = [("x", 0, "haus", 5), ("x", 1, "a", 5), ("y", 1, "o", 5), ("x", 2, "au", 3), ("y", 2, "ou", 3), ("x", 1, "u", 1), ("y", 1, "u", 1)]
     model = language_id.Model(pa.table(dict(zip(("lang", "kind", "unit", "n"), zip(*rows, strict=True), strict=True))))
