@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import stored
@@ -24,7 +24,7 @@ from .common import stored
 LENGTHS = (4, 3, 2, 1)
 #: Labelled rows per language that the model is fitted on; all when there are fewer.
 ROWS = 2_000
-#: Most frequent words and n-grams kept, which bounds the model; all other words back off.
+#: Words and n-grams kept, those of the first ranks of each language, which bounds the model; all other words back off.
 WORDS, GRAMS = 50_000, 30_000
 UNDETERMINED = "und"
 #: Words of evidence after which more of them don't raise the confidence.
@@ -155,8 +155,10 @@ class Model:
 def fit(labelled: DataFrame, rows: int = ROWS, most_words: int = WORDS, most_grams: int = GRAMS) -> Model:
     """A model from ``labelled(doc_id, text, lang)``, fitted on at most about ``rows`` rows per language.
 
-    Rows are chosen by a hash of the id, so reruns agree.  Only the most
-    frequent units are kept, ties by code point; those are what the driver gets.
+    Rows are chosen by a hash of the id, so reruns agree.  Units are ranked by
+    frequency within each language, ties by code point, and kept by their best
+    rank, so that each language has its own frequent units; those are what the
+    driver gets.
     Rows without language or text are left out; without any row the model
     knows no language and every prediction is ``und``.
     """
@@ -164,15 +166,17 @@ def fit(labelled: DataFrame, rows: int = ROWS, most_words: int = WORDS, most_gra
     shares = usable.groupBy("lang").agg(F.count("*").alias("n")).select(
         F.col("lang").alias("_lang"), F.least(F.lit(1.0), F.lit(float(rows)) / F.col("n")).alias("share"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = usable.join(F.broadcast(shares.limit(10_000)), F.col("lang") == F.col("_lang")).filter(place < F.col("share"))
+    chosen = usable.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).filter(place < F.col("share"))
     counts = chosen.select("text", "lang").mapInPandas(_counts, "lang string, kind int, unit string, n bigint")
-    summed = counts.groupBy("lang", "kind", "unit").agg(F.sum("n").alias("n"))
-    units = stored(summed.groupBy("kind", "unit").agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("langs")), "units")
-    order = [F.desc("total"), "unit"]
-    kept = units.filter("kind = 0").orderBy(*order).limit(most_words).unionByName(
-        units.filter("kind > 0").orderBy(*order, "kind").limit(most_grams))
-    listed = kept.select(F.explode("langs").alias("x"), "kind", "unit").select("x.lang", "kind", "unit", "x.n")
+    units = stored(counts.groupBy("lang", "kind", "unit").agg(F.sum("n").alias("n")), "units")
+    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "unit", "kind"))
+
+    def kept(some: DataFrame, most: int) -> DataFrame:
+        ranked = some.withColumn("rank", rank).filter(F.col("rank") <= most)
+        return ranked.groupBy("kind", "unit").agg(F.min("rank").alias("rank")).orderBy("rank", "unit", "kind").limit(most)
+
+    chosen = kept(units.filter("kind = 0"), most_words).unionByName(kept(units.filter("kind > 0"), most_grams))
+    listed = units.join(chosen, ["kind", "unit"], "left_semi").select("lang", "kind", "unit", "n")
     return Model(listed.toArrow())
 
 

@@ -103,6 +103,16 @@ def test_language_is_undecided_in_an_unlearned_script(spark, docs):
     assert language_id.accepted(tie).count() == 0
 
 
+def test_small_languages_keep_their_units(spark):
+    """A language with few rows beside one with many, within the bound on units."""
+    large = [(i, " ".join(f"groß{chr(97 + (i + k) % 26)}{chr(97 + k)}" for k in range(20)), "large") for i in range(60)]
+    small = [(100 + i, "мало слов", "small") for i in range(2)]
+    model = language_id.fit(spark.createDataFrame(large + small, "doc_id long, text string, lang string"), most_words=40, most_grams=40)
+    assert {"мало", "слов"} <= set(model.rows[0]) and len(model.rows[0]) == 40
+    assert sum(len(model.rows[n]) for n in language_id.LENGTHS) == 40
+    assert model.predict("мало")[0] == model.predict("словами")[0] == "small" and model.predict("großab")[0] == "large"
+
+
 def test_language_backs_off(spark):
     rows = [("x", 0, "haus", 5), ("x", 1, "a", 5), ("y", 1, "o", 5), ("x", 2, "au", 3), ("y", 2, "ou", 3), ("x", 1, "u", 1), ("y", 1, "u", 1)]
     model = language_id.Model(pa.table(dict(zip(("lang", "kind", "unit", "n"), zip(*rows, strict=True), strict=True))))
