@@ -20,11 +20,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     ensure_checkpoint_dir(spark)
     root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     path = f"{root}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    atexit.register(remove_path, spark, path)
     return path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``scratch_path``, if it and the session still exist."""
     context = spark.sparkContext
     if context._jsc is None:  # the session has ended
         return
