@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import let
-from ..sources.sinks import scratch_path
+from ..sources.sinks import remove_path, scratch_path
 
 #: Matches of one document are numbered in blocks of this many, so that positions cost no quadratic work.
 BLOCK = 256
@@ -33,7 +35,21 @@ def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(ARROW_ROWS, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Drop tables of ``stored`` that nothing reads any more, and let Spark clean the shuffles behind them.
+
+    Spark removes the files of a shuffle once its plan is collected in the
+    driver, which a driver with room in its heap would put off for long.
+    """
+    for df in frames:
+        remove_path(df.sparkSession, df._scratch)
+    gc.collect()
+    frames[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def letters(word: str) -> str:

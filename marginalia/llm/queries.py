@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontamination, itq_dedup, language_id, mixing, near_dedup, pii, secrets, sharding, token_blocks
+from . import chat, decontamination, itq_dedup, language_id, mixing, near_dedup, nn_descent, pii, secrets, sharding, token_blocks
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pii": pii.op8,
     "op9_sharding": sharding.op9,
     "op10_token_blocks": token_blocks.op10,
+    "op11_nn_descent": nn_descent.op11,
 }
 
 SQL: dict[str, str] = {
@@ -24,4 +25,5 @@ SQL: dict[str, str] = {
     "op7_itq_dedup": itq_dedup.SQL,
     "op8_pii": pii.SQL,
     "op9_sharding": sharding.SQL,
+    "op11_nn_descent": nn_descent.SQL,
 }
