@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontamination, itq_dedup, language_id, mixing, near_dedup, nn_descent, pii, secrets, sharding, token_blocks
+from . import (
+    chat, decontamination, hard_negatives, itq_dedup, language_id, mixing, near_dedup, nn_descent, pii, secrets, sharding, spelling, token_blocks)
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -16,6 +17,8 @@ QUERIES = {
     "op9_sharding": sharding.op9,
     "op10_token_blocks": token_blocks.op10,
     "op11_nn_descent": nn_descent.op11,
+    "op12_hard_negatives": hard_negatives.op12,
+    "op13_spelling": spelling.op13,
 }
 
 SQL: dict[str, str] = {
@@ -26,4 +29,6 @@ SQL: dict[str, str] = {
     "op8_pii": pii.SQL,
     "op9_sharding": sharding.SQL,
     "op11_nn_descent": nn_descent.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_spelling": spelling.SQL,
 }

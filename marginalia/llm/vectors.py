@@ -7,10 +7,14 @@ from pyspark.sql import Column, functions as F
 from ..functions.text import let
 
 
+def finite(v: Column) -> Column:
+    """Not null, and without a null or non-finite component."""
+    return F.coalesce(F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))), F.lit(False))
+
+
 def usable(v: Column) -> Column:
-    """Not null, not zero, not empty, and without a null or non-finite component."""
-    finite = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    return F.coalesce(v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
+    """Finite, not empty and not zero."""
+    return finite(v) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
 
 
 def _sum(values: Column) -> Column:
