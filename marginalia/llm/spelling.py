@@ -20,6 +20,7 @@ import string
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import stored, table
@@ -183,8 +184,8 @@ def _best_of(index: pa.Table, asked: pa.Table) -> pa.Table:
     """Per query of a group: the number of its near words here, and the most frequent of them."""
     out: list[tuple] = []
     for side in (0, 1):
-        mine = index.filter(pa.compute.equal(index["side"], side)).sort_by("word")  # code-point order decides ties
-        some = asked.filter(pa.compute.equal(asked["side"], side))
+        mine = index.filter(pc.equal(index["side"], side)).sort_by("word")  # code-point order decides ties
+        some = asked.filter(pc.equal(asked["side"], side))
         if not len(mine) or not len(some):
             continue
         words, counts = mine["word"].to_pylist(), mine["n"].to_numpy()
