@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import threading
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import let
@@ -12,6 +16,7 @@ from ..sources.sinks import remove_path, scratch_path
 #: Matches of one document are numbered in blocks of this many, so that positions cost no quadratic work.
 BLOCK = 256
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_batches = threading.Lock()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,13 +33,16 @@ def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(ARROW_ROWS)
-    try:
-        if batch:
-            spark.conf.set(ARROW_ROWS, str(batch))
+    if batch:
+        with _batches:  # one at a time, or a session that runs several queries would keep what another one set
+            before = spark.conf.get(ARROW_ROWS)
+            try:
+                spark.conf.set(ARROW_ROWS, str(batch))
+                df.write.parquet(path)
+            finally:
+                spark.conf.set(ARROW_ROWS, before)
+    else:
         df.write.parquet(path)
-    finally:
-        spark.conf.set(ARROW_ROWS, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -52,6 +60,27 @@ def release(*frames: DataFrame) -> None:
     frames[0].sparkSession.sparkContext._jvm.System.gc()
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for the batches of a task, after which the worker gives its memory back.
+
+    Spark reuses workers, and what one holds on to would be missing in all
+    later stages.
+    """
+
+    def work(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return work
+
+
 def letters(word: str) -> str:
     """A pattern for ``word`` with ASCII letters in either case, the same in every regex dialect."""
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)

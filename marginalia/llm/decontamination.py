@@ -9,23 +9,24 @@ are verified with Myers' bit-parallel distance.
 from __future__ import annotations
 
 import re
-import uuid
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType
 
+from .common import released
+
 EDIT_RATE = 0.06
 #: Long items are matched whole and by overlapping parts of this many characters, so that a quoted part counts.
 UNIT = 128
-#: Items with fewer characters say nothing about a document and match nowhere.
+#: Items with fewer characters count at word borders only, where their budget is 0 or 1.
 LEAST = 20
 #: Characters of items that one pass over the documents looks for.
 BLOCK_CHARS = 8_000_000
-#: Windows that a worker remembers with their distance, and their characters.
+#: Windows that a task remembers with their distance, and their characters.
 KNOWN, KNOWN_CHARS = 20_000, 4_000_000
 
 _OTHER = re.compile(r"[\W_]+")
@@ -60,11 +61,11 @@ class Pattern(NamedTuple):
     part: int
 
 
-def pattern(item: int, text: str, rate: float, part: int = 1) -> Pattern:
+def pattern(item: int, text: str, budget: int, part: int = 1) -> Pattern:
     masks: dict[str, int] = {}
     for i, c in enumerate(text):
         masks[c] = masks.get(c, 0) | 1 << i
-    return Pattern(item, text, int(rate * len(text)), masks, part)
+    return Pattern(item, text, budget, masks, part)
 
 
 def distance_within(p: Pattern, text: str) -> int:
@@ -99,10 +100,12 @@ class Finder:
         self.patterns: list[Pattern] = []
         where: dict[str, list[tuple[int, int]]] = {}
         for at, item in enumerate(map(normal, items)):
-            if len(item) < LEAST:
+            if not item:
                 continue
             for unit in units(item):
-                p = pattern(at, unit, rate, int(len(unit) <= UNIT))
+                budget = int(rate * len(unit))
+                unit = f" {unit} " if len(item) < LEAST else unit
+                p = pattern(at, unit, budget, int(len(unit) <= UNIT))
                 for offset, piece in pieces(unit, p.budget):
                     where.setdefault(piece, []).append((len(self.patterns), offset))
                 self.patterns.append(p)
@@ -119,7 +122,7 @@ class Finder:
         """Least distance and number of parts found, by item."""
         if self.empty or not text:
             return {}
-        plain = normal(text)
+        plain = f" {normal(text)} "  # short items reach from border to border
         starts: dict[int, list[int]] = {}
         for end, (size, places) in self.automaton.iter(plain):
             for at, offset in places:
@@ -156,29 +159,14 @@ class Finder:
         return known
 
 
-@lru_cache(maxsize=2)
-def _finder(_: str, load: Callable[[], list[str]], rate: float) -> Finder:
-    return Finder(load(), rate)
-
-
-class _Block:
-    """Items of one pass; workers build its automaton once."""
-
-    def __init__(self, items: list[tuple], spark: SparkSession, rate: float) -> None:
-        self.key, self.rate = uuid.uuid4().hex, rate
-        self.shared = spark.sparkContext.broadcast(items)
-
-    def __hash__(self) -> int:
-        return hash(self.key)
+class _Block(NamedTuple):
+    """Items of one pass; every task builds the automaton and drops it at its end."""
 
-    def __eq__(self, other) -> bool:
-        return isinstance(other, _Block) and self.key == other.key
-
-    def __call__(self) -> list[str]:
-        return [text for _, text in self.shared.value]
+    shared: Broadcast
+    rate: float
 
     def finder(self) -> Finder:
-        return _finder(self.key, self, self.rate)
+        return Finder([text for _, text in self.shared.value], self.rate)
 
 
 def _blocks(items: DataFrame, rate: float) -> Iterator[_Block]:
@@ -188,7 +176,7 @@ def _blocks(items: DataFrame, rate: float) -> Iterator[_Block]:
     n = 1 + chars // BLOCK_CHARS
     for b in range(n):
         rows = plain.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
-        yield _Block([tuple(r) for r in rows], items.sparkSession, rate)
+        yield _Block(items.sparkSession.sparkContext.broadcast([tuple(r) for r in rows]), rate)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
@@ -196,7 +184,8 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) ->
 
     ``items(item_id, text)`` are a stated query set; each block of bounded
     size is one pass over the documents, which stay where they are.  Null and
-    empty texts, and items under 20 letters and digits, match nothing; equal
+    empty texts and items, and items without letters and digits, match
+    nothing; items under 20 characters match whole words only; equal
     items and repeated documents are each reported; null ids are carried.
     An item counts when it is found whole within its own budget, or, if long,
     a part of it within the part's budget; ``distance`` is the least of these.
@@ -207,8 +196,8 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) ->
     for block in _blocks(items, rate):
 
         def search(batches, block=block):
+            finder, names = block.finder(), block.shared.value
             for batch in batches:
-                finder, names = block.finder(), block.shared.value
                 rows = [
                     (doc_id if known else None, names[at][0], d, n)
                     for doc_id, known, text in zip(batch["doc_id"], batch["known"], batch["text"], strict=True)
@@ -219,13 +208,17 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) ->
 
         flagged = docs.select(
             F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text")
-        part = flagged.mapInPandas(search, "doc_id bigint, item_id bigint, distance bigint, parts bigint")
+        part = flagged.mapInPandas(released(search), "doc_id bigint, item_id bigint, distance bigint, parts bigint")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all columns."""
+    """The rows of ``docs`` in which no item is found, with all their columns and no other.
+
+    Null and empty texts stay; repeated rows are judged alike; without items,
+    all stay; an empty table gives no row.
+    """
     for block in _blocks(items, rate):
         docs = docs.filter(~_hit(block)(F.col("text")))
     return docs
@@ -234,9 +227,13 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> DataFra
 def _hit(block: _Block):
     """A column function that tells whether a text holds an item of the block."""
 
-    def hit(texts: pd.Series) -> pd.Series:
-        finder = block.finder()
-        return pd.Series([bool(finder.find(t)) for t in texts], dtype=bool)
+    def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def run(batches):
+            finder = block.finder()
+            for texts in batches:
+                yield pd.Series([bool(finder.find(t)) for t in texts], dtype=bool)
+
+        return released(run)(batches)
 
     return F.pandas_udf(hit, BooleanType())
 

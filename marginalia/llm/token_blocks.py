@@ -14,25 +14,26 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..sources.sinks import scratch_path
+from .common import released
 
 MAGIC = b"PFR1"
 BLOCK = 4096
 PERCENTILE = 0.9
 #: Ids after which a segment ends with its document.
 SEGMENT = 1 << 18
-#: Distinct pieces a worker remembers in each of two generations.
-CACHE = 200_000
+#: Distinct pieces a task remembers.
+CACHE = 500_000
 
 _HEAD = struct.Struct("<4sIQI")
 _BLOCK_HEAD = struct.Struct("<IIIB")
@@ -108,19 +109,57 @@ def _bytes(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+class Pieces(dict):
+    """Ids of pieces as bytes; what is asked for the first time is encoded."""
+
+    LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+    WORD = re.compile(rf"( ?[{LETTERS}]++)([^\s\w]*)")
+    SIGNS = string.punctuation.replace("_", "")
+
+    def __init__(self, tokenizer) -> None:
+        from tokenizers import pre_tokenizers
+
+        self.tokenizer, self.tokenize = tokenizer, tokenizer.model.tokenize
+        alphabet = sorted(pre_tokenizers.ByteLevel.alphabet())
+        plain = {ord(c) for c in alphabet if ord(c) < 256}
+        hidden = [b for b in range(256) if b not in plain]
+        self.shown = dict(zip(hidden, [c for c in alphabet if ord(c) >= 256], strict=True))
+        self.space = self.shown[ord(" ")]
+
+    def __missing__(self, piece: str) -> bytes:
+        word = piece[1:] if piece[0] == " " else piece
+        known = None
+        if word.isascii():
+            if word.isalpha():
+                known = self._word(word if word is piece else self.space + word)
+            elif (core := word.rstrip(self.SIGNS)).isalpha():
+                at = len(core) - len(word)
+                known = self[piece[:at]] + self[piece[at:]]
+        elif found := self.WORD.fullmatch(piece):
+            letters, signs = found.groups()
+            known = self._word(letters.encode().decode("latin1").translate(self.shown)) if not signs else self[letters] + self[signs]
+        if known is None:
+            known = _bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        self[piece] = known
+        return known
+
+    def _word(self, shown: str) -> bytes:
+        """A run of letters is one unit of the model."""
+        return _bytes([x.id for x in self.tokenize(shown)])
+
+
 class Encoder:
-    """Ids of whole texts from the tokenizers library, each distinct piece encoded once.
+    """Ids of whole texts, the same as the tokenizers library gives, each distinct piece encoded once.
 
     A byte-level pre-tokenizer never joins a character with white space behind
-    it, nor a letter with a sign, so a text is the row of its pieces.  Strings
-    of special tokens in a text are ordinary text.
+    it, nor a letter with a sign, so a text is the row of its pieces.  Texts
+    that hold the string of an added token, or rare white space, go to the
+    library as they are.
     """
 
-    LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
     PIECE = re.compile(r"\s*\S+|\s+")
-    WORD = re.compile(rf"( ?[{LETTERS}]++)([^\s\w]*)")
-    #: Texts that are cut by ``PIECE``: neighbouring white space, and the mark that the fast cut uses.
-    RUNS = re.compile(r"\s\s|\x00")
+    #: White space other than spaces and line ends, and the mark that the fast cut uses.
+    OTHER_SPACE = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\x00]")
     #: White space for Python but not for the pre-tokenizer.
     UNSURE = re.compile("[\x1c-\x1f]")
 
@@ -129,91 +168,37 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
         kind = self.tokenizer.pre_tokenizer
         self.by_piece = (
             isinstance(kind, pre_tokenizers.ByteLevel) and not kind.add_prefix_space and kind.use_regex
             and self.tokenizer.normalizer is None)
-        shown = sorted(pre_tokenizers.ByteLevel.alphabet())
-        plain = [c for c in shown if ord(c) < 256]
-        hidden = [b for b in range(256) if chr(b) not in plain]
-        self.shown = {b: c for b, c in zip(hidden, [c for c in shown if ord(c) >= 256], strict=True)}
-        # Pieces of this generation, and of the one before; what is met again moves on.
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [_bytes(x.ids) for x in found]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """After this, all ``pieces`` are in the young generation."""
-        if len(self.young) > CACHE:
-            self.old, self.young = self.young, {}
-        rest = []
-        for p in pieces.difference(self.young):
-            if (known := self.old.get(p)) is not None:
-                self.young[p] = known
-            elif found := self.WORD.fullmatch(p):
-                word, signs = found.groups()
-                self.young[p] = self._word(word) + (self._signs(signs) if signs else b"")
-            else:
-                rest.append(p)
-        self.young.update(zip(rest, self._plain(rest), strict=True))
-
-    def _word(self, word: str) -> bytes:
-        """A run of letters is one unit of the model."""
-        known = self.young.get(word) or self.old.get(word)
-        if known is None:
-            tokens = self.model.tokenize(word.encode().decode("latin1").translate(self.shown))
-            known = self.young[word] = _bytes([x.id for x in tokens])
-        return known
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces = Pieces(self.tokenizer) if self.by_piece else {}
 
-    def _signs(self, signs: str) -> bytes:
-        known = self.young.get(signs) or self.old.get(signs)
-        if known is None:
-            known = self.young[signs] = self._plain([signs])[0]
-        return known
+    def _plain(self, text: str) -> bytes:
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _cut(self, text: str) -> list[str]:
-        if self.RUNS.search(text):
+        if self.OTHER_SPACE.search(text) or "  " in text.replace("\n", " "):
             return self.PIECE.findall(text)
         # A space belongs to what follows, a line end is a piece.
         return [p for p in text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00") if p]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids per text.  Texts are taken in runs, so that a batch of long ones needs no more memory."""
-        out: list[bytes] = []
-        run: list[str] = []
-        size = 0
-        for text in texts:
-            run.append(text)
-            size += len(text)
-            if size > 2_000_000:
-                out += self._run(run)
-                run, size = [], 0
-        return [np.frombuffer(b, np.uint32) for b in out + self._run(run)]
-
-    def _run(self, texts: list[str]) -> list[bytes]:
-        if not self.by_piece:
-            return self._plain(texts)
-        cut = [None if self.UNSURE.search(t) else self._cut(t) for t in texts]
-        self._learn(set().union(*[c for c in cut if c]))
-        get = self.young.__getitem__
-        return [self._plain([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+    def encode(self, text: str) -> np.ndarray:
+        if not self.by_piece or self.UNSURE.search(text) or any(t in text for t in self.added):
+            found = self._plain(text)
+        else:
+            if len(self.pieces) > CACHE:
+                self.pieces.clear()
+            found = b"".join(map(self.pieces.__getitem__, self._cut(text)))
+        return np.frombuffer(found, np.uint32)
 
 
 def _writer(path: str, end_id: int):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        part, encoder = TaskContext.get().partitionId(), _encoder(path)
+        part, encoder = TaskContext.get().partitionId(), Encoder(path)
         end, segment, before = np.array([end_id], np.uint32), 0, 0
         names: list = []
         docs: list[np.ndarray] = []
@@ -225,10 +210,9 @@ def _writer(path: str, end_id: int):
                 "sizes": [len(d) for d in docs], "payload": pack(np.concatenate(docs))}])
 
         for batch in batches:
-            texts = batch["text"].tolist()
-            ids = [int(x) if known else None for x, known in zip(batch["doc_id"], batch["known"], strict=True)]
-            for doc_id, found in zip(ids, encoder.encode(texts), strict=True):
-                names.append(doc_id)
+            for x, known, text in zip(batch["doc_id"], batch["known"], batch["text"], strict=True):
+                found = encoder.encode(text)
+                names.append(int(x) if known else None)
                 docs.append(np.concatenate((found, end)))
                 held += len(found) + 1
                 if held >= SEGMENT:
@@ -255,7 +239,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
     # A null among integers would make pandas turn them into floats.
     flagged = placed.select(
         F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text")
-    flagged.mapInPandas(_writer(tokenizer, end_id), SEGMENT_SCHEMA).write.parquet(path)
+    flagged.mapInPandas(released(_writer(tokenizer, end_id)), SEGMENT_SCHEMA).write.parquet(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -282,7 +266,7 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` per document, from the files alone."""
     return read_segments(spark, path).select("first", "doc_ids", "sizes", "payload").mapInPandas(
-        _decode, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+        released(_decode), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -299,11 +283,16 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     "ids": np.split(unpack(row.payload).astype(np.int64), starts[1:])})
 
     return read_segments(spark, path).select("first", "doc_ids", "sizes", "payload").mapInPandas(
-        ids, "doc_id bigint, start bigint, ids array<bigint>")
+        released(ids), "doc_id bigint, start bigint, ids array<bigint>")
 
 
 def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Write ``docs`` with the 50k byte-level vocabulary and read the digests back."""
+    """Write ``docs`` with the 50k byte-level vocabulary and read the digests back.
+
+    Null text is empty and gives the end id alone; rows without id come first;
+    repeated rows are each written; an empty table gives no row; only
+    ``doc_id`` and ``text`` are read.
+    """
     import public_tokenizers
 
     path = scratch_path(spark, "tokens")
