@@ -120,7 +120,9 @@ WITH every AS (
   UNION ALL SELECT {PROBE_ID}, 0, 'user', '{PROBE}'
   UNION ALL SELECT {PROBE_ID}, 1, '{ASSISTANT}', '{PROBE}'),
 ordered AS (
-  SELECT *, len(regexp_extract_all(text, '<\\*\|')) AS marks FROM every),
+  -- A text is escaped if it holds a control string, or what unescaping would change.
+  SELECT *, CASE WHEN contains(text, '{START}') OR contains(text, '{END}') OR regexp_matches(text, '<\\+\|')
+    THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END AS marks FROM every),
 per AS (
   SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
     coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = '{ASSISTANT}'), '') AS loss,

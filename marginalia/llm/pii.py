@@ -35,9 +35,9 @@ TOKEN = rf"[^{_SPACE}]*[0-9@][^{_SPACE}]*"
 _TOKEN = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
 _EDGE = "^[^A-Za-z0-9+@]+"
 _TAIL = "[^A-Za-z0-9]+$"
-_BEFORE = rf"[^{_SPACE}]+[{_SPACE}]+[^{_SPACE}]+[{_SPACE}]*$"
-#: Characters before a token in which its pattern is read.
-WINDOW = 48
+#: The last two words, whatever their length; starts at words only, which keeps it linear.
+_BEFORE = rf"(?<![^{_SPACE}])[^{_SPACE}]++[{_SPACE}]++[^{_SPACE}]++[{_SPACE}]*+$"
+_SQL_BEFORE = rf"[^{_SPACE}]+[{_SPACE}]+[^{_SPACE}]+[{_SPACE}]*$"
 
 ROUNDS = 3
 #: Scores are whole millionths, so that sums don't depend on their order.
@@ -87,7 +87,7 @@ def _tokens(text: Column, base: Column) -> Column:
             (m["start"] + F.length(m["match"]) - F.length(led) + F.length(token)).cast("bigint").alias("end"),
             token.alias("token"),
             F.rtrim(F.lower(F.regexp_replace(
-                F.regexp_extract(F.concat(F.lit("# # "), F.right(m["before"], F.lit(WINDOW))), _BEFORE, 0), f"[{_SPACE}]+", " "))
+                F.regexp_extract(F.concat(F.lit("# # "), m["before"]), _BEFORE, 0), f"[{_SPACE}]+", " "))
             ).alias("pattern"))))
 
     def marked(tokens: Column) -> Column:
@@ -219,7 +219,7 @@ words AS ({_sql_found("word", TOKEN)}),
 led AS (SELECT *, regexp_replace(match, '{_EDGE}', '') AS led FROM words),
 trimmed AS (
   SELECT row, start + len(match) - len(led) AS start, regexp_replace(led, '{_TAIL}', '') AS token,
-    rtrim(lower(regexp_replace(regexp_extract('# # ' || right(before, {WINDOW}), '{_BEFORE}'), '[{_SPACE}]+', ' ', 'g'))) AS pattern
+    rtrim(lower(regexp_replace(regexp_extract('# # ' || before, '{_SQL_BEFORE}'), '[{_SPACE}]+', ' ', 'g'))) AS pattern
   FROM led),
 uses AS (
   SELECT t.*, t.start + len(token) AS stop, EXISTS (

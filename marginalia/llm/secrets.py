@@ -1,8 +1,10 @@
 """Secrets in texts, judged by who owns them across the corpus.
 
 Every candidate value is hashed, and its hashes are counted by distinct
-repositories and owners over all documents.  A value that many owners hold is a
-copied example; a value of one owner is live-looking and gets a span of its own.
+repositories and owners over all documents.  A value that many repositories or
+many owners hold is a widely copied example, even one that a single owner
+spreads; a value of few is live-looking, also if it was copied once, and gets a
+span of its own.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ ACCESS = f"AKIA[A-Z0-9]{{{ACCESS_LEAST - 4},}}"
 HEX = f"[0-9a-f]{{{HEX_LEAST},}}"
 KINDS = ("assign", "access", "hex")
 LIVE = "live"
-#: A value held by this many owners is an example.
-OWNERS = 2
+#: A value held by this many owners, or in this many repositories, is an example.
+OWNERS, REPOS = 3, 10
 
 _SPANS = "array<struct<kind:string,start:bigint,end:bigint,value:string,at:bigint>>"
 
@@ -63,14 +65,16 @@ def ownership(candidates: DataFrame) -> DataFrame:
         F.sum("n").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def scanned(docs: DataFrame, repo: str = "doc_id", owner: str = "source", owners: int = OWNERS) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example`` per row of ``docs``.
+def scanned(docs: DataFrame, repo: str = "doc_id", owner: str = "source", owners: int = OWNERS, repos: int = REPOS) -> DataFrame:
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, most_repos, most_owners`` per row of ``docs``.
 
     ``repo`` and ``owner`` name the columns that say where a document lives and
     whose it is.  ``spans`` holds the base spans and, for values of fewer than
-    ``owners`` owners, a ``live`` span over the value.  Null text is empty; the
-    digest of no span is that of the empty string; repeated rows are each
-    returned and count once; an empty table gives no rows.
+    ``owners`` owners and ``repos`` repositories, a ``live`` span over the
+    value; the last two columns are the counts of the values that are held
+    most widely, 0 without one.  Null text is empty; the digest of no span is
+    that of the empty string; repeated rows are each returned and count once;
+    an empty table gives no rows.
     """
     found = docs.select(
         "doc_id", F.col(owner).alias("owner"), F.col(repo).alias("repo"), spans(F.coalesce("text", F.lit(""))).alias("found"))
@@ -78,10 +82,12 @@ def scanned(docs: DataFrame, repo: str = "doc_id", owner: str = "source", owners
     values = base.filter(F.size("found") > 0).select("row", "owner", "repo", F.explode("found").alias("s")).select(
         "row", "owner", "repo", F.sha2("s.value", 256).alias("value_hash"), F.col("s.at").alias("at"), F.col("s.end").alias("end"))
     owned = ownership(values)
-    judged = values.join(owned, "value_hash").select("row", "at", "end", (F.col("n_owners") < owners).alias("live"))
+    live = (F.col("n_owners") < owners) & (F.col("n_repos") < repos)
+    judged = values.join(owned, "value_hash").select("row", "at", "end", "n_owners", "n_repos", live.alias("live"))
     per_row = judged.groupBy("row").agg(
         F.array_sort(F.collect_set(F.when(F.col("live"), F.struct("at", "end")))).alias("live"),
-        F.count_if("live").cast("bigint").alias("n_live"), F.count_if(~F.col("live")).cast("bigint").alias("n_example"))
+        F.count_if("live").cast("bigint").alias("n_live"), F.count_if(~F.col("live")).cast("bigint").alias("n_example"),
+        F.max("n_repos").alias("most_repos"), F.max("n_owners").alias("most_owners"))
     none = F.array().cast("array<struct<at:bigint,end:bigint>>")
     met = base.join(per_row, "row", "left").withColumn("live", F.coalesce("live", none))
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint")
@@ -93,8 +99,7 @@ def scanned(docs: DataFrame, repo: str = "doc_id", owner: str = "source", owners
     return met.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in KINDS], F.sha2(_listed(F.col("found")), 256).alias("base_sha256"),
         _listed(F.array_sort(F.concat(first, added))).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).cast("bigint").alias("n_live"),
-        F.coalesce("n_example", F.lit(0)).cast("bigint").alias("n_example"))
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_live", "n_example", "most_repos", "most_owners")])
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,9 +125,11 @@ every AS (
   UNION ALL {_sql_kind("hex", HEX, "m")}),
 base AS (
   SELECT *, start + len(match) AS stop FROM every WHERE kind <> 'assign' OR len(value) >= {ASSIGN_LEAST}),
-owned AS (SELECT value, count(DISTINCT coalesce(source, chr(1))) AS n_owners FROM base GROUP BY value),
+owned AS (
+  SELECT value, count(DISTINCT coalesce(source, chr(1))) AS n_owners,
+    count(DISTINCT coalesce(source, chr(1)) || chr(2) || coalesce(CAST(doc_id AS VARCHAR), chr(1))) AS n_repos FROM base GROUP BY value),
 judged AS (
-  SELECT b.*, n_owners < {OWNERS} AS live FROM base b JOIN owned USING (value)),
+  SELECT b.*, n_owners, n_repos, n_owners < {OWNERS} AND n_repos < {REPOS} AS live FROM base b JOIN owned USING (value)),
 every_span AS (
   SELECT row, start, rank, kind, stop FROM judged
   UNION ALL SELECT DISTINCT row, stop - len(value), {len(KINDS)}, '{LIVE}', stop FROM judged WHERE live),
@@ -131,9 +138,11 @@ listed AS (
 counted AS (
   SELECT row, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
     count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example,
+    max(n_repos) AS most_repos, max(n_owners) AS most_owners,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS base FROM judged GROUP BY row)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  coalesce(most_repos, 0) AS most_repos, coalesce(most_owners, 0) AS most_owners
 FROM docs LEFT JOIN listed USING (row) LEFT JOIN counted USING (row)
 """
