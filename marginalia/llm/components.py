@@ -7,20 +7,35 @@ from pyspark.sql import DataFrame, functions as F
 from .common import stored
 
 MAX_ROUNDS = 60
+#: A node with more than this share of the edges is a hub, so there are at most twice as many hubs; few edges make none.
+HUBS, LEAST_HUB = 50_000, 64
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
+    """``edges(a, b)`` with ``m`` of ``least(a, n, m)``, ``n`` being the number of edges of ``a``.
+
+    The edges of a hub would all meet in one task.  Hubs are few by their
+    definition, so those are broadcast, and only the other edges are dealt by
+    node.
+    """
+    hub = F.col("n") > max(LEAST_HUB, 2 * n_edges // HUBS)
+    hubs = F.broadcast(stored(least.filter(hub).select("a", "m"), "hubs"))
+    others = edges.join(hubs, "a", "left_anti").join(least.filter(~hub).select("a", "m"), "a")
+    return others.unionByName(edges.join(hubs, "a"))
+
+
+def _large(edges: DataFrame, n_edges: int) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node around it."""
     both = edges.select("a", "b").union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = both.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("m")).select("a", "n", F.least("a", "m").alias("m"))
+    return _with_least(both, least, n_edges).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, n_edges: int) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    tied = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("m"))
+    tied = _with_least(down, least, n_edges).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -28,7 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)`` that isn't its own root.
 
     The root is the smallest node of the component.  Each round is two
-    map-side combined minima and two joins whose hot nodes AQE splits, and is
+    map-side combined minima and two joins without hot nodes, and is
     written, so that a lost executor costs one round.  Rounds grow with the
     logarithm of the longest path.  No edge or label reaches the driver, only
     a count and a check sum per round.  Loops and repeated edges are ignored.
@@ -39,7 +54,7 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             break
-        edges = stored(_small(_large(edges)), "edges")
+        edges = stored(_small(_large(edges, before[0]), before[0]), "edges")
         now = mark(edges)
         if now == before:
             break

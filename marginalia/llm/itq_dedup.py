@@ -28,7 +28,10 @@ SAMPLE = 10_000
 BUCKET = 64
 #: Chance that a pair exactly at the limit shares no key, which sets the number of keys.
 MISS = 1e-6
-MOST_ROTATIONS = 64
+#: Learned rotations; further ones are drawn, as few vectors teach the same one again.
+LEARNED = 64
+#: Rotations after which a fit that still misses more gives up with an error.
+MOST_ROTATIONS = 4096
 STEPS = 30
 #: Vectors of a bucket that one row of work compares at once.
 CHUNK = 256
@@ -65,8 +68,10 @@ class Coder:
         norm = np.linalg.norm(side, axis=1, keepdims=True)
         partner = limit * base + math.sqrt(1 - limit * limit) * side / np.where(norm > 0, norm, 1)
         self.matrices: list[np.ndarray] = []
-        while len(self.matrices) < MOST_ROTATIONS:
-            self.matrices.append(rotation(centred, len(self.matrices)))
+        while True:
+            if len(self.matrices) >= MOST_ROTATIONS:
+                raise ValueError(f"{MOST_ROTATIONS} rotations of {d} components still miss pairs at {limit}")
+            self.matrices.append(rotation(centred, len(self.matrices), STEPS if len(self.matrices) < LEARNED else 0))
             differ = self.signs(base) != self.signs(partner)
             shared = ~self.cut(differ).any(axis=2)
             if shared.any(axis=1).all() and np.prod(1 - shared.mean(axis=0)) <= MISS:

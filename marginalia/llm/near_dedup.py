@@ -32,8 +32,8 @@ from .components import components
 WORDS = 5
 BANDS, ROWS = 24, 5
 SKETCH_BITS = 512
-#: Classes of a bucket that one row of work compares at once.
-CHUNK = 128
+#: Classes of a bucket that one row of work compares at once, and their shingles; a larger set is a row of its own.
+CHUNK, CHUNK_SHINGLES = 128, 2_000_000
 #: Cells of a table of (class, shingle) up to which a block is counted as a matrix.
 CELLS = 32_000_000
 
@@ -217,11 +217,10 @@ def _judged(docs: DataFrame, similarity_pct: int = 85, bands: int = BANDS, rows:
     limit = sketch_limit(similarity_pct / 100, n_samples)
     placed = classes.select("cid", "n", F.explode(F.slice("keys", 1, bands)).alias("key"))
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes and odd sketches allow the similarity."""
-        side = lambda s: classes.select(F.col("cid").alias(s), F.col("sketch").alias(f"sketch_{s}"))
-        met = pairs.join(side("a"), "a").join(side("b"), "b")
-        return met.filter(_differing(F.col("sketch_a"), F.col("sketch_b")) <= limit).select("a", "b")
+    def beside_hub(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
+        """``pairs(hub, cid, part)`` with ``column`` of both; that of a hub goes to each of its parts, so none is a hot key."""
+        hubs = pairs.select("hub", "part").distinct().join(held.select(F.col("cid").alias("hub"), F.col(column).alias("left")), "hub")
+        return pairs.join(held.select("cid", F.col(column).alias("right")), "cid").join(hubs, ["hub", "part"])
 
     def sizes_fit(n: str, m: str) -> Column:
         return 100 * F.least(n, m) >= similarity_pct * F.greatest(n, m)
@@ -235,16 +234,16 @@ def _judged(docs: DataFrame, similarity_pct: int = 85, bands: int = BANDS, rows:
 
     # Every class against the centre of each of its buckets.
     buckets = placed.groupBy("key").agg(
-        F.count("*").alias("size"), F.min(F.struct(F.xxhash64("cid", "key").alias("h"), "cid", "n")).alias("hub")
-    ).filter("size > 1").select("key", F.col("hub.cid").alias("hub"), F.col("hub.n").alias("hub_n"))
-    stars = placed.join(buckets, "key").filter((F.col("cid") != F.col("hub")) & sizes_fit("n", "hub_n")).select(
-        F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
-    near = stored(alike(stars), "stars")
-    sets = shingles_of(near.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
-    side = lambda s: sets.select(F.col("cid").alias(s), F.col("shingles").alias(f"set_{s}"))
-    counted = near.join(side("b"), "b").join(side("a"), "a").select(
-        "a", "b", (F.octet_length("set_a") / 8).cast("bigint").alias("n"),
-        (F.octet_length("set_b") / 8).cast("bigint").alias("m"), _common("set_a", "set_b").alias("c"))
+        F.count("*").alias("size"), F.sum("n").alias("shingles"), F.min(F.struct(F.xxhash64("cid", "key").alias("h"), "cid", "n")).alias("hub")
+    ).filter("size > 1").select("key", F.col("hub.cid").alias("hub"), F.col("hub.n").alias("hub_n"), F.greatest(
+        F.ceil(F.col("size") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES)).alias("parts"))
+    stars = placed.join(buckets, "key").filter((F.col("cid") != F.col("hub")) & sizes_fit("n", "hub_n")).groupBy("hub", "cid").agg(
+        F.max(F.pmod(F.xxhash64("cid"), "parts")).alias("part"))
+    near = stored(beside_hub(stars, classes, "sketch").filter(_differing(F.col("left"), F.col("right")) <= limit).select("hub", "cid", "part"), "stars")
+    sets = shingles_of(near.select(F.explode(F.array("hub", "cid")).alias("cid")).distinct())
+    counted = beside_hub(near, sets, "shingles").select(
+        F.col("hub").alias("a"), F.col("cid").alias("b"), (F.octet_length("left") / 8).cast("bigint").alias("n"),
+        (F.octet_length("right") / 8).cast("bigint").alias("m"), _common("left", "right").alias("c"))
     links = stored(counted.filter(
         100 * F.col("c") >= similarity_pct * (F.col("n") + F.col("m") - F.col("c"))).select("a", "b"), "links", 500)
     roots = components(links)
@@ -252,22 +251,26 @@ def _judged(docs: DataFrame, similarity_pct: int = 85, bands: int = BANDS, rows:
     # What several components of one bucket still hold, across components.
     rooted = stored(classes.join(roots, classes["cid"] == roots["node"], "left").select(
         "cid", "n", "keys", "sketch", F.coalesce("root", "cid").alias("root")), "rooted")
-    spread = rooted.select("cid", "root", F.explode("keys").alias("key"))
+    spread = rooted.select("cid", "root", "n", F.explode("keys").alias("key"))
     several = spread.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     left = stored(spread.join(several, "key"), "left")
     # A component that is large in a bucket has chunks of its own, which aren't compared with each other.
-    per_root = left.groupBy("key", "root").agg(F.count("*").alias("size")).withColumn(
+    per_root = left.groupBy("key", "root").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).withColumn(
         "own", F.when(F.col("size") >= CHUNK, F.col("root")).otherwise(-1))
-    chunks = per_root.groupBy("key", "own").agg(F.ceil(F.sum("size") / CHUNK).alias("chunks"))
+    chunks = per_root.groupBy("key", "own").agg(F.greatest(
+        F.ceil(F.sum("size") / CHUNK), F.ceil(F.sum("shingles") / CHUNK_SHINGLES)).alias("chunks"))
     labels = per_root.select("key", "root", "own").join(chunks, ["key", "own"])
     parts = ("cid", "n", "root", "sketch", "keys")
     held = left.join(labels, ["key", "root"]).select("key", "cid", "own", F.pmod(F.xxhash64("cid", "key"), "chunks").alias("c")).join(
         rooted, "cid").groupBy("key", "own", "c").agg(F.sort_array(F.collect_list(F.struct(*parts))).alias("h")).select(
         "key", "own", "c", *[F.col(f"h.{c}") for c in parts[:3]], *[F.flatten(f"h.{c}").alias(c) for c in parts[3:]])
     held = stored(held, "held")
+    # Which chunks meet is told by their numbers; their rows then go to one pair of chunks each.
+    named = held.select("key", "own", "c", F.size("cid").alias("held"))
+    met = named.join(named.select("key", F.col("own").alias("own_j"), F.col("c").alias("c_j")), "key").filter(
+        "own > own_j OR (own = -1 AND own_j = -1 AND (c > c_j OR (c = c_j AND held > 1)))").drop("held")
     other = held.select("key", *[F.col(c).alias(f"{c}_j") for c in ("own", "c", *parts)])
-    work = held.join(other, "key").filter(
-        "own > own_j OR (own = -1 AND own_j = -1 AND (c > c_j OR (c = c_j AND size(cid) > 1)))")
+    work = met.join(held, ["key", "own", "c"]).join(other, ["key", "own_j", "c_j"])
 
     def candidates(batches):
         for batch in batches:
@@ -327,19 +330,19 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, all columns kept.
 
     Repeated rows of a kept document (same id) give one row; rows without id
-    that link with no other id all stay.
+    that link with no other id all stay, and so do null and empty texts; an
+    empty table gives no row.  Options: those of ``near_duplicates``.
     """
     judged = stored(_judged(docs, **options).select("doc_id", "rk", "kept"), "judged")
-    key = F.xxhash64("doc_id", "text")
-    gone = judged.filter("NOT kept").select(F.col("rk").alias("_rk")).distinct()
-    stay = docs.join(gone, key == F.col("_rk"), "left_anti")
+    # All columns of a row in one, so that none of them clashes with those used here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("doc_id", "text").alias("rk"), F.col("doc_id").alias("id"))
+    stay = rows.join(judged.filter("NOT kept").select("rk").distinct(), "rk", "left_anti")
     again = judged.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    again = stored(again.select(F.col("doc_id").alias("_id")), "again")
+    again = stored(again.select(F.col("doc_id").alias("id")), "again")
     if again.isEmpty():
-        return stay
-    repeated = F.col("doc_id") == F.col("_id")
-    once = stay.join(again, repeated, "left_semi").dropDuplicates(["doc_id"])
-    return stay.join(again, repeated, "left_anti").unionByName(once)
+        return stay.select("row.*")
+    once = stay.join(again, "id", "left_semi").dropDuplicates(["id"])
+    return stay.join(again, "id", "left_anti").select("row.*").unionByName(once.select("row.*"))
 
 
 def op4(spark: SparkSession, folder: str) -> DataFrame:
