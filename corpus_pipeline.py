@@ -11,29 +11,52 @@ from marginalia.llm.mixing import mixed
 from marginalia.llm.near_dedup import one_of_each
 from marginalia.llm.token_blocks import encoded
 
+#: Hundredths of similarity at which documents of the pipeline are copies.
+SIMILARITY = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told go: without text, without a letter, or undecided."""
+    """Documents whose language can't be told go: without text, without a letter, or undecided.
+
+    Repeated rows are judged alike, null ids stay, an empty table gives no row.
+    """
     return accepted(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return one_of_each(docs)
+    """One document of each group of near copies stays, copies being at a similarity of 0.8 or more on five-word shingles.
+
+    The smallest id stays, once where its row is repeated; documents without
+    text stay, and those without id unless they link with one that has an id;
+    an empty table gives no row.
+    """
+    return one_of_each(docs, similarity_pct=SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item within its edit budget go."""
+    """Documents that hold a benchmark item within its edit budget go.
+
+    Null and empty texts stay, repeated rows are judged alike, all stay
+    without items, an empty table gives no row.
+    """
     return clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay as often as the mix of sources takes them."""
+    """Documents stay as often as the mix of sources takes them.
+
+    Null and empty texts are never taken, null is a source of its own,
+    identical rows share one decision, an empty table gives no row.
+    """
     return mixed(docs)
 
 
 def write_token_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in ascending order of id, as written and read back."""
+    """Token ids in ascending order of id, as written and read back.
+
+    Null text gives the end id alone, rows without id come first, repeated
+    rows are each written, an empty table gives no row.
+    """
     return encoded(spark, docs)
 
 
