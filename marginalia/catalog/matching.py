@@ -10,7 +10,7 @@ from ..views import documents, incoming_docs, md_docs, page_docs, table, version
 from . import sqlviews as Q
 from .files import ledger
 from .registry import query
-from .scalars import _lower_list, _titles_sql
+from .scalars import _lower_list, _titles_sql, content_similarity_sql
 from .structure import chapters_sql, keyed_sections_sql, sections_sql, summary_sql
 
 SP = P.SPACE
@@ -128,10 +128,14 @@ def _(spark, d):
 
 Q.VIEWS["new_sections"] = keyed_sections_sql("md_docs_v2")
 Q.VIEWS["old_sections"] = keyed_sections_sql("md_docs")
-Q.VIEWS["diff_rows"] = f"""SELECT coalesce(a.doc_id, b.doc_id) AS pair, coalesce(a.heading, b.heading) AS heading, b.line_start, b.line_end,
+def _diff_sql(new, old):
+    return f"""SELECT coalesce(a.pair, b.pair) AS pair, coalesce(a.heading, b.heading) AS heading, b.line_start, b.line_end,
     CASE WHEN b.heading IS NULL THEN 'added' WHEN a.heading IS NULL THEN CASE WHEN b.heading IN ('サマリー', '目次', '概要', 'Summary') THEN 'special' ELSE 'kept' END
       WHEN {Q.normalize_content('a.content')} = {Q.normalize_content('b.content')} THEN 'unchanged' ELSE 'changed' END AS kind
-  FROM new_sections a FULL JOIN old_sections b ON a.doc_id = b.doc_id AND a.heading = b.heading"""
+  FROM {new} a FULL JOIN {old} b ON a.pair = b.pair AND a.heading = b.heading"""
+
+
+Q.VIEWS["diff_rows"] = _diff_sql("version_new", "version_old")
 _NAT = "CASE WHEN regexp_matches(heading, '^[0-9]') THEN 0 ELSE 1 END, coalesce(nullif(regexp_extract(heading, '^([0-9]+)', 1), '')::HUGEINT, 0), heading"
 
 
@@ -145,21 +149,71 @@ def _(spark, d):
     return _diff(spark, d)
 
 
-@query("change_rows", "pair:l kind:s place:l heading:s line_start:l n:l is_primary:b",
-       f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY pair, kind ORDER BY {_NAT}) AS place, CASE kind WHEN 'added' THEN 15 ELSE 10 END AS cap FROM diff_rows WHERE kind IN ('added', 'changed'))
-       SELECT pair, kind, place, heading, line_start, 1 AS n, true AS is_primary FROM r WHERE place <= cap
-       UNION ALL SELECT pair, kind, min(place), NULL, NULL, count(*), true FROM r WHERE place > cap GROUP BY pair, kind
-       UNION ALL SELECT pair, kind, 1, NULL, NULL, count(*), false FROM diff_rows WHERE kind = 'kept' GROUP BY pair, kind""")
+def _changes_sql(diff):
+    return f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY pair, kind ORDER BY {_NAT}) AS place, CASE kind WHEN 'added' THEN 15 ELSE 10 END AS cap FROM {diff} WHERE kind IN ('added', 'changed'))
+       SELECT pair, kind, place, heading, line_start, line_end, 1 AS n, true AS is_primary FROM r WHERE place <= cap
+       UNION ALL SELECT pair, kind, min(place), NULL, NULL, NULL, count(*), true FROM r WHERE place > cap GROUP BY pair, kind
+       UNION ALL SELECT pair, kind, 1, NULL, NULL, NULL, count(*), false FROM {diff} WHERE kind = 'kept' GROUP BY pair, kind"""
+
+
+@query("change_rows", "pair:l kind:s place:l heading:s line_start:l n:l is_primary:b", _changes_sql("diff_rows"))
 def _(spark, d):
     return M.change_rows(_diff(spark, d), "pair")
 
 
-@query("match_sections", "pair:l sec_pos:l heading:s kind:s old_heading:s line_start:l line_end:l similarity:d")
+def _placements_sql(new, old):
+    """Greedy placement of the sections of ``new`` in those of ``old``, both (pair, heading, sec_pos, line_start, line_end, content), section by section."""
+    return f"""WITH RECURSIVE n AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY sec_pos) - 1 AS i FROM {new}),
+      o AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY sec_pos) - 1 AS j FROM {old}),
+      sims AS ({content_similarity_sql('SELECT n.pair, n.i, o.j, n.content AS a, o.content AS b FROM n JOIN o ON o.pair = n.pair WHERE NOT EXISTS (SELECT 1 FROM o x WHERE x.pair = n.pair AND x.heading = n.heading)', 'pair, i, j')}),
+      c AS (SELECT pair, i, list({{'s': score, 'j': j}} ORDER BY score DESC, j) AS free FROM sims WHERE score >= 0.5 GROUP BY pair, i),
+      w AS MATERIALIZED (SELECT n.pair, n.i, o.j AS same, c.free FROM n LEFT JOIN o ON o.pair = n.pair AND o.heading = n.heading LEFT JOIN c ON c.pair = n.pair AND c.i = n.i),
+      g(pair, i, used, pick) AS (
+        SELECT DISTINCT pair, -1::BIGINT, []::BIGINT[], NULL::STRUCT(s DOUBLE, j BIGINT) FROM n
+        UNION ALL SELECT pair, i, CASE WHEN same IS NOT NULL THEN list_append(used, same) WHEN pick IS NOT NULL THEN list_append(used, pick.j) ELSE used END, pick
+          FROM (SELECT w.pair, w.i, w.same, g.used, CASE WHEN w.same IS NULL THEN list_filter(coalesce(w.free, []), lambda x: NOT list_contains(g.used, x.j))[1] END AS pick
+            FROM g JOIN w ON w.pair = g.pair AND w.i = g.i + 1))
+      SELECT n.pair, n.i AS sec_pos, n.heading, CASE WHEN s.j IS NOT NULL THEN CASE WHEN {Q.normalize_content('n.content')} = {Q.normalize_content('s.content')} THEN 'unchanged' ELSE 'updated' END
+          WHEN g.pick IS NOT NULL THEN 'matched' ELSE 'new' END AS kind, coalesce(s.heading, m.heading) AS old_heading, coalesce(s.line_start, m.line_start) AS line_start,
+        coalesce(s.line_end, m.line_end) AS line_end, CASE WHEN s.j IS NULL THEN g.pick.s END AS similarity
+      FROM n JOIN g ON g.pair = n.pair AND g.i = n.i LEFT JOIN o s ON s.pair = n.pair AND s.heading = n.heading LEFT JOIN o m ON m.pair = n.pair AND m.j = g.pick.j"""
+
+
+Q.VIEWS["version_new"] = "SELECT doc_id AS pair, * EXCLUDE (doc_id) FROM new_sections"
+Q.VIEWS["version_old"] = "SELECT doc_id AS pair, * EXCLUDE (doc_id) FROM old_sections"
+
+
+@query("match_sections", "pair:l sec_pos:l heading:s kind:s old_heading:s line_start:l line_end:l similarity:d", _placements_sql("version_new", "version_old"))
 def _(spark, d):
     return M.match_sections(versions(spark, d).select(
         F.col("doc_id").alias("pair"), F.col("after").alias("new_text"), F.col("before").alias("old_text")))
 
 
+# What the updates of the plan do to their targets
+
+
+Q.VIEWS["plan_pairs"] = "SELECT key AS pair, target, b.doc_id AS base_id FROM plan_result JOIN md_docs b ON b.kb_path = target WHERE action = 'update'"
+Q.VIEWS["pair_new"] = keyed_sections_sql("(SELECT doc_id AS pair, text FROM incoming_docs WHERE doc_id IN (SELECT pair FROM plan_pairs))", "pair")
+Q.VIEWS["pair_old"] = keyed_sections_sql("(SELECT pair, text FROM plan_pairs JOIN md_docs ON doc_id = base_id)", "pair")
+Q.VIEWS["pair_diff"] = _diff_sql("pair_new", "pair_old")
+
+
+def _plan_pairs(spark, d):
+    return U.matched_pairs(plan(spark, d), _new(spark, d), _base(spark, d)).checkpoint()
+
+
+@query("plan_changes", "pair:l target:s kind:s place:l heading:s line_start:l line_end:l n:l is_primary:b",
+       f"SELECT c.*, target FROM ({_changes_sql('pair_diff')}) c JOIN plan_pairs USING (pair)")
+def _(spark, d):
+    return U.plan_changes(_plan_pairs(spark, d))
+
+
+@query("plan_placements", "pair:l target:s sec_pos:l heading:s kind:s old_heading:s line_start:l line_end:l similarity:d",
+       f"SELECT c.*, target FROM ({_placements_sql('pair_new', 'pair_old')}) c JOIN plan_pairs USING (pair)")
+def _(spark, d):
+    return U.plan_placements(_plan_pairs(spark, d))
+
+
 _PAIRS = f"SELECT doc_id, {_titles_sql('after')} AS a, {_titles_sql('before')} AS b FROM versions"
 
 

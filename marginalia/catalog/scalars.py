@@ -32,10 +32,10 @@ _col("anchor", "doc_id:l value:s", lambda: [T.anchor(_x()).alias("value")],
 
 def _decorated():
     return F.concat(F.lit("【v"), F.col("doc_id").cast("string"), F.lit("】★2024-01-05__"), F.col("source"),
-                    F.lit("__"), F.substring("text", 1, 40))
+                    F.lit("__"), F.col("text"))
 
 
-_DECORATED = "'【v' || doc_id || '】★2024-01-05__' || source || '__' || left(text, 40)"
+_DECORATED = "'【v' || doc_id || '】★2024-01-05__' || source || '__' || text"
 _col("clean_filename", "doc_id:l value:s", lambda: [T.clean_filename(_decorated()).alias("value")],
      f"SELECT doc_id, {Q.clean_filename(_DECORATED)} AS value FROM documents")
 
@@ -44,10 +44,10 @@ def _output_name():
     k = F.col("doc_id")
     return F.concat(
         F.when(k % 2 == 0, F.lit("240105_")).otherwise(F.lit("★")), F.col("source"), F.lit("【x】 "),
-        F.substring("text", 1, 20), F.when(k % 3 == 0, F.lit(" (2)")).otherwise(F.lit("")))
+        F.col("text"), F.when(k % 3 == 0, F.lit(" (2)")).otherwise(F.lit("")))
 
 
-_OUTPUT_NAME = ("CASE WHEN doc_id % 2 = 0 THEN '240105_' ELSE '★' END || source || '【x】 ' || left(text, 20) "
+_OUTPUT_NAME = ("CASE WHEN doc_id % 2 = 0 THEN '240105_' ELSE '★' END || source || '【x】 ' || text "
                 "|| CASE WHEN doc_id % 3 = 0 THEN ' (2)' ELSE '' END")
 _col("clean_output_name", "doc_id:l value:s", lambda: [T.clean_output_name(_output_name()).alias("value")],
      f"SELECT doc_id, {Q.clean_output_name(f'({_OUTPUT_NAME})')} AS value FROM documents")

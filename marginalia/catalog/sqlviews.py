@@ -74,10 +74,16 @@ def _markdown(source: str, revised: bool) -> str:
     other = "((doc_id * 7 + i) % (n_docs + 40))"
     back = anchor(f"(i - 4) || '. ' || {heads('ls[i - 4]')}")
     tail = "|| CASE WHEN doc_id % 11 = 0 THEN ' (rev)' ELSE '' END" if revised else ""
+    number = "CASE WHEN doc_id % 13 = 0 OR (doc_id % 5 = 0 AND i BETWEEN 29 AND 35) THEN 'b. ' ELSE '. ' END" if revised else "'. '"
+    section, part = f"'### ' || i || {number} || {w}", f"'#### ' || i || '.1 ' || {w}"
+    if revised:
+        section = f"CASE WHEN doc_id % 17 = 0 THEN '### Neu ' || i ELSE {section} END"
+        part = f"CASE WHEN doc_id % 17 = 0 AND i % 2 = 0 THEN '### Neu ' || i ELSE {part} END"
     one = f"""CASE
-      WHEN i = 1 THEN ['# ' || {w}, '', '## サマリー', '- ' || x, '', '---', '', '## 目次', '', '---', '']
-      WHEN (i + doc_id) % 7 = 0 THEN ['### ' || i || '. ' || {w}, x]
-      WHEN (i + doc_id) % 7 = 1 THEN {drop(3, f"['#### ' || i || '.1 ' || {w}, x]", "[x]")}
+      WHEN i = 1 THEN list_concat(['# ' || {w}, '', '## サマリー', '- ' || CASE WHEN doc_id % 23 = 0 THEN '見積業務、' ELSE '' END || x, '', '---', '', '## 目次', '', '---', ''],
+        {"[]::VARCHAR[]" if revised else "CASE WHEN doc_id % 19 = 0 THEN ['![表紙](images/img_2.png)', '作成日：2024-01-01 ' || " + w + ", '図の説明：' || " + w + "] ELSE [] END"})
+      WHEN (i + doc_id) % 7 = 0 THEN [{section}, x]
+      WHEN (i + doc_id) % 7 = 1 THEN {drop(3, f"[{part}, x]", "[x]")}
       WHEN (i + doc_id) % 7 = 2 THEN list_concat({head}, CASE WHEN i % 2 = 1 THEN {drop(5, row)} ELSE {row} END)
       WHEN (i + doc_id) % 7 = 3 THEN {drop(2, "['> ' || x]")}
       WHEN (i + doc_id) % 7 = 4 AND i % 3 = 0 THEN
@@ -85,6 +91,7 @@ def _markdown(source: str, revised: bool) -> str:
       WHEN (i + doc_id) % 7 = 4 AND i % 3 = 1 THEN ['[' || {w} || '](doc_' || {other} || '.md#no-such)']
       WHEN (i + doc_id) % 7 = 4 THEN ['[' || {w} || '](doc_' || {other} || '.md)']
       WHEN (i + doc_id) % 7 = 5 THEN ['![' || {w} || '](images/img_' || i || '.png)']
+      {"WHEN doc_id % 5 = 1 AND i BETWEEN 15 AND 21 THEN ['### Neu ' || i, x]" if revised else ""}
       ELSE [x {tail}] END"""
     built = f"flatten(list_transform(ls, lambda x, i: {one}))"
     if revised:
@@ -121,7 +128,7 @@ VIEWS: dict[str, str] = {
     "image_files": """SELECT 'images/img_' || unnest(range(2, greatest(n, 2) + 1, 2)) || '.png' AS path
       FROM (SELECT max(len(string_split(text, chr(10)))) AS n FROM documents)""",
     "files": f"""SELECT page_id, base || ext0 AS path, base AS stem_path, lower(ext0) AS ext,
-      strlen(html) AS size_bytes, page_id % 3 = 0 AS has_text, page_id % 5 = 0 AS in_ocr_list,
+      strlen(html) AS size_bytes, make_timestamp((1704067200 + page_id * 61) * 1000000) AS modified, page_id % 3 = 0 AS has_text, page_id % 5 = 0 AS in_ocr_list,
       page_id % 4 = 0 AS has_json, page_id % 10 = 0 AS in_excluded_list, page_id % 17 = 0 AS has_password
       FROM (SELECT *, {_pick(EXTENSIONS, f'page_id % {len(EXTENSIONS)}')} AS ext0,
         {HOST} || '/' || CASE WHEN page_id % 25 = 0 THEN '~$' ELSE '' END || 'file_' || page_id AS base FROM pages)""",

@@ -44,6 +44,33 @@ def running_number(
         *df.columns, (F.col("_at") - F.col("_first") + 1 + F.col("_offset")).alias(name))
 
 
+def running_total(
+    df: DataFrame, order: Sequence[str], group: Sequence[str], value: str, name: str = "total"
+) -> DataFrame:
+    """Sum of ``value`` over the rows of each group up to the row itself, by ``order`` (a total order).
+
+    As ``running_number``: sums within range partitions, plus the sums of the
+    partitions before.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = [*group, *order]
+    placed = (
+        df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+        .withColumn("_part", F.shiftright(F.monotonically_increasing_id(), 33)).checkpoint()
+    )
+    sums = placed.groupBy("_part", *group).agg(F.sum(value).alias("_sum"))
+    before = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.select(
+        F.col("_part").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    same = F.col("_part") == F.col("_p")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    within = W.partitionBy("_part", *group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    summed = placed.withColumn("_within", F.sum(value).over(within))
+    return summed.join(offsets, same).select(*df.columns, (F.col("_within") + F.col("_offset")).alias(name))
+
+
 def unique_names(rows: DataFrame, existing: DataFrame, order: Sequence[str]) -> DataFrame:
     """First free of ``name``, ``name_2``, ``name_3`` … in order; blank is ``document``.
 

@@ -12,14 +12,14 @@ from ..functions.text import (
 )
 from ..operators.chunking import UPDATE_SIZE, part_path, split_by_headings, split_large_update
 from ..operators.classify import is_excluded
-from ..operators.matching import UPDATE_LIMIT, already_in_base, best_match, features
+from ..operators.matching import UPDATE_LIMIT, already_in_base, best_match, change_rows, features, match_sections, section_diff
 from ..operators.numbering import max_file_numbers, running_number
-from ..operators.structure import sections_h12
+from ..operators.structure import sections_h12, unfold
 
+#: Fixed wording of the reasons.
 REASON_EXCLUDED = "除外設定にマッチ"
 REASON_LEDGER = "既にナレッジ化済み（mapping.jsonに存在）"
 REASON_NONE = "新規トピックとして追加。既存ナレッジに該当なし。"
-#: Fixed wording of the reasons.
 REASON_SIMPLE = "（AI判定が利用できないため簡易判定）"
 REASON_UNPLACED = "新規トピックとして追加。"
 REASON_SAME = "変更なし（ハッシュ一致）"
@@ -85,6 +85,29 @@ def plan_updates(
     )
 
 
+def matched_pairs(actions: DataFrame, new: DataFrame, base: DataFrame) -> DataFrame:
+    """``pair, target, new_text, old_text`` of the updates of a plan: the key of the new document, and both texts.
+
+    Joined by key and path, so documents that share a name stay apart.
+    """
+    return actions.filter("action = 'update'").select(F.col("key").alias("pair"), "target").join(
+        new.select(F.col("key").alias("pair"), F.col("text").alias("new_text")), "pair").join(
+        base.select(F.col("path").alias("target"), F.col("text").alias("old_text")), "target").select("pair", "target", "new_text", "old_text")
+
+
+def plan_changes(pairs: DataFrame, added: int = 15, changed: int = 10) -> DataFrame:
+    """What an update changes in its target, per pair of ``matched_pairs``: added and changed sections with
+    their lines up to a display limit, the number of the rest, and the number of sections that are kept."""
+    diff = unfold(pairs, section_diff(F.col("new_text"), F.col("old_text")), "pair", "target")
+    return change_rows(diff, "pair", added, changed).join(pairs.select("pair", "target"), "pair")
+
+
+def plan_placements(pairs: DataFrame) -> DataFrame:
+    """Where each section of an update goes in its target: the section of that heading, else the most similar
+    one that is still free, else a new one.  In document order within each pair of ``matched_pairs``."""
+    return match_sections(pairs).join(pairs.select("pair", "target"), "pair")
+
+
 def front_matter(source: Column, run_ts: Column, split_index: Column | None = None, updated: bool = False) -> Column:
     """Front matter of a created or an updated file."""
     index = F.lit("") if split_index is None else F.when(split_index.isNotNull(), F.concat(
@@ -167,63 +190,6 @@ def route_sections(text: Column, update_headings: Column, create_headings: Colum
     return let(lines(text), build)
 
 
-def execute_plan(actions: DataFrame, sources: DataFrame, base: DataFrame, run_ts: Column) -> DataFrame:
-    """Outcome rows ``(source, target, result, text, reason)`` of a plan.
-
-    ``actions(source, action, target, reason, strategy)``, ``sources(source,
-    text)``, ``base(target, text)``.  An update or partial update whose target
-    is gone becomes a create; an action without a source text is an error row.
-    Skips carry no text, so only the others meet the texts.
-    """
-    skips = actions.filter("action = 'skip'").select(
-        "source", "target", F.lit("skipped").alias("result"), F.lit(None).cast("string").alias("text"), "reason")
-    todo = actions.filter("action <> 'skip'").join(
-        sources.select("source", F.col("text").alias("new_text")), "source", "left"
-    ).join(base.select("target", F.col("text").alias("old_text")), "target", "left")
-    creating = (F.col("action") == "create") | F.col("old_text").isNull()
-    created = F.concat(front_matter(F.col("source"), run_ts), F.lit("\n\n"), "new_text")
-    updated = update_front_matter(
-        merge_texts(F.col("strategy"), F.col("old_text"), F.col("new_text")), F.col("source"), run_ts)
-    missing = F.col("new_text").isNull()
-    return todo.select(
-        "source", "target",
-        F.when(missing, "error").when(creating, "created").otherwise("updated").alias("result"),
-        F.when(~missing, F.when(creating, created).otherwise(updated)).alias("text"),
-        F.when(missing, F.concat(F.lit("Source content not found: "), "source")).otherwise(F.col("reason")).alias("reason"),
-    ).unionByName(skips)
-
-
-def execute_partial(actions: DataFrame, sources: DataFrame, base: DataFrame, run_ts: Column) -> DataFrame:
-    """Partial updates: one part goes to the base file, the other to a new file.
-
-    ``actions(source, target, create_target, update_headings, create_headings, strategy)``.
-    """
-    parts = actions.join(sources.select("source", F.col("text").alias("new_text")), "source").join(
-        base.select("target", F.col("text").alias("old_text")), "target", "left").select(
-        "source", "target", "create_target", "old_text", "strategy",
-        F.explode(F.array(route_sections(F.col("new_text"), F.col("update_headings"), F.col("create_headings")))).alias("p"))
-    updates = parts.filter((F.col("p.update_text") != "") & F.col("old_text").isNotNull()).select(
-        "source", "target", F.lit("updated").alias("result"),
-        merge_texts(F.col("strategy"), F.col("old_text"), F.col("p.update_text")).alias("text"))
-    title = F.concat(F.lit("# "), F.regexp_replace("source", "_", " "), F.lit("（新規セクション）\n\n"))
-    creates = parts.filter(F.col("p.create_text") != "").select(
-        "source", F.col("create_target").alias("target"), F.lit("created").alias("result"),
-        F.concat(front_matter(F.col("source"), run_ts), F.lit("\n\n"), title, "p.create_text").alias("text"))
-    return updates.unionByName(creates)
-
-
-def execute_split_create(actions: DataFrame, sources: DataFrame, run_ts: Column) -> DataFrame:
-    """Creates that are split at headings into given files: ``actions(source, split_into)``."""
-    parts = split_by_headings(F.col("text"), F.size("split_into"), levels=2)
-    rows = actions.join(sources, "source").select(
-        "source", F.explode(F.array(F.arrays_zip("split_into", parts.alias("part")))).alias("z")
-    ).select("source", F.posexplode("z").alias("i", "z"))
-    head = front_matter(F.col("source"), run_ts, F.col("i") + 1)
-    return rows.select(
-        "source", F.col("z.split_into").alias("target"), F.lit("created").alias("result"),
-        F.concat(head, F.lit("\n\n"), "z.part").alias("text"), (F.col("i") + 1).alias("split_index"))
-
-
 def split_long_updates(outcomes: DataFrame, run_ts: Column, limit: int = UPDATE_SIZE) -> DataFrame:
     """Updated texts over the limit in parts, each with its own front matter; other rows as they are."""
     parts = F.when(F.col("result") == "updated", split_large_update(F.col("text"), limit))
@@ -235,23 +201,3 @@ def split_long_updates(outcomes: DataFrame, run_ts: Column, limit: int = UPDATE_
     later = F.concat(front_matter(F.concat("source", F.lit(" (Part "), n.cast("string"), F.lit(")")), run_ts), F.lit("\n\n"), "_part")
     text = F.when(n == 1, update_front_matter(F.col("_part"), F.col("source"), run_ts)).otherwise(later)
     return whole.unionByName(cut.withColumn("text", text).withColumn("target", part_path(F.col("target"), n)).select(*outcomes.columns))
-
-
-def update_ledger(ledger: DataFrame, outcomes: DataFrame, run_ts: Column) -> DataFrame:
-    """Ledger ``(target, inputs, created_at, updated_at)`` after a run.
-
-    A created target replaces its entry; an updated one gains the source.
-    """
-    done = outcomes.filter("result IN ('created', 'updated')").groupBy("target").agg(
-        F.max(F.when(F.col("result") == "created", F.col("source"))).alias("created_from"),
-        F.array_sort(F.collect_set(F.when(F.col("result") == "updated", F.col("source")))).alias("updated_from"))
-    none = F.array().cast("array<string>")
-    j = ledger.join(done, "target", "full_outer")
-    new_entry = F.col("created_from").isNotNull() | F.col("inputs").isNull()
-    start = F.when(F.col("created_from").isNotNull(), F.array("created_from")).otherwise(F.coalesce("inputs", none))
-    touched = F.size(F.coalesce("updated_from", none)) > 0
-    return j.select(
-        "target", F.array_union(start, F.coalesce("updated_from", none)).alias("inputs"),
-        F.when(new_entry, run_ts).otherwise(F.col("created_at")).alias("created_at"),
-        F.when(touched & ~(new_entry & F.col("created_from").isNull()), run_ts)
-        .when(~new_entry, F.col("updated_at")).alias("updated_at"))

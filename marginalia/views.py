@@ -68,14 +68,24 @@ def _markdown_lines(text: Column, doc_id: Column, n_docs: Column, revised: bool)
             i >= 5, cat(lit("#"), anchor(cat(_s(i - 4), lit(". "), back)))
         ).otherwise(lit("#none"))
         tail = F.when(doc_id % 11 == 0, lit(" (rev)")).otherwise(lit("")) if revised else lit("")
+        # Some revised documents rename one or all sections, and some add one or many.
+        renamed = (doc_id % 13 == 0) | ((doc_id % 5 == 0) & i.between(29, 35))
+        number = cat(_s(i), F.when(renamed, lit("b. ")).otherwise(lit(". "))) if revised else cat(_s(i), lit(". "))
+        added = doc_id % 17 == 0
+        fresh = cat(lit("### Neu "), _s(i))
+        business = F.when(doc_id % 23 == 0, lit("見積業務、")).otherwise(lit(""))
+        # Lines that a revision may leave out.
+        furniture = F.when(doc_id % 19 == 0, arr(
+            lit("![表紙](images/img_2.png)"), cat(lit("作成日：2024-01-01 "), w), cat(lit("図の説明："), w))).otherwise(none)
         table_row = arr(cat(lit("| "), _s(i), lit(" | "), _s(F.length(line)), lit(" |")))
         table_head = arr(lit("| a | b |"), lit("|---|---|"))
         return (
-            F.when(i == 1, arr(
-                cat(lit("# "), w), lit(""), lit("## サマリー"), cat(lit("- "), line), lit(""),
-                lit("---"), lit(""), lit("## 目次"), lit(""), lit("---"), lit("")))
-            .when(r == 0, arr(cat(lit("### "), _s(i), lit(". "), w), line))
-            .when(r == 1, dropped(3, arr(cat(lit("#### "), _s(i), lit(".1 "), w), line), arr(line)))
+            F.when(i == 1, F.concat(arr(
+                cat(lit("# "), w), lit(""), lit("## サマリー"), cat(lit("- "), business, line), lit(""),
+                lit("---"), lit(""), lit("## 目次"), lit(""), lit("---"), lit("")), none if revised else furniture))
+            .when(r == 0, arr(F.when(added, fresh).otherwise(cat(lit("### "), number, w)) if revised else cat(lit("### "), number, w), line))
+            .when(r == 1, dropped(3, arr(F.when(added & (i % 2 == 0), fresh).otherwise(
+                cat(lit("#### "), _s(i), lit(".1 "), w)) if revised else cat(lit("#### "), _s(i), lit(".1 "), w), line), arr(line)))
             .when(r == 2, F.concat(
                 table_head,
                 F.when(i % 2 == 1, dropped(5, table_row)).otherwise(table_row)))
@@ -85,7 +95,7 @@ def _markdown_lines(text: Column, doc_id: Column, n_docs: Column, revised: bool)
                 cat(lit("["), w, lit("](doc_"), _s(other), lit(".md#no-such)"))))
             .when(r == 4, arr(cat(lit("["), w, lit("](doc_"), _s(other), lit(".md)"))))
             .when(r == 5, arr(cat(lit("!["), w, lit("](images/img_"), _s(i), lit(".png)"))))
-            .otherwise(arr(cat(line, tail)))
+            .otherwise(F.when((doc_id % 5 == 1) & i.between(15, 21), arr(fresh, line)).otherwise(arr(cat(line, tail))) if revised else arr(cat(line, tail)))
         )
 
     built = let(
@@ -181,6 +191,7 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
         base.alias("stem_path"),
         F.lower(ext).alias("ext"),
         F.octet_length("html").cast("bigint").alias("size_bytes"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + k * 61).alias("modified"),
         (k % 3 == 0).alias("has_text"),
         (k % 5 == 0).alias("in_ocr_list"),
         (k % 4 == 0).alias("has_json"),

@@ -271,26 +271,6 @@ def test_resolve_file_name_cascade(spark):
     assert old[1] == ("abc", 2) and old[3] == ("qq", 5)
 
 
-def test_update_ledger(spark):
-    ledger = spark.createDataFrame([("a.md", ["x"], "t0", None), ("b.md", ["y"], "t0", None)],
-                                   "target string, inputs array<string>, created_at string, updated_at string")
-    outcomes = spark.createDataFrame([
-        ("z", "a.md", "updated"), ("n", "b.md", "created"), ("m", "c.md", "updated"), ("s", "d.md", "skipped")],
-        "source string, target string, result string")
-    got = {r["target"]: (r["inputs"], r["created_at"], r["updated_at"]) for r in U.update_ledger(ledger, outcomes, F.lit("t1")).collect()}
-    assert got == {"a.md": (["x", "z"], "t0", "t1"), "b.md": (["n"], "t1", None), "c.md": (["m"], "t1", None)}
-
-
-def test_partial_update(spark):
-    actions = spark.createDataFrame([("s_1", "t.md", "new.md", ["A"], ["B"], "replace")],
-                                    "source string, target string, create_target string, update_headings array<string>, create_headings array<string>, strategy string")
-    docs = spark.createDataFrame([("s_1", "# A\n1\n# B\n2")], "source string, text string")
-    base = spark.createDataFrame([("t.md", "old")], "target string, text string")
-    rows = {r["result"]: r["text"] for r in U.execute_partial(actions, docs, base, F.lit("t")).collect()}
-    assert rows["updated"] == "# A\n1"
-    assert rows["created"].endswith("# s 1（新規セクション）\n\n# B\n2")
-
-
 def test_merged_cells_last_range_wins(spark):
     cells = spark.createDataFrame([("f", "s", r, c, f"{r}{c}") for r in (1, 2, 3) for c in (1, 2)], "file string, sheet string, row int, col int, value string")
     merged = spark.createDataFrame([("f", "s", 1, 1, 2, 1, 2), ("f", "s", 2, 2, 9, 2, 2)],
@@ -307,12 +287,7 @@ def test_nest_sections_in_chunks(spark):
     assert [p["i"] for p in first["pages"]] == list(range(10))
 
 
-def test_split_create_and_split_update(spark):
-    sources = spark.createDataFrame([("s", "# A\n1\n# B\n2\n# C\n3")], "source string, text string")
-    actions = spark.createDataFrame([("s", ["x.md", "y.md"])], "source string, split_into array<string>")
-    rows = {r["target"]: r["text"] for r in U.execute_split_create(actions, sources, F.lit("t")).collect()}
-    assert rows["x.md"].endswith("  - split_index: 1\ngenerated_at: \"t\"\n---\n\n# A\n1")
-    assert rows["y.md"].endswith("# B\n2\n# C\n3")
+def test_split_update(spark):
     big = "# h\n" + "\n".join(f"## s{i}\n" + "z" * 3000 for i in range(6))
     outcomes = spark.createDataFrame([("s", "c/t.md", "updated", big, "r"), ("q", "c/u.md", "created", big, "r")],
                                      "source string, target string, result string, text string, reason string")
