@@ -258,23 +258,76 @@ Q.VIEWS["sheet_docs"] = """SELECT doc_id, name, regexp_replace(regexp_replace(te
     '(?m)^\\| ([0-9]+) \\| ([0-9]+) \\|$', '| \\1 | 業務 | \\2 | x |', 'g') AS text FROM long_docs"""
 
 
-@query("split_sheets", "doc_id:l chunk_no:l n_chars:l hash:s",
-       f"""WITH l AS (SELECT *, sum(starts_with({Q.strip('line')}, '## シート:')::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS sheet FROM ({Q.explode('sheet_docs')})),
+def _sheet_sql(sheets):
+    """(id, line_no, line, pipe), the header (id, head), the numbered data lines and their breaks of ``sheets(id, t)``."""
+    cell = lambda n: Q.strip(f"string_split(line, '|')[{n}]")
+    return f"""l AS MATERIALIZED (SELECT *, starts_with({Q.strip('line')}, '|') AS pipe FROM ({Q.explode(sheets, 't', 'id')})),
+      p AS (SELECT id, min(line_no) AS p1, (list(line_no ORDER BY line_no))[2] AS p2 FROM l WHERE pipe GROUP BY id),
+      hd AS (SELECT id, string_agg(line, {NL} ORDER BY line_no) AS head FROM l JOIN p USING (id) WHERE line_no <= p1 OR line_no = p2 GROUP BY id),
+      dt AS MATERIALIZED (SELECT id AS doc_id, row_number() OVER (PARTITION BY id ORDER BY line_no) AS i, line, length(line) + 1 AS size, head,
+          pipe AND len(string_split(line, '|')) >= 4 AND ({cell(3)} NOT IN ('', '-') OR {cell(4)} NOT IN ('', '-')) AS brk
+        FROM l JOIN p USING (id) JOIN hd USING (id) WHERE line_no > p1 AND line_no IS DISTINCT FROM p2),
+      n AS (SELECT doc_id, count(*) AS n_data, count(*) FILTER (WHERE brk) AS n_brk FROM dt GROUP BY doc_id)"""
+
+
+def _blocks_sql(starts):
+    return f"""SELECT s.doc_id AS id, s.k, any_value(d.head) || {NL} || string_agg(d.line, {NL} ORDER BY d.i) AS x
+      FROM ({starts}) s JOIN dt d ON d.doc_id = s.doc_id AND d.i >= s.start AND d.i < s.stop GROUP BY s.doc_id, s.k"""
+
+
+def _category_sql(sheets, limit):
+    """Parts (id, k, x) of ``sheets(id, t)``: by breaks, else by size, else whole."""
+    stops = lambda x: f"SELECT *, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY k), 1000000000) AS stop FROM ({x})"
+    by_size = greedy_sql(f"SELECT doc_id, i, size, {limit} - length(head) AS room FROM dt JOIN n USING (doc_id) WHERE n_data >= 10 AND n_brk < 2", "it.room")
+    return f"""WITH RECURSIVE {_sheet_sql(sheets)},
+      g AS MATERIALIZED (SELECT doc_id, b, pt, sum(size) FILTER (WHERE i < pt) AS size, any_value(length(head)) AS h FROM (
+          SELECT d.*, k.b, k.pt, k.before FROM (SELECT doc_id, i AS pt, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS b, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), 1) AS before
+            FROM dt JOIN n USING (doc_id) WHERE brk AND n_data >= 10 AND n_brk >= 2) k JOIN dt d ON d.doc_id = k.doc_id AND d.i >= k.before AND d.i <= k.pt) GROUP BY ALL),
+      f(doc_id, b, size, start, k) AS (
+        SELECT DISTINCT doc_id, 0::BIGINT, 0::HUGEINT, 1::BIGINT, 1::BIGINT FROM g
+        UNION ALL SELECT doc_id, b, CASE WHEN cuts THEN 0 ELSE total END, CASE WHEN cuts THEN pt ELSE start END, k + CASE WHEN cuts THEN 1 ELSE 0 END
+          FROM (SELECT g.doc_id, g.b, g.pt, f.start, f.k, f.size + coalesce(g.size, 0) AS total, g.h + f.size + coalesce(g.size, 0) >= {limit} AND g.pt > f.start AS cuts
+            FROM f JOIN g ON g.doc_id = f.doc_id AND g.b = f.b + 1)),
+      parts AS (
+        SELECT * FROM ({_blocks_sql(stops('SELECT DISTINCT doc_id, k, start FROM f WHERE doc_id IN (SELECT doc_id FROM f WHERE k > 1)'))})
+        UNION ALL SELECT * FROM ({_blocks_sql(stops(f'SELECT doc_id, chunk_no AS k, start FROM ({by_size})'))}))
+      SELECT id, k, x FROM parts UNION ALL SELECT id, 1, t FROM {sheets} WHERE id NOT IN (SELECT id FROM parts)"""
+
+
+def _by_size_sql(sheets, limit):
+    """Parts (id, k, x) of ``sheets(id, t)`` by size alone."""
+    items = greedy_sql(f"SELECT doc_id, i, size, {limit} - length(head) AS room FROM dt", "it.room")
+    stops = f"SELECT doc_id, chunk_no AS k, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY chunk_no), 1000000000) AS stop FROM ({items})"
+    return f"""WITH RECURSIVE {_sheet_sql(sheets)}, parts AS ({_blocks_sql(stops)})
+      SELECT id, k, x FROM parts UNION ALL SELECT id, 1, t FROM {sheets} WHERE id NOT IN (SELECT id FROM parts)"""
+
+
+#: A limit that some sheets exceed.
+SHEET_LIMIT = 2000
+Q.VIEWS["whole_sheets"] = "SELECT doc_id AS id, text AS t FROM sheet_docs"
+Q.VIEWS["merged_sheets"] = f"""WITH l AS (SELECT *, sum(starts_with({Q.strip('line')}, '## シート:')::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS sheet FROM ({Q.explode('sheet_docs')})),
        h AS (SELECT doc_id, string_agg(line, {NL} ORDER BY line_no) AS header FROM l WHERE sheet = 0 GROUP BY doc_id),
        s AS (SELECT doc_id, sheet, string_agg(line, {NL} ORDER BY line_no) AS t FROM l WHERE sheet > 0 GROUP BY doc_id, sheet),
        g AS (SELECT *, sum((sheet = 1 OR NOT (length({Q.strip('t')}) < 100 OR contains(t, '*(空のシート)*')))::INT) OVER (PARTITION BY doc_id ORDER BY sheet) AS grp FROM s),
        m AS (SELECT doc_id, grp, string_agg(t, {NL} || {NL} ORDER BY sheet) AS t FROM g GROUP BY doc_id, grp)
-       SELECT doc_id, grp AS chunk_no, length(x) AS n_chars, md5(x) AS hash FROM (SELECT doc_id, grp, CASE WHEN header IS NULL THEN t ELSE header || {NL} || {NL} || t END AS x FROM m LEFT JOIN h USING (doc_id))""")
+       SELECT doc_id, grp, doc_id * 1000000 + grp AS id, CASE WHEN header IS NULL THEN t ELSE header || {NL} || {NL} || t END AS t FROM m LEFT JOIN h USING (doc_id)"""
+Q.VIEWS["large_sheets"] = f"SELECT id, t FROM merged_sheets WHERE length(t) > {SHEET_LIMIT}"
+
+
+@query("split_sheets", "doc_id:l chunk_no:l n_chars:l hash:s",
+       f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY grp, k) AS chunk_no, length(x) AS n_chars, md5(x) AS hash FROM (
+         SELECT doc_id, grp, 1 AS k, t AS x FROM merged_sheets WHERE length(t) <= {SHEET_LIMIT}
+         UNION ALL SELECT id // 1000000, id % 1000000, k, x FROM ({_category_sql('large_sheets', SHEET_LIMIT)}))""")
 def _(spark, d):
-    return _chunk_rows(sheet_docs(spark, d), C.split_sheets(F.col("text")))
+    return _chunk_rows(sheet_docs(spark, d), C.split_sheets(F.col("text"), SHEET_LIMIT))
 
 
-@query("split_by_category", "doc_id:l chunk_no:l n_chars:l hash:s")
+@query("split_by_category", "doc_id:l chunk_no:l n_chars:l hash:s", f"SELECT id AS doc_id, k AS chunk_no, length(x) AS n_chars, md5(x) AS hash FROM ({_category_sql('whole_sheets', 20_000)})")
 def _(spark, d):
     return _chunk_rows(sheet_docs(spark, d), C.split_by_category(F.col("text"), 20_000))
 
 
-@query("split_sheet_by_size", "doc_id:l chunk_no:l n_chars:l hash:s")
+@query("split_sheet_by_size", "doc_id:l chunk_no:l n_chars:l hash:s", f"SELECT id AS doc_id, k AS chunk_no, length(x) AS n_chars, md5(x) AS hash FROM ({_by_size_sql('whole_sheets', 20_000)})")
 def _(spark, d):
     return _chunk_rows(sheet_docs(spark, d), C.split_sheet_by_size(F.col("text"), 20_000))
 
