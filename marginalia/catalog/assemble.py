@@ -7,13 +7,16 @@ from ..functions.text import content_hash, lines, normalize_title
 from ..operators import assemble as A, inventory as I
 from ..operators.numbering import running_number
 from ..operators.structure import chapters, heading_titles, sections_h12, structure_record, unfold
-from ..plans import inference as X, structure as S, updates as U
+from ..plans import execution as E, inference as X, structure as S, updates as U
 from ..views import documents, files, image_files, md_docs, md_docs_v2, table, terms, versions
 from . import sqlviews as Q
 from .classify import containers
 from .matching import plan
 from .quality import _issues
+from ..sources import named_files as N, sinks as K
 from .registry import query
+from .rewrite import greedy_sql
+from .structure import sections_sql
 
 SP = P.SPACE
 NL = "chr(10)"
@@ -109,15 +112,15 @@ def _(spark, d):
 _CELL = f"replace(replace({Q.strip('coalesce(value, chr(32))')}, {NL}, '<br>'), '|', '\\|')"
 
 
-@query("cells_to_markdown", "file:s hash:s n_chars:l", _sql_hash(
-    f"""SELECT 'book' AS file, string_agg('## シート: ' || sheet || {NL} || {NL} || coalesce(body, '*(空のシート)*'), {NL} || {NL} ORDER BY sheet) AS text FROM (
-      SELECT sheet, string_agg(CASE WHEN k = 1 THEN line || {NL} || '| --- | --- | --- | --- | --- |' ELSE line END, {NL} ORDER BY row) AS body
-      FROM (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY row) AS k FROM (SELECT sheet, row, '| ' || string_agg({_CELL}, ' | ' ORDER BY col) || ' |' AS line FROM filled_cells GROUP BY sheet, row)) GROUP BY sheet
-      UNION ALL SELECT 'zz empty', NULL)""", "file"))
+@query("cells_to_markdown", "file:s pos:s row:l line:s",
+    f"""SELECT 'book' AS file, sheet AS pos, row, CASE WHEN k = 1 THEN line || {NL} || '| --- | --- | --- | --- | --- |' ELSE line END AS line
+      FROM (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY row) AS k FROM (SELECT sheet, row, '| ' || string_agg({_CELL}, ' | ' ORDER BY col) || ' |' AS line FROM filled_cells GROUP BY sheet, row))
+    UNION ALL SELECT 'book', sheet, 0, CASE WHEN row_number() OVER (ORDER BY sheet) = 1 THEN '' ELSE {NL} END || '## シート: ' || sheet || {NL} || tail
+      FROM (SELECT DISTINCT sheet, '' AS tail FROM cells UNION ALL SELECT 'zz empty', {NL} || '*(空のシート)*')""")
 def _(spark, d):
     c = cells(spark, d)
     sheets = c.select("file", "sheet").distinct().unionByName(c.select("file").distinct().select("file", F.lit("zz empty").alias("sheet")))
-    return _hash(A.cells_to_markdown(A.fill_merged_cells(c, merged(spark, d)), sheets.withColumn("pos", F.col("sheet"))), "file")
+    return A.cells_to_markdown(A.fill_merged_cells(c, merged(spark, d)), sheets.withColumn("pos", F.col("sheet")))
 
 
 @query("image_list", "doc_id:l images:s",
@@ -154,18 +157,32 @@ def _(spark, d):
 _NO_TITLE = f"regexp_replace(text, '^# [^\\n]*\\n', '')"
 
 
-@query("concatenate_sources", "output:s hash:s n_chars:l", _sql_hash(
-    f"""SELECT output, string_agg(CASE WHEN k = 1 THEN text ELSE {NL} || {NL} || '---' || {NL} || {NL} || '## 【' || source || '】' || CASE WHEN k % 2 = 0 THEN ' - part' ELSE '' END || {NL} || {NL} || {_NO_TITLE} END, {NL} ORDER BY k) AS text
-      FROM (SELECT *, row_number() OVER (PARTITION BY output ORDER BY source) AS k FROM merge_sources) GROUP BY output""", "output"))
-def _(spark, d):
-    from pyspark.sql import Window as W
+Q.VIEWS["merge_pieces"] = f"""SELECT output, k AS place, CASE WHEN k = 1 THEN text ELSE {NL} || {NL} || '---' || {NL} || {NL} || '## 【' || source || '】' || CASE WHEN k % 2 = 0 THEN ' - part' ELSE '' END || {NL} || {NL} || {_NO_TITLE} END AS piece
+      FROM (SELECT *, row_number() OVER (PARTITION BY output ORDER BY source) AS k FROM merge_sources)"""
+
 
+def _merge_pieces(spark, d):
     from .files import _sources
 
-    k = F.row_number().over(W.partitionBy("output").orderBy("source"))
-    rows = _sources(spark, d).withColumn("pos", k).select(
+    rows = running_number(_sources(spark, d), ["source"], ["output"], "pos").select(
         "output", "pos", F.col("source").alias("file"), F.when(F.col("pos") % 2 == 0, "part").alias("chapter"), "text")
-    return _hash(A.concatenate_sources(rows), "output")
+    return A.concatenate_sources(rows)
+
+
+def _piece_hash(df):
+    return df.select("output", "place", content_hash(F.col("piece")).alias("hash"), F.length("piece").alias("n_chars"))
+
+
+@query("concatenate_sources", "output:s place:l hash:s n_chars:l", "SELECT output, place, md5(piece) AS hash, length(piece) AS n_chars FROM merge_pieces")
+def _(spark, d):
+    return _piece_hash(_merge_pieces(spark, d))
+
+
+@query("write_files", "output:s n_chars:l hash:s", f"SELECT output, length(text) AS n_chars, md5(text) AS hash FROM (SELECT output, string_agg(piece, {NL} ORDER BY place) || {NL} AS text FROM merge_pieces GROUP BY output)")
+def _(spark, d):
+    out = K.scratch_path(spark, "pieces")
+    N.write_files(_merge_pieces(spark, d), out)
+    return N.read_files(spark, out).select(F.col("path").alias("output"), F.length("text").alias("n_chars"), content_hash(F.col("text")).alias("hash"))
 
 
 def _wanted_chapters():
@@ -200,13 +217,13 @@ Q.VIEWS["plan_parts"] = f"""SELECT o.output, o.pos, o.name AS file, o.part, CASE
     FROM chapter_rows c JOIN md_docs USING (doc_id) JOIN (VALUES (1, 2), (2, 1), (3, 7)) w(seq, n) ON n = chapter_no) cs ON cs.doc_id = o.doc_id AND o.part"""
 
 
-@query("split_or_merge_outputs", "output:s hash:s n_chars:l", _sql_hash(
-    f"""SELECT output, string_agg(CASE WHEN n = 1 THEN CASE WHEN k = 1 THEN content ELSE {NL} || {NL} || '---' || {NL} || {NL} || content END
-        WHEN k = 1 THEN content ELSE {NL} || {NL} || {NL} || '---' || {NL} || {NL} || '## 【' || file || '】' || CASE WHEN title <> '' THEN ' - ' || title ELSE '' END || {NL} || {NL} || regexp_replace(content, '^# [^\\n]*\\n', '') END, '' ORDER BY k) AS text
-      FROM (SELECT *, row_number() OVER (PARTITION BY output ORDER BY pos, i) AS k, (SELECT count(DISTINCT pos) FROM plan_parts q WHERE q.output = p.output) AS n FROM plan_parts p) GROUP BY output""", "output"))
+@query("split_or_merge_outputs", "output:s place:l hash:s n_chars:l",
+    f"""SELECT output, place, md5(piece) AS hash, length(piece) AS n_chars FROM (SELECT output, k AS place, CASE WHEN n = 1 THEN CASE WHEN k = 1 THEN content ELSE {NL} || '---' || {NL} || {NL} || content END
+        WHEN k = 1 THEN content ELSE {NL} || {NL} || '---' || {NL} || {NL} || '## 【' || file || '】' || CASE WHEN title <> '' THEN ' - ' || title ELSE '' END || {NL} || {NL} || regexp_replace(content, '^# [^\\n]*\\n', '') END AS piece
+      FROM (SELECT *, row_number() OVER (PARTITION BY output ORDER BY pos, i) AS k, (SELECT count(DISTINCT pos) FROM plan_parts q WHERE q.output = p.output) AS n FROM plan_parts p))""")
 def _(spark, d):
     docs = md_docs(spark, d).select(F.col("name").alias("file"), "text")
-    return _hash(A.planned_texts(output_plan(spark, d), docs), "output")
+    return _piece_hash(A.planned_pieces(output_plan(spark, d), docs))
 
 
 def mapping(spark, d):
@@ -221,15 +238,12 @@ Q.VIEWS["output_ids"] = "SELECT output, 'm' || CASE WHEN n < 1000 THEN lpad(n::V
 
 
 @query("build_mapping", "id:s path:s category:s is_merged:b pos:l file:s hash:s n_ranges:l first_line:l is_split:b",
-       """SELECT id, output AS path, string_split(output, '/')[1] AS category, count(*) OVER (PARTITION BY output) > 1 AS is_merged, row_number() OVER (PARTITION BY output ORDER BY pos) - 1 AS pos, file, hash, n_ranges, first_line, part AS is_split
+       """SELECT id, output AS path, string_split(output, '/')[1] AS category, count(*) OVER (PARTITION BY output) > 1 AS is_merged, pos, file, hash, n_ranges, first_line, part AS is_split
        FROM (SELECT output, pos, file, any_value(md5(whole)) AS hash, count(line_start) AS n_ranges, arg_min(line_start, i) AS first_line, bool_or(part) AS part FROM plan_parts GROUP BY output, pos, file) JOIN output_ids USING (output)""")
 def _(spark, d):
-    rows = mapping(spark, d).select(
-        "id", "output.path", "output.category", "output.is_merged", F.posexplode("input").alias("pos", "s"))
-    return rows.select(
-        "id", "path", "category", "is_merged", "pos", F.col("s.file").alias("src_file"), F.col("s.hash").alias("hash"),
-        F.size("s.line_ranges").alias("n_ranges"), F.get(F.get("s.line_ranges", F.lit(0)), F.lit(0)).alias("first_line"),
-        F.col("s.is_split").alias("is_split")).withColumnRenamed("src_file", "file")
+    return mapping(spark, d).select(
+        "id", "path", "category", "is_merged", "pos", "source.file", "source.hash", F.size("source.line_ranges").alias("n_ranges"),
+        F.get(F.get("source.line_ranges", F.lit(0)), F.lit(0)).alias("first_line"), "source.is_split")
 
 
 # Front matter, images, merge rules
@@ -308,56 +322,174 @@ def _(spark, d):
 # Carrying out a plan
 
 
+def _parts_name(suffix):
+    return F.concat(F.regexp_replace("target", r"\.md$", ""), F.lit(f"_{suffix}.md"))
+
+
+def plan_actions(spark, d):
+    """The update plan as a list of actions in order of key, so that all their kinds occur.
+
+    Updates of one folder share a file in runs of 50 keys, with a strategy per
+    row; some updates are partial, some creates split in two.
+    """
+    from ..views import incoming_docs
+
+    rows = plan(spark, d).checkpoint()
+    k, action = F.col("key"), F.col("action")
+    run = [F.substring_index("target", "/", 1).alias("folder"), F.floor(k / 50).alias("run")]
+    shared = rows.filter("action = 'update'").select("target", *run).groupBy("folder", "run").agg(F.min("target").alias("shared"))
+    heads = incoming_docs(spark, d).select(F.col("doc_id").alias("key"), F.explode(F.array(heading_titles(F.col("text")))).alias("t"))
+    joined = rows.select("*", *run).join(shared, ["folder", "run"], "left").join(heads, "key")
+    partial = (action == "update") & (k % 7 == 2)
+    split = (action == "create") & (k % 5 == 1)
+    return joined.select(
+        k.alias("place"), "key", "source", F.when(partial, "partial_update").otherwise(action).alias("action"),
+        F.when(action == "update", F.col("shared")).otherwise(F.col("target")).alias("target"), "reason",
+        F.when(k % 3 == 0, "append").when(k % 3 == 1, "integrate").otherwise("replace").alias("strategy"),
+        F.when(split, F.array(_parts_name("a"), _parts_name("b"))).alias("split_into"),
+        F.when(partial, F.filter("t", lambda x, i: i % 3 == 0)).alias("update_headings"),
+        F.when(partial, F.transform(F.filter("t", lambda x, i: i % 3 == 1), lambda x: F.substring(x, 1, 6))).alias("create_headings"),
+        F.when(partial, F.concat(F.lit("90_new/"), "source", F.lit(".md"))).alias("create_target"))
+
+
 def _execution(spark, d):
-    """The update plan with a strategy per row; every target in the first category is gone."""
-    actions = plan(spark, d).select(
-        "source", "key", "action", "target", "reason",
-        F.when(F.col("key") % 3 == 0, "append").when(F.col("key") % 3 == 1, "integrate").otherwise("replace").alias("strategy"))
+    """Files and outcomes of the plan; texts in Spanish are missing, and so is every file of the first category."""
     from ..views import incoming_docs
 
-    sources = incoming_docs(spark, d).filter("lang <> 'es'").select(F.col("name").alias("source"), "text")
+    sources = incoming_docs(spark, d).filter("lang <> 'es'").select(F.col("doc_id").alias("key"), "text")
     base = md_docs(spark, d).filter("category <> '01_de'").select(F.col("kb_path").alias("target"), "text")
-    return U.execute_plan(actions, sources, base, F.lit(TS))
+    return E.execute_plan(plan_actions(spark, d), sources, base, F.lit(TS))
 
 
-Q.VIEWS["outcomes"] = """SELECT p.source, p.target, CASE WHEN action = 'skip' THEN 'skipped' WHEN s.lang = 'es' THEN 'error' WHEN action = 'create' OR b.kb_path IS NULL THEN 'created' ELSE 'updated' END AS result,
-    CASE WHEN action <> 'skip' AND s.lang = 'es' THEN 'Source content not found: ' || p.source ELSE p.reason END AS reason, s.text AS new_text, b.text AS old_text, b.doc_id AS base_id, s.doc_id AS key
-  FROM plan_result p JOIN incoming_docs s ON s.doc_id = p.key LEFT JOIN (SELECT * FROM md_docs WHERE category <> '01_de') b ON b.kb_path = p.target AND action <> 'skip'"""
+def _routed_sql(source):
+    head = Q.strip(f"regexp_extract(line, '{P.HEADING_1_4}', 2)")
+    return f"""SELECT doc_id, coalesce(string_agg(line, {NL} ORDER BY line_no) FILTER (WHERE side = 'u'), '') AS update_text, coalesce(string_agg(line, {NL} ORDER BY line_no) FILTER (WHERE side = 'c'), '') AS create_text
+       FROM (SELECT *, coalesce(last(mark IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no), 'u') AS side FROM (SELECT l.*, CASE WHEN is_head THEN
+           CASE WHEN list_contains(up, h) THEN 'u' WHEN list_contains(cr, h) THEN 'c'
+             WHEN len(list_filter(cr, lambda x: contains(x, h) OR contains(h, x))) > 0 AND len(list_filter(up, lambda x: contains(x, h) OR contains(h, x))) = 0 THEN 'c' ELSE 'u' END END AS mark
+         FROM (SELECT *, regexp_matches(line, '{P.HEADING_1_4}') AS is_head, {head} AS h FROM ({Q.explode(source)})) l
+         JOIN (SELECT doc_id, list_filter(list_transform(t, lambda x, i: CASE WHEN i % 3 = 1 THEN x END), lambda x: x IS NOT NULL) AS up,
+           list_filter(list_transform(t, lambda x, i: CASE WHEN i % 3 = 2 THEN left(x, 6) END), lambda x: x IS NOT NULL) AS cr
+           FROM (SELECT doc_id, list({head} ORDER BY line_no) AS t FROM ({Q.explode(source)}) WHERE regexp_matches(line, '{P.HEADING_1_4}') GROUP BY doc_id)) USING (doc_id))) GROUP BY doc_id"""
+
+
+def _head_sql(source, field="generated_at", index=""):
+    return f"""'---' || {NL} || 'source:' || {NL} || '  - file: "' || {source} || '"' || {index} {NL} || '{field}: "{TS}"' || {NL} || '---'"""
+
+
+Q.VIEWS["exec_actions"] = """SELECT key, source, reason, CASE WHEN action = 'update' AND key % 7 = 2 THEN 'partial_update' ELSE action END AS action,
+    CASE WHEN action = 'update' THEN min(target) OVER (PARTITION BY action, string_split(target, '/')[1], key // 50) ELSE target END AS target,
+    CASE key % 3 WHEN 0 THEN 'append' WHEN 1 THEN 'integrate' ELSE 'replace' END AS strategy, action = 'create' AND key % 5 = 1 AS is_split
+  FROM plan_result"""
+Q.VIEWS["exec_sources"] = "SELECT doc_id, name, text FROM incoming_docs WHERE lang <> 'es'"
+Q.VIEWS["exec_routed"] = _routed_sql("(SELECT s.* FROM exec_sources s JOIN exec_actions a ON a.key = s.doc_id WHERE a.action = 'partial_update')")
+Q.VIEWS["exec_halves"] = f"""SELECT doc_id, p, array_to_string(list_slice(ls, CASE WHEN p = 1 THEN 1 WHEN h IS NULL THEN z + 1 ELSE h[q + 1] END,
+      CASE WHEN p = 2 THEN n WHEN h IS NULL THEN z ELSE h[least(q, len(h) - 1) + 1] - 1 END), {NL}) AS text
+    FROM (SELECT *, greatest(1, len(h) // 2) AS q, greatest(1, n // 2) AS z, unnest([1, 2]) AS p
+      FROM (SELECT doc_id, ls, len(ls) AS n, CASE WHEN len(h2) >= 2 THEN h2 END AS h
+        FROM (SELECT doc_id, ls, list_filter(range(1, len(ls) + 1), lambda i: regexp_matches(ls[i], '^#{{1,2}}[{SP}]+')) AS h2
+          FROM (SELECT doc_id, string_split(text, {NL}) AS ls FROM exec_sources JOIN exec_actions ON key = doc_id WHERE is_split))))"""
+_STEM = "regexp_replace(target, '\\.md$', '')"
+Q.VIEWS["exec_edits"] = f"""SELECT *, row_number() OVER (PARTITION BY target ORDER BY key, part) AS step FROM (
+    SELECT key, 0 AS part, source, source AS label, target, CASE action WHEN 'create' THEN 'create' ELSE 'update' END AS op, strategy, s.text, {_head_sql('source')} AS head, reason
+      FROM exec_actions a JOIN exec_sources s ON s.doc_id = a.key WHERE action IN ('create', 'update') AND NOT is_split
+    UNION ALL SELECT key, p - 1, source, source, {_STEM} || CASE p WHEN 1 THEN '_a.md' ELSE '_b.md' END, 'create', strategy, h.text,
+        {_head_sql('source', index=f"{NL} || '  - split_index: ' || p ||")}, reason FROM exec_actions a JOIN exec_halves h ON h.doc_id = a.key
+    UNION ALL SELECT key, 0, source, source || ' (部分更新)', target, 'share', strategy, update_text, NULL, reason
+      FROM exec_actions a JOIN exec_routed r ON r.doc_id = a.key WHERE update_text <> ''
+    UNION ALL SELECT key, 1, source, source || ' (新規部分)', '90_new/' || source || '.md', 'create', strategy, '# ' || replace(source, '_', ' ') || '（新規セクション）' || {NL} || {NL} || create_text, {_head_sql('source')}, reason
+      FROM exec_actions a JOIN exec_routed r ON r.doc_id = a.key WHERE create_text <> '')"""
+_FRONT = r"'(?s)^---[^\n]*\n(?:.*?\n)??---[ \t]*(?:\n|\z)'"
+
+
+def _sections_of(text):
+    """Sections of level 1 and 2 as a list (k, t, c), inside an expression over lists."""
+    heads = f"list_filter(range(1, len(ls) + 1), lambda i: regexp_matches(ls[i], '^#{{1,2}}[{SP}]+'))"
+    return f"""(SELECT list_transform(hs, lambda p, i: {{'k': {Q.normalize_title('ls[p]')}, 't': ls[p], 'c': array_to_string(list_slice(ls, p + 1, coalesce(hs[i + 1], len(ls) + 1) - 1), {NL})}})
+      FROM (SELECT ls, {heads} AS hs FROM (SELECT string_split({text}, {NL}) AS ls)))"""
+
+
+# The fold itself, edit by edit over the whole text, which the library never makes.
+Q.VIEWS["exec_fold"] = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT *, {_sections_of('text')} AS new_sections FROM exec_edits),
+    fold(target, step, text, result, label, source, reason, edits, key) AS (
+      SELECT t.target, 0::BIGINT, b.text, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, 0::BIGINT, NULL::BIGINT FROM (SELECT DISTINCT target FROM exec_edits) t
+        LEFT JOIN (SELECT kb_path, text FROM md_docs WHERE category <> '01_de') b ON b.kb_path = t.target
+      UNION ALL
+      SELECT target, step, CASE WHEN makes THEN head || {NL} || {NL} || new_text WHEN ignored THEN NULL WHEN op = 'share' THEN merged
+          ELSE {_head_sql('source', 'updated_at')} || {NL} || CASE WHEN starts_with(merged, '---') AND regexp_matches(merged, {_FRONT})
+            THEN regexp_replace(regexp_replace(merged, {_FRONT}, ''), '^[{SP}]+', '') ELSE merged END END,
+        CASE WHEN ignored THEN NULL WHEN makes THEN 'created' ELSE 'updated' END, label, source, reason, edits + CASE WHEN ignored THEN 0 ELSE 1 END, key
+      FROM (SELECT *, CASE strategy WHEN 'append' THEN old_text || {NL} || {NL} || '---' || {NL} || {NL} || '## 追加コンテンツ' || {NL} || {NL} || new_text
+            WHEN 'integrate' THEN array_to_string(list_transform(list_concat(
+                list_transform(old_sections, lambda o: CASE WHEN list_contains(list_transform(new_sections, lambda n: n.k), o.k) THEN list_filter(new_sections, lambda n: n.k = o.k)[-1] ELSE o END),
+                list_filter(new_sections, lambda n: NOT list_contains(list_transform(old_sections, lambda o: o.k), n.k))), lambda s: s.t || {NL} || s.c || {NL}), {NL})
+            ELSE new_text END AS merged
+        FROM (SELECT e.target, e.step, e.op, e.strategy, e.label, e.source, e.reason, e.head, e.key, e.text AS new_text, e.new_sections, f.text AS old_text, f.edits,
+            e.op = 'create' OR (e.op = 'update' AND f.text IS NULL) AS makes, e.op = 'share' AND f.text IS NULL AS ignored,
+            list_transform(f.hs, lambda p, i: {{'k': {Q.normalize_title('f.ls[p]')}, 't': f.ls[p], 'c': array_to_string(list_slice(f.ls, p + 1, coalesce(f.hs[i + 1], len(f.ls) + 1) - 1), {NL})}}) AS old_sections
+          FROM (SELECT *, list_filter(range(1, len(ls) + 1), lambda i: regexp_matches(ls[i], '^#{{1,2}}[{SP}]+')) AS hs FROM (SELECT *, string_split(coalesce(text, ''), {NL}) AS ls FROM fold)) f
+          JOIN e ON e.target = f.target AND e.step = f.step + 1)))
+    SELECT * FROM fold"""
+Q.VIEWS["exec_files"] = """SELECT target, arg_max(text, step) AS text, max(edits) AS n_edits, arg_max(result, step) FILTER (result IS NOT NULL) AS result,
+    arg_max(source, step) FILTER (result IS NOT NULL) AS source, arg_max(reason, step) FILTER (result IS NOT NULL) AS reason
+  FROM exec_fold GROUP BY target HAVING max(edits) > 0"""
+Q.VIEWS["exec_outcomes"] = """SELECT key, label AS source, target, row_number() OVER (PARTITION BY target ORDER BY step) AS step, result, reason FROM exec_fold WHERE result IS NOT NULL
+  UNION ALL SELECT key, source, target, NULL, CASE WHEN action = 'skip' THEN 'skipped' WHEN doc_id IS NULL THEN 'error' ELSE 'ignored' END,
+    CASE WHEN action <> 'skip' AND doc_id IS NULL THEN 'Source content not found: ' || source ELSE reason END
+  FROM exec_actions LEFT JOIN exec_sources ON doc_id = key WHERE key NOT IN (SELECT key FROM exec_fold WHERE result IS NOT NULL)"""
+
+
+@query("execute_plan", "target:s result:s source:s reason:s n_edits:l n_chars:l hash:s",
+       "SELECT target, result, source, reason, n_edits, length(text) AS n_chars, md5(text) AS hash FROM exec_files")
+def _(spark, d):
+    files, _ = _execution(spark, d)
+    return files.select("target", "result", "source", "reason", "n_edits", F.length("text").alias("n_chars"), content_hash(F.col("text")).alias("hash"))
 
 
-@query("execute_plan", "source:s target:s result:s reason:s n_chars:l", f"""SELECT source, target, result, reason, CASE result
-      WHEN 'created' THEN length(new_text) + length('---' || {NL} || 'source:' || {NL} || '  - file: "' || source || '"' || {NL} || 'generated_at: "{TS}"' || {NL} || '---') + 2
-      WHEN 'updated' THEN length('---' || {NL} || 'source:' || {NL} || '  - file: "' || source || '"' || {NL} || 'updated_at: "{TS}"' || {NL} || '---' || {NL})
-        + CASE key % 3 WHEN 0 THEN length(old_text) + length(new_text) + 19 WHEN 2 THEN length(new_text) ELSE NULL END END AS n_chars FROM outcomes""")
+@query("execution_outcomes", "key:l source:s target:s step:l result:s reason:s", "SELECT * FROM exec_outcomes")
 def _(spark, d):
-    rows = _execution(spark, d)
-    # Integrated texts are compared by the query of that rule.
-    integrated = (F.col("result") == "updated") & F.col("text").isNotNull() & F.col("is_integrated")
-    named = rows.join(incoming_keys(spark, d), "source")
-    return named.withColumn("is_integrated", F.col("key") % 3 == 1).select(
-        "source", "target", "result", "reason", F.when(~integrated, F.length("text")).alias("n_chars"))
+    return _execution(spark, d)[1]
 
 
-def incoming_keys(spark, d):
-    from ..views import incoming_docs
-
-    return incoming_docs(spark, d).select(F.col("name").alias("source"), F.col("doc_id").alias("key"))
+#: A limit that some of the texts exceed.
+WRITTEN = 2000
+Q.VIEWS["exec_long"] = f"SELECT row_number() OVER (ORDER BY target) AS doc_id, target, source, text FROM exec_files WHERE result = 'updated' AND length(text) > {WRITTEN}"
+Q.VIEWS["exec_blocks"] = f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY sec) AS i, length(content) + length(heading) + 10 AS size,
+    CASE WHEN heading = '{P.OPENING}' THEN content ELSE '## ' || heading || {NL} || {NL} || content END AS block FROM ({sections_sql('exec_long')}) WHERE n_lines > 0"""
+Q.VIEWS["exec_parts"] = f"""SELECT doc_id, chunk_no, (SELECT string_agg(block, {NL} || {NL} ORDER BY i) FROM exec_blocks b WHERE b.doc_id = c.doc_id AND b.i >= c.start AND b.i < c.start + c.n_items) AS text
+  FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM ({greedy_sql('SELECT doc_id, i, size FROM exec_blocks', str(WRITTEN))})) c WHERE n > 1"""
 
 
-@query("update_ledger", "target:s inputs:s created_at:s updated_at:s",
-       f"""WITH l AS (SELECT target, list(source ORDER BY source) AS inputs FROM ledger WHERE target <> '' GROUP BY target),
-         c AS (SELECT target, max(source) FILTER (WHERE result = 'created') AS c, list(source ORDER BY source) FILTER (WHERE result = 'updated') AS u FROM outcomes WHERE result IN ('created', 'updated') GROUP BY target)
-       SELECT coalesce(l.target, c.target) AS target, array_to_string(list_concat(start, list_filter(coalesce(u, []), lambda x: NOT list_contains(start, x))), ',') AS inputs,
-         CASE WHEN c IS NOT NULL OR l.inputs IS NULL THEN '{TS}' ELSE 'before' END AS created_at, CASE WHEN u IS NOT NULL AND (c IS NOT NULL OR l.inputs IS NOT NULL) THEN '{TS}' END AS updated_at
-       FROM (SELECT l.target, l.inputs, c.target AS t2, c.c, c.u, CASE WHEN c.c IS NOT NULL THEN [c.c] ELSE coalesce(l.inputs, []) END AS start FROM l FULL JOIN c ON l.target = c.target) x
-         , LATERAL (SELECT x.target AS target, x.inputs AS inputs) l, LATERAL (SELECT x.t2 AS target) c""")
+@query("written_files", "target:s result:s n_chars:l hash:s", f"""SELECT target, result, length(text) AS n_chars, md5(text) AS hash FROM (
+      SELECT target, result, text FROM exec_files WHERE target NOT IN (SELECT target FROM exec_long JOIN exec_parts USING (doc_id))
+      UNION ALL SELECT CASE chunk_no WHEN 1 THEN target ELSE {_STEM} || '_part' || chunk_no || '.md' END, 'updated',
+        CASE chunk_no WHEN 1 THEN {_head_sql('source', 'updated_at')} || {NL} || CASE WHEN starts_with(p.text, '---') AND regexp_matches(p.text, {_FRONT})
+            THEN regexp_replace(regexp_replace(p.text, {_FRONT}, ''), '^[{SP}]+', '') ELSE p.text END
+          ELSE {_head_sql("source || ' (Part ' || chunk_no || ')'")} || {NL} || {NL} || p.text END
+      FROM exec_parts p JOIN exec_long USING (doc_id))""")
+def _(spark, d):
+    files, _ = _execution(spark, d)
+    return E.written_files(files, F.lit(TS), WRITTEN).select("target", "result", F.length("text").alias("n_chars"), content_hash(F.col("text")).alias("hash"))
+
+
+@query("update_ledger", "target:s pos:l source:s created_at:s updated_at:s",
+       f"""WITH l AS (SELECT DISTINCT target, source FROM ledger WHERE target <> ''),
+         m AS (SELECT target, max(step) FILTER (result = 'created') AS made, count(*) FILTER (result = 'updated') AS n_updates FROM exec_outcomes WHERE result IN ('created', 'updated') GROUP BY target),
+         s AS (SELECT coalesce(m.target, k.target) AS target, made, coalesce(n_updates, 0) AS n_updates, k.target IS NOT NULL AS known FROM m FULL JOIN (SELECT DISTINCT target FROM l) k ON k.target = m.target),
+         r AS (SELECT target, source, 0 AS g, source AS o, 0 AS step FROM l WHERE target NOT IN (SELECT target FROM s WHERE made IS NOT NULL)
+           UNION ALL SELECT o.target, o.source, 1, '', 0 FROM exec_outcomes o JOIN s ON s.target = o.target AND s.made = o.step
+           UNION ALL SELECT target, source, 2, '', step FROM exec_outcomes WHERE result = 'updated'),
+         f AS (SELECT target, source, min((g, o, step)) AS ord FROM r GROUP BY ALL)
+       SELECT f.target, row_number() OVER (PARTITION BY f.target ORDER BY ord) AS pos, source, CASE WHEN made IS NOT NULL OR NOT known THEN '{TS}' ELSE 'before' END AS created_at,
+         CASE WHEN n_updates >= CASE WHEN made IS NOT NULL OR known THEN 1 ELSE 2 END THEN '{TS}' END AS updated_at
+       FROM f JOIN s ON s.target = f.target""")
 def _(spark, d):
+    from ..operators.numbering import running_number
     from .files import ledger
 
-    old = ledger(spark, d).filter("target <> ''").groupBy("target").agg(F.array_sort(F.collect_set("source")).alias("inputs")).select(
-        "target", "inputs", F.lit("before").alias("created_at"), F.lit(None).cast("string").alias("updated_at"))
-    new = U.update_ledger(old, _execution(spark, d), F.lit(TS))
-    return new.withColumn("inputs", F.array_join("inputs", ","))
+    old = running_number(ledger(spark, d).filter("target <> ''").select("target", "source").distinct(), ["source"], ["target"], "pos")
+    kept = old.select("target", "pos", "source", F.lit("before").alias("created_at"), F.lit(None).cast("string").alias("updated_at"))
+    return E.ledger_entries_after(kept, _execution(spark, d)[1], F.lit(TS))
 
 
 # Structure plans
@@ -437,9 +569,9 @@ def _(spark, d):
 
 @query("update_report", "section:l source:s line:s",
        """SELECT CASE result WHEN 'created' THEN 1 WHEN 'updated' THEN 2 WHEN 'skipped' THEN 3 ELSE 4 END AS section, source, CASE result WHEN 'created' THEN '| `' || target || '` | ' || source || ' | ' || reason || ' |'
-         WHEN 'updated' THEN '### ' || source || ' → ' || target WHEN 'skipped' THEN '| ' || source || ' | ' || reason || ' |' ELSE '| ' || source || ' | error | ' || reason || ' |' END AS line FROM outcomes""")
+         WHEN 'updated' THEN '### ' || source || ' → ' || target WHEN 'skipped' THEN '| ' || source || ' | ' || reason || ' |' ELSE '| ' || source || ' | ' || result || ' | ' || reason || ' |' END AS line FROM exec_outcomes""")
 def _(spark, d):
-    return A.update_report_rows(_execution(spark, d))
+    return A.update_report_rows(_execution(spark, d)[1])
 
 
 # User functions

@@ -7,7 +7,7 @@ from ..functions import patterns as P
 from ..functions.text import content_hash
 from ..operators import inventory as I, manifest as M, numbering as N
 from ..operators.structure import chapters, structure_record, unfold
-from ..sources import readers as R, sinks as K
+from ..sources import named_files as NF, readers as R, sinks as K
 from ..views import (
     converter_results, documents, files, md_docs, md_docs_v2, page_features, page_manifest, table, terms,
 )
@@ -19,9 +19,22 @@ SCANNED = (".pdf", ".xlsx", ".xls", ".xlsm", ".docx", ".doc", ".pptx", ".ppt", "
 PREFIX = "store"
 
 
+def _listing(spark, d):
+    """The pages as files on the disk, and what a listing of them says."""
+    out = K.scratch_path(spark, "files")
+    pages = files(spark, d).join(table(spark, d, "pages").select("page_id", "html"), "page_id")
+    NF.export_documents(pages.select("path", F.col("html").alias("text")), out)
+    return NF.relative_paths(R.list_files(spark, out), out)
+
+
+@query("list_files", "path:s size_bytes:l is_dated:b", "SELECT path, size_bytes, true AS is_dated FROM files")
+def _(spark, d):
+    return _listing(spark, d).withColumn("is_dated", F.col("modified") > F.lit("2024-01-01").cast("timestamp"))
+
+
 @query("scan_files", "path:s", f"SELECT DISTINCT path FROM files WHERE ext IN {_in(SCANNED)} AND NOT contains(path, '/~$')")
 def _(spark, d):
-    return R.scan_files(files(spark, d), SCANNED)
+    return R.scan_files(_listing(spark, d), SCANNED)
 
 
 @query(
@@ -35,7 +48,14 @@ def _(spark, d):
 
 @query("scan_text_corpus", "doc_id:l n_chars:l hash:s", "SELECT doc_id, length(text) AS n_chars, md5(text) AS hash FROM documents")
 def _(spark, d):
-    return documents(spark, d).select("doc_id", F.length("text").alias("n_chars"), content_hash(F.col("text")).alias("hash"))
+    out = K.scratch_path(spark, "corpus")
+    name = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
+    rows = documents(spark, d).select(name.alias("name"), "text")
+    # Each text beside a file that is none.
+    NF.export_documents(rows.select(F.explode(F.array(*[F.struct(
+        F.concat("name", F.lit(ext)).alias("path"), F.col("text")) for ext in (".txt", ".md")])).alias("f")).select("f.*"), out)
+    return R.scan_text_corpus(spark, out).select(
+        F.regexp_extract("path", r"([0-9]+)\.txt$", 1).alias("doc_id"), F.length("text").alias("n_chars"), content_hash(F.col("text")).alias("hash"))
 
 
 @query(
@@ -162,7 +182,7 @@ def _(spark, d):
         F.col("original_path").cast("bigint").alias("doc_id"), "metadata.total_lines", F.size("content.sections").alias("n_sections"))
 
 
-Q.VIEWS["inventory_rows"] = f"""SELECT path AS relative_path, '{PREFIX}/' || path AS prefixed_path, size_bytes, ext, category, has_text AS raw_text,
+Q.VIEWS["inventory_rows"] = f"""SELECT path AS relative_path, '{PREFIX}/' || path AS prefixed_path, size_bytes, strftime(modified, '%Y-%m-%dT%H:%M:%S') AS mtime_iso, ext, category, has_text AS raw_text,
     has_json AS raw_json, CASE WHEN category = 'requires_ocr' THEN CASE WHEN has_json THEN 'done' WHEN in_excluded_list THEN 'excluded' ELSE 'pending' END ELSE '' END AS ocr_status
     FROM file_categories"""
 
@@ -177,25 +197,29 @@ def inventory_rows(spark, d):
 
 
 @query(
-    "inventory", "relative_path:s prefixed_path:s size_bytes:l ext:s category:s raw_text:b raw_json:b ocr_status:s",
+    "inventory", "relative_path:s prefixed_path:s size_bytes:l mtime_iso:s ext:s category:s raw_text:b raw_json:b ocr_status:s",
     "SELECT * FROM inventory_rows",
 )
 def _(spark, d):
     return inventory_rows(spark, d)
 
 
-@query("write_inventory_csv", "relative_path:s size_bytes:l category:s raw_text:b", "SELECT * FROM inventory_rows")
+@query("write_inventory_csv", "relative_path:s size_bytes:l mtime_iso:s category:s raw_text:b", "SELECT * FROM inventory_rows")
 def _(spark, d):
     out = K.scratch_path(spark, "inventory")
-    K.write_inventory_csv(inventory_rows(spark, d).withColumn("mtime_iso", F.lit("2024-01-01T00:00:00")), out)
+    K.write_inventory_csv(inventory_rows(spark, d), out)
     return spark.read.csv(out, header=True)
 
 
-@query("write_documents", "category:s path:s n_chars:l", "SELECT category, kb_path AS path, length(text) AS n_chars FROM md_docs")
+@query("write_documents", "category:s path:s n_chars:l hash:s", "SELECT category, kb_path AS path, length(text) AS n_chars, md5(text) AS hash FROM md_docs")
 def _(spark, d):
-    out = K.scratch_path(spark, "base")
-    K.write_documents(md_docs(spark, d).select("category", F.col("kb_path").alias("path"), "text"), out)
-    return spark.read.parquet(out).select("category", "path", F.length("text").alias("n_chars"))
+    # The record by category, and the files under their names.
+    record, out = K.scratch_path(spark, "base"), K.scratch_path(spark, "files")
+    K.write_documents(md_docs(spark, d).select("category", F.col("kb_path").alias("path"), "text"), record)
+    written = spark.read.parquet(record)
+    NF.export_documents(written, out)
+    return NF.read_files(spark, out).join(written.select("category", "path"), "path").select(
+        "category", "path", F.length("text").alias("n_chars"), content_hash(F.col("text")).alias("hash"))
 
 
 @query("write_run_ledger", "run_id:s status:s n:l",

@@ -6,12 +6,15 @@ which is the size of the text itself; larger things (reports, listings) stay row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import patterns as P
 from ..functions.text import (
     blank, content_hash, join_range, let, lines, pad, positions, sanitize_cell, strip,
 )
+from .numbering import running_number
 from .rewrite import toc_and_body
 from .structure import chapters, fold_rows
 
@@ -107,28 +110,32 @@ def fill_merged_cells(cells: DataFrame, merged: DataFrame, max_rows: int | None
 
 
 def cells_to_markdown(cells: DataFrame, sheets: DataFrame) -> DataFrame:
-    """One Markdown text per file; ``cells`` are filled and within the row limit,
-    ``sheets(file, sheet, pos)`` gives the order and the sheets without cells."""
+    """Lines ``(file, pos, row, line)`` of the Markdown text of each file, which they make joined by line ends.
+
+    ``cells`` are filled and within the row limit, ``sheets(file, sheet, pos)``
+    gives the order and the sheets without cells.  A row of a sheet is one line
+    (the first with the separator behind it), row 0 the heading; a file or a
+    sheet is never put together in one place.
+    """
     clean = cells.select("file", "sheet", "row", "col", sanitize_cell(F.col("value")).alias("v"))
     rows = clean.groupBy("file", "sheet", "row").agg(
-        F.array_sort(F.collect_list(F.struct("col", "v"))).alias("cs"), F.max("col").alias("width"),
+        F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("cs"), F.max("col").alias("width"),
         F.max(F.when(F.col("v") != "", 1).otherwise(0)).alias("filled")).filter("filled = 1")
-    by_sheet = rows.groupBy("file", "sheet").agg(
-        F.array_sort(F.collect_list(F.struct("row", "cs"))).alias("rs"), F.max("width").alias("width"))
+    about = rows.groupBy("file", "sheet").agg(F.max("width").alias("columns"), F.min("row").alias("first"))
+    known = sheets.join(about, ["file", "sheet"], "left")
+    front = sheets.groupBy("file").agg(F.min("pos").alias("front"))
+    heads = known.join(front, "file").select("file", "pos", F.lit(0).alias("row"), F.concat(
+        F.when(F.col("pos") == F.col("front"), "").otherwise(F.lit("\n")), F.lit("## シート: "), "sheet", F.lit("\n"),
+        F.when(F.col("columns").isNull(), F.lit("\n" + EMPTY_SHEET)).otherwise("")).alias("line"))
 
-    def row_text(cs: Column) -> Column:
-        found = F.map_from_entries(cs)
-        cells_of = let(found, lambda m: F.transform(
-            F.sequence(F.lit(1), F.col("width")), lambda c: F.coalesce(F.try_element_at(m, c), F.lit(""))))
-        return F.concat(F.lit("| "), F.array_join(cells_of, " | "), F.lit(" |"))
+    def cut(texts: Column) -> Column:
+        return F.concat(F.lit("| "), F.array_join(texts, " | "), F.lit(" |"))
 
-    separator = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.col("width")), " | "), F.lit(" |"))
-    table = let(F.transform("rs", lambda r: row_text(r["cs"])), lambda t: F.array_join(
-        F.concat(F.slice(t, 1, 1), F.array(separator), F.slice(t, F.lit(2), F.size(t))), "\n"))
-    tables = by_sheet.select("file", "sheet", table.alias("body"))
-    named = sheets.join(tables, ["file", "sheet"], "left").select("file", "pos", F.concat(
-        F.lit("## シート: "), "sheet", F.lit("\n\n"), F.coalesce("body", F.lit(EMPTY_SHEET))).alias("text"))
-    return named.groupBy("file").agg(fold_rows(F.struct("pos", "text"), "\n\n").alias("text"))
+    body = rows.select("file", "sheet", "row", "cs").join(known.filter("columns IS NOT NULL"), ["file", "sheet"])
+    found = F.transform(F.sequence(F.lit(1), F.col("columns")), lambda c: F.coalesce(F.try_element_at("cs", c), F.lit("")))
+    separator = F.concat(F.lit("\n"), cut(F.array_repeat(F.lit("---"), F.col("columns"))))
+    return heads.unionByName(body.select("file", "pos", "row", F.concat(
+        cut(found), F.when(F.col("row") == F.col("first"), separator).otherwise("")).alias("line")))
 
 
 def merge_chunks(chunks: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -153,15 +160,19 @@ def drop_first_title(text: Column) -> Column:
     return let(lines(text), build)
 
 
-def concatenate_sources(sources: DataFrame) -> DataFrame:
-    """One text per output of ``sources(output, pos, file, chapter, text)``."""
-    w = W.partitionBy("output").orderBy("pos")
+def concatenate_sources(sources: DataFrame, order: Sequence[str] = ("pos",)) -> DataFrame:
+    """Pieces ``(output, place, piece)`` of each output of ``sources(output, file, chapter, text)`` and the columns of ``order``.
+
+    A file is its pieces joined by line ends.  The places are running numbers
+    from range partitions, so an output with a third of all texts is dealt over
+    many tasks and put together in none; ``write_pieces`` streams it.
+    """
     mark = F.concat(
         F.lit(RULE + "## 【"), "file", F.lit("】"),
         F.coalesce(F.concat(F.lit(" - "), F.nullif("chapter", F.lit(""))), F.lit("")), F.lit("\n\n"))
-    ranked = sources.withColumn("place", F.row_number().over(w))
+    placed = running_number(sources.select("output", *order, "file", "chapter", "text"), order, ["output"], "place")
     piece = F.when(F.col("place") == 1, F.col("text")).otherwise(F.concat(mark, drop_first_title(F.col("text"))))
-    return ranked.groupBy("output").agg(fold_rows(F.struct("place", piece.alias("text"))).alias("text"))
+    return placed.select("output", "place", piece.alias("piece"))
 
 
 def extract_chapters(text: Column, numbers: Column) -> Column:
@@ -177,8 +188,8 @@ def extract_chapters(text: Column, numbers: Column) -> Column:
     return let(lines(text), build)
 
 
-def planned_texts(plan: DataFrame, docs: DataFrame) -> DataFrame:
-    """Text of each planned file: a whole document, chapters joined by a rule, or merged sources.
+def planned_pieces(plan: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pieces ``(output, place, piece)`` of each planned file: a whole document, chapters with a rule before all but the first, or merged sources.
 
     ``plan(output, pos, file, chapter_nos)``, ``docs(file, text)``.  Sources of
     one output that give more than one text are concatenated under headings.
@@ -191,12 +202,12 @@ def planned_texts(plan: DataFrame, docs: DataFrame) -> DataFrame:
         F.when(F.col("chapter_nos").isNull() | (F.size("chapter_nos") == 0), whole)
         .otherwise(let(some, lambda s: F.when(F.size(s) == 0, whole).otherwise(s))))).alias("parts"))
     counts = plan.groupBy("output").agg(F.count("*").alias("n_sources"))
-    sized = got.join(counts, "output")
-    single = sized.filter("n_sources = 1").select("output", F.array_join(
-        F.transform("parts", lambda p: p["content"]), RULE).alias("text"))
-    many = sized.filter("n_sources > 1").select("output", "pos", "file", F.posexplode("parts").alias("i", "p")).select(
-        "output", F.struct("pos", "i").alias("pos"), "file", F.col("p.title").alias("chapter"), F.col("p.content").alias("text"))
-    return single.unionByName(concatenate_sources(many))
+    parts = got.join(counts, "output").select("output", "pos", "file", "n_sources", F.posexplode("parts").alias("i", "p"))
+    ruled = F.concat(F.when(F.col("i") > 0, F.lit(RULE[1:])).otherwise(""), "p.content")
+    single = parts.filter("n_sources = 1").select("output", (F.col("i") + 1).cast("bigint").alias("place"), ruled.alias("piece"))
+    many = parts.filter("n_sources > 1").select(
+        "output", "pos", "i", "file", F.col("p.title").alias("chapter"), F.col("p.content").alias("text"))
+    return single.unionByName(concatenate_sources(many, ["pos", "i"]))
 
 
 def source_front_matter(sources: Column, mapping_id: Column, run_ts: Column) -> Column:
@@ -232,30 +243,22 @@ def rewrite_image_paths(text: Column, images: Column) -> Column:
     return F.when(text.rlike(pattern), let(F.split(text, pattern, -1), build)).otherwise(text)
 
 
-def image_copies(images: Column) -> Column:
-    return F.transform(images, lambda i: F.struct(i["name"].alias("name"), F.concat(i["prefix"], F.lit("_"), i["name"]).alias("new_name")))
-
-
 def build_mapping(plan: DataFrame, docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Mapping rows: one per output with its nested sources.
+    """Mapping rows, one per source of an output: ``(id, path, category, file_name, is_merged, pos, source)``.
 
     ``plan(output, pos, file, chapter_nos)``, ``docs(file, text)``, ``ids(output, id)``.
+    ``source`` is a struct (file, hash, chapters, line_ranges, is_split).  The
+    sources of an output stay rows, however many they are.
     """
     got = plan.join(docs, "file").select(
         "output", "pos", "file", content_hash(F.col("text")).alias("hash"), F.col("chapter_nos").isNotNull().alias("is_split"),
         F.explode(F.array(extract_chapters(F.col("text"), F.coalesce("chapter_nos", F.array().cast("array<bigint>"))))).alias("cs"))
-    sources = got.groupBy("output").agg(F.transform(F.array_sort(F.collect_list(F.struct(
-        "pos", F.struct(
+    counts = plan.groupBy("output").agg((F.count("*") > 1).alias("is_merged"))
+    return got.join(counts, "output").join(ids, "output").select(
+        "id", F.col("output").alias("path"), F.substring_index("output", "/", 1).alias("category"),
+        F.substring_index("output", "/", -1).alias("file_name"), "is_merged", "pos", F.struct(
             "file", "hash", F.transform("cs", lambda c: c["title"]).alias("chapters"),
-            F.transform("cs", lambda c: F.array(c["line_start"], c["line_end"])).alias("line_ranges"), "is_split").alias("source")))),
-        lambda r: r["source"]).alias("input"))
-    return sources.join(ids, "output").select("id", "input", F.struct(
-        F.substring_index("output", "/", 1).alias("category"), F.substring_index("output", "/", -1).alias("file"),
-        F.col("output").alias("path"), (F.size("input") > 1).alias("is_merged")).alias("output"))
-
-
-def mapping_categories(mapping: DataFrame) -> DataFrame:
-    return mapping.select(F.col("output.category").alias("id")).distinct()
+            F.transform("cs", lambda c: F.array(c["line_start"], c["line_end"])).alias("line_ranges"), "is_split").alias("source"))
 
 
 def image_list(docs: DataFrame, images: DataFrame) -> DataFrame:
@@ -278,11 +281,13 @@ def _cells(*parts: Column) -> Column:
     return row
 
 
-def readme_rows(mapping: DataFrame) -> DataFrame:
-    """Input file, chapters and target of the mapping table, cut for display."""
-    rows = mapping.select("id", F.col("output.path").alias("path"), F.posexplode("input").alias("pos", "s"))
-    titles = F.when(F.size("s.chapters") > 0, F.substring(F.array_join("s.chapters", ", "), 1, 30)).otherwise("-")
-    return rows.select("id", "pos", _cells(F.substring("s.file", 1, 40), titles, F.col("path")).alias("line"))
+def readme_rows(mapping: DataFrame, file_width: int = 40, title_width: int = 30) -> DataFrame:
+    """Input file, chapters and target of the mapping table: ``line`` cut to the widths for display, ``file`` and ``chapters`` whole."""
+    titles = F.array_join("source.chapters", ", ")
+    shown = F.when(F.size("source.chapters") > 0, F.substring(titles, 1, title_width)).otherwise("-")
+    return mapping.select(
+        "id", "pos", _cells(F.substring("source.file", 1, file_width), shown, F.col("path")).alias("line"),
+        F.col("source.file").alias("file"), titles.alias("chapters"))
 
 
 def glossary_rows(glossary: DataFrame) -> DataFrame:

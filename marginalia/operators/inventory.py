@@ -20,7 +20,7 @@ def retry_failed(listing: DataFrame, failed: DataFrame) -> DataFrame:
 def inventory(
     files: DataFrame, texts: DataFrame, originals: DataFrame, ocr: DataFrame, excluded: DataFrame, prefix: str
 ) -> DataFrame:
-    """Each file with its category, flags and OCR status.
+    """Each file with its category, flags, OCR status and time of change: ``files(path, stem_path, ext, size_bytes, modified, has_password)``.
 
     All four side tables are lists of paths that grow with the files, so none
     is forced to broadcast; AQE does it where the measured size allows.
@@ -41,7 +41,8 @@ def inventory(
     category = categorize_file(
         F.substring_index("path", "/", -1), F.col("ext"), F.col("has_password"), F.col("o").isNotNull(), raw_text)
     return joined.select(
-        F.col("path").alias("relative_path"), "prefixed_path", "size_bytes", "ext", category.alias("category"),
+        F.col("path").alias("relative_path"), "prefixed_path", "size_bytes",
+        F.date_format("modified", "yyyy-MM-dd'T'HH:mm:ss").alias("mtime_iso"), "ext", category.alias("category"),
         raw_text.alias("raw_text"), raw_json.alias("raw_json"), F.col("x").isNotNull().alias("is_excluded"),
     ).withColumn("ocr_status", F.when(F.col("category") == "requires_ocr", F.when(F.col("raw_json"), "done")
                  .when(F.col("is_excluded"), "excluded").otherwise("pending")).otherwise("")).drop("is_excluded")
@@ -62,11 +63,6 @@ def category_stats(base: DataFrame) -> DataFrame:
         F.count("*").alias("n_files"), F.sum(F.length("text")).alias("n_chars"))
 
 
-def category_files(base: DataFrame) -> DataFrame:
-    """The file list of a category as rows: a list in one cell would grow with the base."""
-    return base.select("category", "path")
-
-
 def glossary(terms: DataFrame, *order: str) -> DataFrame:
     """One row per term: the longest description (first on ties), review flag only if none clears it.
 

@@ -62,14 +62,6 @@ def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True)
 
 
-def read_json_texts(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """Whole JSON files as text; one object may span lines."""
-    return (
-        spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("json"))
-    )
-
-
 def ocr_manifest_paths(texts: DataFrame) -> DataFrame:
     """Distinct paths of ``{files: [{path} or str]}`` or of a bare list; unreadable text gives none."""
     items = F.coalesce(

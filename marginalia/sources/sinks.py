@@ -43,19 +43,9 @@ def write_inventory_csv(rows: DataFrame, path: str) -> None:
 
 
 def write_documents(docs: DataFrame, path: str) -> None:
-    """Documents as Parquet by category.  The texts are spread first, so that a
-    category with a third of all documents is written by many tasks."""
-    docs.repartition("category", "path").write.mode("overwrite").partitionBy("category").parquet(path)
-
-
-def export_markdown(docs: DataFrame, folder: str) -> DataFrame:
-    """Write each ``(path, text)`` as a file below ``folder`` with Spark's own text writer.
-
-    One folder per document; every task streams the rows it holds.
-    """
-    (docs.select(F.col("path").alias("file"), F.col("text").alias("value"))
-         .write.mode("overwrite").partitionBy("file").text(folder))
-    return docs.select("path")
+    """Documents as Parquet by category.  A task writes a range of paths, so a large
+    category is written by many tasks, and a task writes few files."""
+    docs.repartitionByRange("category", "path").write.mode("overwrite").partitionBy("category").parquet(path)
 
 
 def append_ledger(outcomes: DataFrame, path: str, run_id: Column) -> None:
