@@ -284,12 +284,12 @@ def _wanted(spark, d):
     k, n = F.col("doc_id"), F.col("name")
     return md_docs(spark, d).select(k.alias("key"), (
         F.when(k % 5 == 0, n).when(k % 5 == 1, F.concat(n, F.lit("（12章）")))
-        .when(k % 5 == 2, F.substring(n, 1, 5)).when(k % 5 == 3, F.concat(F.lit("★【240101_"), n, F.lit("】")))
+        .when(k % 5 == 2, F.substring(n, 1, 5)).when(k % 10 == 3, F.concat(F.substring(n, 1, 3), F.lit("【】"), F.substr(n, F.lit(4)))).when(k % 5 == 3, F.concat(F.lit("★【240101_"), n, F.lit("】")))
         .otherwise(F.concat(F.lit("zz"), k.cast("string")))).alias("name"))
 
 
 Q.VIEWS["wanted_names"] = """SELECT doc_id AS key, CASE doc_id % 5 WHEN 0 THEN name WHEN 1 THEN name || '（12章）' WHEN 2 THEN left(name, 5)
-    WHEN 3 THEN '★【240101_' || name || '】' ELSE 'zz' || doc_id END AS name FROM md_docs"""
+    WHEN 3 THEN CASE WHEN doc_id % 10 = 3 THEN left(name, 3) || '【】' || substr(name, 4) ELSE '★【240101_' || name || '】' END ELSE 'zz' || doc_id END AS name FROM md_docs"""
 
 
 @query("resolve_file_name", "key:l file:s rule:l",
@@ -297,8 +297,12 @@ Q.VIEWS["wanted_names"] = """SELECT doc_id AS key, CASE doc_id % 5 WHEN 0 THEN n
        e AS (SELECT key, name AS file, 1 AS rule FROM c WHERE name IN (SELECT name FROM md_docs)),
        x AS (SELECT key, cleaned AS file, 2 AS rule FROM c WHERE cleaned IN (SELECT name FROM md_docs) AND key NOT IN (SELECT key FROM e)),
        t AS (SELECT c.key, min(m.name) AS file, 3 AS rule FROM c JOIN md_docs m ON contains(c.cleaned, m.name) OR contains(m.name, c.cleaned) OR contains(c.name, m.name) OR contains(m.name, c.name)
-         WHERE c.key NOT IN (SELECT key FROM e UNION SELECT key FROM x) GROUP BY c.key)
-       SELECT * FROM e UNION ALL SELECT * FROM x UNION ALL SELECT * FROM t""")
+         WHERE c.key NOT IN (SELECT key FROM e UNION SELECT key FROM x) GROUP BY c.key),
+       s AS (SELECT name, CORE AS core FROM md_docs),
+       f AS (SELECT c.key, min(s.name) AS file, 4 AS rule FROM (SELECT key, CORE AS core FROM c) c JOIN s ON s.core <> '' AND c.core <> '' AND (contains(c.core, s.core) OR contains(s.core, c.core))
+         WHERE c.key NOT IN (SELECT key FROM e UNION SELECT key FROM x UNION SELECT key FROM t) GROUP BY c.key)
+       SELECT * FROM e UNION ALL SELECT * FROM x UNION ALL SELECT * FROM t UNION ALL SELECT * FROM f""".replace("CORE", Q.strip(Q.sub(
+           Q.sub(Q.sub("name", r"[【】★\[\]]"), "[0-9]{6}_"), "[（(][0-9]+章[）)]"))))
 def _(spark, d):
     return M.resolve_file_names(_wanted(spark, d), md_docs(spark, d).select(F.col("name").alias("file")))
 

@@ -480,37 +480,47 @@ def match_sections(pairs: DataFrame) -> DataFrame:
 # Names
 
 
-def _substrings(names: DataFrame, column: str, lengths: Column) -> DataFrame:
-    """Every substring of a name whose length occurs among the names looked for.
+#: Characters of the pieces by which a name contained in another is looked up.
+GRAM = 3
 
-    A file name is at most a few hundred characters, so its substrings are a
-    bounded number of rows, and containment becomes an equi-join.
-    """
-    text = F.col(column)
-    return names.select("*", F.explode(F.array_distinct(F.flatten(F.transform(
-        F.filter(F.col("_lengths"), lambda n: n <= F.length(text)),
-        lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(text, i, n)),
-    )))).alias("part")).drop("_lengths")
 
+def _grams(text: Column, length: Column) -> Column:
+    """Distinct substrings of a length, the place of each being one of the text."""
+    return F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - length + 1), lambda i: F.substr(text, i, length)))
 
-def containment(left: DataFrame, right: DataFrame, key: str, text: str, value: str) -> DataFrame:
-    """(key, value): lowest ``value`` of ``right(text, value)`` that contains ``left(key, text)``
-    or is contained in it.  Empty texts match nothing."""
-    left = left.filter(F.length(text) > 0)
-    right = right.filter(F.length(text) > 0)
 
-    def lengths(df: DataFrame) -> Column:
-        return df.select(F.length(text).alias("n")).distinct().agg(F.collect_list("n").alias("l")).scalar()
+def holders(needles: DataFrame, hay: DataFrame) -> DataFrame:
+    """(needle, hay): the texts of ``hay(text)`` that contain a text of ``needles(text)``.
 
-    def parts(df: DataFrame, others: DataFrame) -> DataFrame:
-        none = F.array().cast("array<int>")
-        return _substrings(df.withColumn("_lengths", F.coalesce(lengths(others), none)), text, F.col("_lengths"))
+    A needle is looked up by the one of its grams that fewest texts hold, and
+    what holds that gram is verified.  So a text gives as many rows as it has
+    characters.  Needles shorter than a gram are grams themselves.  Empty texts
+    match nothing.
+    """
+    wanted = needles.select("text").filter(F.length("text") > 0).distinct().select("text", F.least(F.length("text"), F.lit(GRAM)).alias("q"))
+    texts = hay.select("text").filter(F.length("text") > 0).distinct()
+    # One row per length of gram, of which there are at most GRAM.
+    lengths = wanted.agg(F.collect_set("q").alias("l")).scalar()
+    held = texts.select(F.col("text").alias("hay"), F.coalesce(lengths, F.array().cast("array<int>")).alias("l")).select(
+        "hay", F.explode(F.filter("l", lambda n: n <= F.length("hay"))).alias("q")).select(
+        "hay", "q", F.explode(_grams(F.col("hay"), F.col("q"))).alias("gram"))
+    counts = held.groupBy("gram").agg(F.count("*").alias("n"))
+    pieces = wanted.select(F.col("text").alias("needle"), F.explode(_grams(F.col("text"), F.col("q"))).alias("gram"))
+    rarest = pieces.join(counts, "gram", "left").groupBy("needle").agg(
+        F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.count_if(F.col("n").isNull()).alias("missing")).filter("missing = 0")
+    return rarest.join(held.select("hay", "gram"), "gram").filter(F.contains("hay", "needle")).select("needle", "hay")
 
-    inside = parts(left, right).select(key, "part").join(
-        right.groupBy(F.col(text).alias("part")).agg(F.min(value).alias(value)), "part").select(key, value)
-    around = left.select(key, F.col(text).alias("part")).join(
-        parts(right, left).groupBy("part").agg(F.min(value).alias(value)), "part").select(key, value)
-    return inside.unionByName(around).groupBy(key).agg(F.min(value).alias(value))
+
+def containment(left: DataFrame, right: DataFrame, key: str, text: str, value: str) -> DataFrame:
+    """(key, value): lowest ``value`` of ``right(text, value)`` that contains ``left(key, text)``
+    or is contained in it.  Empty texts match nothing; equal texts are looked up once."""
+    named = right.groupBy(F.col(text).alias("r")).agg(F.min(value).alias(value))
+    mine, theirs = left.select(F.col(text).alias("text")), named.select(F.col("r").alias("text"))
+    around = holders(mine, theirs).select(F.col("needle").alias("l"), F.col("hay").alias("r"))
+    inside = holders(theirs, mine).select(F.col("hay").alias("l"), F.col("needle").alias("r"))
+    best = around.unionByName(inside).join(named, "r").groupBy("l").agg(F.min(value).alias(value))
+    return left.select(key, F.col(text).alias("l")).join(best, "l").groupBy(key).agg(F.min(value).alias(value))
 
 
 def _simplified(c: Column) -> Column:
@@ -529,23 +539,21 @@ def resolve_file_names(wanted: DataFrame, available: DataFrame) -> DataFrame:
     files = available.select("file").distinct().checkpoint()
     cleaned = strip(F.regexp_replace("name", r"[（(][0-9]+章[）)]$", ""))
     rows = wanted.select("key", "name", cleaned.alias("cleaned"), _simplified(F.col("name")).alias("simple"))
-    found = None
-    rest = rows
 
-    def take(matches: DataFrame, rule: int) -> None:
-        nonlocal found, rest
-        hit = matches.select("key", "file", F.lit(rule).alias("rule"))
-        found = hit if found is None else found.unionByName(hit)
-        rest = rest.join(hit.select("key"), "key", "left_anti").checkpoint()
+    def equal(name: str, rule: int) -> DataFrame:
+        return rows.join(files, F.col(name) == F.col("file")).select("key", "file", F.lit(rule).alias("rule"))
 
-    take(rest.join(files, F.col("name") == F.col("file")), 1)
-    take(rest.join(files, F.col("cleaned") == F.col("file")), 2)
+    def first(found: DataFrame) -> DataFrame:
+        return found.groupBy("key").agg(F.min(F.struct("rule", "file")).alias("m")).select("key", "m.file", "m.rule")
+
+    exact = first(equal("name", 1).unionByName(equal("cleaned", 2))).checkpoint()
+    rest = rows.join(exact.select("key"), "key", "left_anti")
     either = rest.select("key", F.explode(F.array_distinct(F.array("cleaned", "name"))).alias("text"))
-    take(containment(either, files.select(F.col("file").alias("text"), "file"), "key", "text", "file"), 3)
-    take(containment(
+    by_name = containment(either, files.select(F.col("file").alias("text"), "file"), "key", "text", "file")
+    by_core = containment(
         rest.select("key", F.col("simple").alias("text")),
-        files.select(_simplified(F.col("file")).alias("text"), "file"), "key", "text", "file"), 4)
-    return found
+        files.select(_simplified(F.col("file")).alias("text"), "file"), "key", "text", "file")
+    return exact.unionByName(first(by_name.withColumn("rule", F.lit(3)).unionByName(by_core.withColumn("rule", F.lit(4)))))
 
 
 def resolve_prefixed_names(wanted: DataFrame, available: DataFrame) -> DataFrame:
