@@ -238,33 +238,108 @@ def already_in_base(docs: DataFrame, entries: DataFrame) -> DataFrame:
     return docs.select("name").distinct().join(first.withColumnRenamed("source", "name"), "name").filter("target <> ''").select("name", "target")
 
 
-def embedding_topk(queries: DataFrame, base: DataFrame, width: int, k: int = 10, rows_per_block: int = 20_000) -> DataFrame:
-    """The k most similar base vectors of each query ``(key, vector)``; ``base(target, place, vector)``.
+#: Lists of the inverted file and vectors that their centres are fitted on; vectors and queries of a list that one group of work holds.
+LISTS, FITTED, LIST_ROWS, ASKED_ROWS = 1024, 20_000, 20_000, 20_000
 
-    A missing base vector scores 0.0; a missing query vector takes the first k
-    in place order; ties keep the place order; a vector of another length than
-    ``width`` raises an error.  Blocks of the base meet chunks
-    of the queries as matrices, and each query leaves a block with k rows.
+
+def _units(column: pd.Series) -> np.ndarray:
+    m = np.stack([np.asarray(v, np.float64) for v in column])
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def _centres(sample: np.ndarray, n: int, steps: int = 8) -> np.ndarray:
+    """Unit vectors around which the sample gathers."""
+    rng = np.random.default_rng(3)
+    centres = sample[rng.choice(len(sample), min(n, len(sample)), replace=False)]
+    for _ in range(steps):
+        nearest = (sample @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, sample)
+        norms = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(norms > 1e-12, sums / np.maximum(norms, 1e-12), centres)
+    return centres
+
+
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(a @ b.T, -1.0, 1.0))
+
+
+def embedding_topk(queries: DataFrame, base: DataFrame, width: int, k: int = 10, stats: dict | None = None) -> DataFrame:
+    """The k most similar base vectors ``(key, target, sim, rank, error)`` of each query ``(key, vector)``; ``base(target, place, vector)``.
+
+    Cosine in double precision, ties in place order.  A missing, zero or
+    unfitting base vector scores 0.0; a missing query vector takes the first k
+    in place order without a score, a zero one with 0.0; a query of another
+    length than ``width`` gives one row with an ``error``.
+
+    An exact inverted file: base vectors lie in lists around centres.  A query
+    asks the list of its nearest centre first; by the triangle inequality a
+    list whose centre lies further than its radius and the k-th angle found so
+    far holds nothing better, so only the others are asked.  ``stats`` gets
+    the share of lists that were read.
     """
-    n_blocks, n_chunks = _blocks(base, rows_per_block), _blocks(queries, rows_per_block)
+    spark = queries.sparkSession
+    ensure_checkpoint_dir(spark)
+    v = F.col("vector")
+    fits = F.coalesce(F.size(v) == width, F.lit(False)) & F.coalesce(F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
+    full = fits & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
+    # k rows at most, so they fit into the plan of the queries that meet them.
+    listed = lambda df: df.orderBy("place").limit(k).agg(F.array_sort(F.collect_list(F.struct("place", "target")))).scalar()
+    none = F.array().cast("array<struct<place:bigint,target:bigint>>")
+    blanks = listed(base.filter(~full))
+
+    def firsts(df: DataFrame, sim: float | None) -> DataFrame:
+        met = df.select("key", listed(base).alias("f")).select("key", F.posexplode(F.coalesce("f", none)).alias("r", "p"))
+        return met.select("key", "p.target", F.lit(sim).cast("double").alias("sim"), (F.col("r") + 1).alias("rank"), F.lit(None).cast("string").alias("error"))
+
+    rest = firsts(queries.filter("vector IS NULL"), None).unionByName(firsts(queries.filter(fits & ~full), 0.0)).unionByName(
+        queries.filter(v.isNotNull() & ~fits).select("key", F.lit(None).cast("bigint").alias("target"), F.lit(None).cast("double").alias("sim"),
+                                                     F.lit(None).cast("int").alias("rank"), F.lit(f"not a vector of {width} numbers").alias("error")))
+    rows, asked = base.filter(full), queries.filter(full).select("key", "vector")
+    n = rows.count()
+    if not n:
+        zero = asked.select("key", blanks.alias("f")).select("key", F.posexplode(F.coalesce("f", none)).alias("r", "p"))
+        return rest.unionByName(zero.select("key", "p.target", F.lit(0.0).alias("sim"), (F.col("r") + 1).alias("rank"), F.lit(None).cast("string").alias("error")))
+    place = F.pmod(F.xxhash64("target", "place"), F.lit(1 << 30)) / float(1 << 30)
+    sample = rows.filter(place < FITTED / n).limit(2 * FITTED).select("vector").toPandas()["vector"]
+    some = sample if len(sample) else rows.limit(1).toPandas()["vector"]
+    centres = spark.sparkContext.broadcast(_centres(_units(some), min(LISTS, max(1, round(n ** 0.5)))))
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                angles = _angles(_units(batch["vector"]), centres.value)
+                yield batch.assign(list=angles.argmin(axis=1), angle=angles.min(axis=1))
+
+    held = rows.select("target", "place", "vector").mapInPandas(
+        assign, "target bigint, place bigint, vector array<double>, list int, angle double").checkpoint()
+    # One row per list.
+    about = held.groupBy("list").agg(F.max("angle").alias("radius"), F.count("*").alias("n")).toPandas()
+    shape = spark.createDataFrame([(int(r.list), -(-int(r.n) // LIST_ROWS)) for r in about.itertuples()], "list int, parts int")
+    ids, radii = about["list"].to_numpy(), about["radius"].to_numpy()
+
+    def chosen(first: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                angles = _angles(_units(batch["vector"]), centres.value[ids])
+                nearest = angles.argmin(axis=1)
+                if first:
+                    row, at = np.arange(len(batch)), nearest
+                else:
+                    near = angles - radii <= batch["reach"].to_numpy()[:, None] + 1e-6
+                    near[np.arange(len(batch)), nearest] = False
+                    row, at = np.nonzero(near)
+                yield pd.DataFrame({"key": batch["key"].to_numpy()[row], "list": ids[at], "vector": batch["vector"].to_numpy()[row]})
+
+        return run
 
     def top(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"key": [], "target": [], "place": [], "sim": []})
         right = right.sort_values("place", ignore_index=True)
-
-        def unit(column: pd.Series) -> np.ndarray:
-            m = np.zeros((len(column), width))
-            given = [i for i, v in enumerate(column) if v is not None]
-            if any(len(column.iat[i]) != width for i in given):
-                raise ValueError(f"a vector does not have {width} components")
-            if given:
-                m[given] = np.stack([column.iat[i] for i in given])
-            norms = np.linalg.norm(m, axis=1, keepdims=True)
-            return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
-
-        a, b = unit(left["vector"]), unit(right["vector"])
-        out = []
+        a, b, out = _units(left["vector"]), _units(right["vector"]), []
         for start in range(0, len(a), 1000):
             sims = a[start:start + 1000] @ b.T
             # Equal vectors must tie whatever their place in the matrix.
@@ -275,23 +350,33 @@ def embedding_topk(queries: DataFrame, base: DataFrame, width: int, k: int = 10,
                 "place": right["place"].to_numpy()[cols], "sim": np.take_along_axis(sims, order, axis=1).ravel()}))
         return pd.concat(out, ignore_index=True)
 
-    spread_q = queries.filter("vector IS NOT NULL").select(
-        "key", "vector", F.pmod(F.xxhash64("key"), F.lit(n_chunks)).alias("chunk"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))).alias("block"))
-    spread_b = base.select(
-        "target", "place", "vector", F.pmod(F.xxhash64("target"), F.lit(n_blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_chunks - 1).cast("bigint"))).alias("chunk"))
-    found = spread_q.groupBy("block", "chunk").cogroup(spread_b.groupBy("block", "chunk")).applyInPandas(
-        top, "key bigint, target bigint, place bigint, sim double")
-    w = W.partitionBy("key").orderBy(F.round("sim", 12).desc(), "place")
-    ranked = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    # k rows at most, so they fit into the plan of the queries that have no vector.
-    first = base.orderBy("place").limit(k).agg(
-        F.array_sort(F.collect_list(F.struct("place", "target"))).alias("f")).scalar()
-    blind = queries.filter("vector IS NULL").select("key", first.alias("f")).select(
-        "key", F.posexplode("f").alias("r", "p")).select(
-        "key", "p.target", F.lit(None).cast("double").alias("sim"), (F.col("r") + 1).alias("rank"))
-    return ranked.select("key", "target", "sim", "rank").unionByName(blind)
+    def best(found: DataFrame) -> DataFrame:
+        w = W.partitionBy("key").orderBy(F.round("sim", 12).desc(), "place")
+        return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    def probed(pairs: DataFrame) -> DataFrame:
+        """Best rows of the pairs of query and list; crowded lists and queries are dealt in blocks."""
+        loads = pairs.groupBy("list").agg(F.ceil(F.count("*") / ASKED_ROWS).cast("int").alias("columns")).join(F.broadcast(shape), "list")
+        left = pairs.join(F.broadcast(loads), "list").select(
+            "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("r"), F.pmod(F.xxhash64("key"), "columns").cast("int").alias("c"), "key", "vector")
+        right = held.join(F.broadcast(loads), "list").select(
+            "list", F.pmod(F.xxhash64("target", "place"), "parts").cast("int").alias("r"),
+            F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("c"), "target", "place", "vector")
+        by = ["list", "r", "c"]
+        found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(top, "key bigint, target bigint, place bigint, sim double")
+        return best(found).drop("rank")
+
+    pair = "key bigint, list int, vector array<double>"
+    first = probed(asked.mapInPandas(chosen(True), pair)).checkpoint()
+    reach = first.groupBy("key").agg(F.count("*").alias("n"), F.min("sim").alias("least")).select(
+        "key", F.when(F.col("n") >= k, F.acos(F.least(F.greatest(F.col("least"), F.lit(-1.0)), F.lit(1.0)))).otherwise(4.0).alias("reach"))
+    others = asked.join(reach, "key").mapInPandas(chosen(False), pair).checkpoint()
+    if stats is not None:
+        n_asked = asked.count()
+        stats["lists_read"] = (n_asked + others.count()) / max(1, n_asked * len(ids))
+    empty = asked.select("key", blanks.alias("f")).select("key", F.explode(F.coalesce("f", none)).alias("p")).select("key", "p.target", "p.place", F.lit(0.0).alias("sim"))
+    ranked = best(first.unionByName(probed(others)).unionByName(empty))
+    return ranked.select("key", "target", "sim", "rank", F.lit(None).cast("string").alias("error")).unionByName(rest)
 
 
 # Sections and headings
