@@ -386,12 +386,24 @@ def _(spark, d):
 
 # Numbering
 
+# Names of a few sources that are literally numbered, among the rows and among what exists.
+_TAKEN = ("src1", "src2_2", "src2_4", "document_3", "src4_2_2")
+
+
 @query("unique_names", "doc_id:l unique_name:s",
-       """SELECT doc_id, CASE WHEN k = 1 THEN b ELSE b || '_' || k END AS unique_name FROM (SELECT doc_id, b, row_number() OVER (PARTITION BY b ORDER BY doc_id)
-         + CASE WHEN b = 'src1' THEN 1 ELSE 0 END AS k FROM (SELECT doc_id, CASE WHEN lang = 'de' THEN 'document' ELSE source END AS b FROM documents))""")
+       f"""WITH RECURSIVE b AS (SELECT doc_id, CASE WHEN lang = 'de' THEN 'document' ELSE source || CASE WHEN doc_id % 11 = 3 THEN '_2' WHEN doc_id % 29 = 5 THEN '_2_2' ELSE '' END END AS b FROM documents),
+         r AS (SELECT *, regexp_replace(b, '(_[1-9][0-9]*)+$', '') AS root FROM b), o AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY doc_id) AS i FROM r),
+         f(root, i, used, doc_id, unique_name) AS (
+           SELECT DISTINCT root, 0::BIGINT, [{", ".join(f"'{t}'" for t in _TAKEN)}], NULL::BIGINT, NULL::VARCHAR FROM o
+           UNION ALL SELECT root, i, list_append(used, u), doc_id, u FROM (SELECT o.root, o.i, o.doc_id, f.used, CASE WHEN list_contains(f.used, o.b)
+               THEN o.b || '_' || list_filter(range(2, len(f.used) + 3), lambda k: NOT list_contains(f.used, o.b || '_' || k))[1] ELSE o.b END AS u
+             FROM f JOIN o ON o.root = f.root AND o.i = f.i + 1))
+       SELECT doc_id, unique_name FROM f WHERE i > 0""")
 def _(spark, d):
-    rows = documents(spark, d).select("doc_id", F.when(F.col("lang") == "de", " ").otherwise(F.col("source")).alias("name"))
-    return N.unique_names(rows, spark.createDataFrame([("src1",)], "name string"), ["doc_id"])
+    k = F.col("doc_id")
+    number = F.when(k % 11 == 3, "_2").when(k % 29 == 5, "_2_2").otherwise("")
+    rows = documents(spark, d).select("doc_id", F.when(F.col("lang") == "de", " ").otherwise(F.concat("source", number)).alias("name"))
+    return N.unique_names(rows, spark.createDataFrame([(t,) for t in _TAKEN], "name string"), ["doc_id"])
 
 
 @query("next_file_number", "doc_id:l number:l file_name:s",

@@ -7,8 +7,10 @@ instead and adds the counts of the partitions before.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import pad, strip
@@ -71,54 +73,94 @@ def running_total(
     return summed.join(offsets, same).select(*df.columns, (F.col("_within") + F.col("_offset")).alias(name))
 
 
+def _takers(group: pd.DataFrame) -> pd.DataFrame:
+    """Which literal names ``stem_k`` come before the stem's own rows reach the number k.
+
+    ``before`` rows of the stem come earlier, ``free`` numbers up to k are
+    neither taken nor lost; of those, names that took a smaller number earlier
+    are missing.
+    """
+    at: list[int] = []
+    out = []
+    for row in group.sort_values("k").itertuples():
+        takes = row.before < row.free - bisect_left(at, row.turn)
+        if takes:
+            insort(at, row.turn)
+        out.append((row.child, takes))
+    return pd.DataFrame(out, columns=["base", "takes"])
+
+
 def unique_names(rows: DataFrame, existing: DataFrame, order: Sequence[str]) -> DataFrame:
     """First free of ``name``, ``name_2``, ``name_3`` … in order; blank is ``document``.
 
-    The k-th row of a name takes its k-th free suffix.  A suffix is taken by an
-    existing name, or by an earlier row literally named like that.  Such clashes
-    are rare; they are found by a join and the lowest one of each name is
-    blocked per pass until none is left.
+    The k-th row of a name takes its k-th free number, the bare name being 1.
+    Numbers are taken by existing names, and by rows literally named like that
+    which come before the number is reached; otherwise the row of that name has
+    lost its bare name.  Taken numbers are ranges without gaps between them, so
+    how many of them lie below the k-th free one is a running total over both.
+    Literal names only meet those of their stem, from the shortest stem on:
+    one pass for each length of a chain of such names, none without them.
     """
     ensure_checkpoint_dir(rows.sparkSession)
-    spark = rows.sparkSession
     base = F.when(strip(F.coalesce("name", F.lit(""))) == "", "document").otherwise(strip(F.col("name")))
-    keyed = rows.withColumn("base", base)
-    at = F.struct(*order)
-    numbered = running_number(keyed, order, ["base"], "k").withColumn("_at", at).checkpoint()
-    bases = numbered.filter("k = 1").select("base", F.col("_at").alias("first_at"))
-
-    def suffix(c: Column) -> Column:
-        return F.coalesce(F.regexp_extract(c, r"_([0-9]+)$", 1).try_cast("bigint"), F.lit(1))
-
-    def as_blocks(names: DataFrame) -> DataFrame:
-        """A taken name blocks suffix 1 of itself and suffix j of its stem."""
-        stem = F.regexp_extract("taken", r"^(.*)_([0-9]+)$", 1)
-        j = F.regexp_extract("taken", r"_([1-9][0-9]*)$", 1).try_cast("bigint")
-        return names.select(F.col("taken").alias("base"), F.lit(1).cast("bigint").alias("j")).unionByName(
-            names.filter((stem != "") & (j >= 2)).select(stem.alias("base"), j.alias("j")))
-
-    blocked = as_blocks(existing.select(F.col("name").alias("taken")).distinct()).join(bases, "base", "left_semi").select(
-        "base", "j").distinct()
+    numbered = running_number(rows.select(F.struct(*rows.columns).alias("row"), *order, base.alias("base")), order, ["base"], "k").checkpoint()
+    firsts = numbered.filter("k = 1").select("base", F.struct(*order).alias("first_at")).checkpoint()
+    stem, number = F.regexp_extract("base", r"^(.*)_[1-9][0-9]*$", 1), F.regexp_extract("base", r"_([1-9][0-9]*)$", 1).try_cast("bigint")
+
+    def as_numbers(names: DataFrame) -> DataFrame:
+        """A name is number 1 of itself and number j of its stem; only those that rows are named after."""
+        own = names.select("base", F.lit(1).cast("bigint").alias("j"))
+        of_stem = names.filter((stem != "") & (number >= 2)).select(stem.alias("base"), number.alias("j"))
+        return own.unionByName(of_stem).distinct().join(firsts.select("base"), "base", "left_semi")
+
+    taken = as_numbers(existing.select(F.col("name").alias("base")).distinct()).checkpoint()
+    # Literal names whose stem is a name of other rows, and that don't exist yet.
+    children = firsts.filter((stem != "") & (number >= 2)).select(
+        F.col("base").alias("child"), stem.alias("base"), number.alias("j"), "first_at").join(firsts.select("base"), "base", "left_semi").join(
+        taken.filter("j = 1").select(F.col("base").alias("child")), "child", "left_anti").checkpoint()
+    lost = None
+    if not children.isEmpty():
+        lost = _lost(numbered, children, taken, order).checkpoint()
+        won = children.join(lost.filter("takes").select(F.col("base").alias("child")), "child", "left_semi").select("base", "j")
+        bare = lost.filter("NOT takes").select("base", F.lit(1).cast("bigint").alias("j"))
+        taken = taken.unionByName(won).unionByName(bare).distinct().checkpoint()
+    ranked = running_number(taken, ["j"], ["base"], "r")
+    # A taken number with f free ones below it comes before the row f + 1.
+    marks = ranked.select("base", (F.col("j") - F.col("r") + 1).alias("at"), F.lit(0).alias("is_row"), "j", F.lit(None).cast(numbered.schema["row"].dataType).alias("row"))
+    wanted = numbered.select("base", F.col("k").alias("at"), F.lit(1).alias("is_row"), F.lit(0).cast("bigint").alias("j"), "row")
+    counted = running_total(marks.unionByName(wanted).withColumn("taken", 1 - F.col("is_row")), ["at", "is_row", "j"], ["base"], "taken", "below")
+    n = F.col("at") + F.col("below")
+    name = F.when(n == 1, F.col("base")).otherwise(F.concat("base", F.lit("_"), n.cast("string")))
+    return counted.filter("is_row = 1").select("row.*", name.alias("unique_name"))
+
+
+def _lost(numbered: DataFrame, children: DataFrame, taken: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(base, takes) of the literal names: whether each still gets its bare name."""
+    rows = numbered.select("base", F.struct(*order).alias("at"), F.lit(None).cast("string").alias("child"), F.lit(1).alias("one"))
+    turns = children.select("base", F.col("first_at").alias("at"), "child", F.lit(0).alias("one"))
+    before = running_total(rows.join(children.select("base").distinct(), "base", "left_semi").unionByName(turns), ["at", "child"], ["base"], "one", "before").filter(
+        "child IS NOT NULL").select("child", "before")
+    turn = running_number(children, ["first_at"], ["base"], "turn").select("child", "turn")
+    marks = taken.join(children.select("base").distinct(), "base", "left_semi").select("base", "j", F.lit(None).cast("string").alias("child"), F.lit(1).alias("one"))
+    below = running_total(marks.unionByName(children.select("base", "j", "child", F.lit(0).alias("one"))), ["j", "child"], ["base"], "one", "below").filter(
+        "child IS NOT NULL").select("child", "below")
+    todo = children.select("child", "base", F.col("j").alias("k")).join(before, "child").join(turn, "child").join(below, "child").checkpoint()
+    done = None
     while True:
-        lists = blocked.groupBy("base").agg(F.array_sort(F.collect_set("j")).alias("js"))
-        # k-th free suffix: step over every blocked number at or below it.
-        shifted = F.aggregate(
-            F.coalesce("js", F.array().cast("array<bigint>")), F.col("k").cast("bigint"),
-            lambda n, j: F.when(j <= n, n + 1).otherwise(n))
-        placed = numbered.join(lists, "base", "left").withColumn("n", shifted).withColumn(
-            "unique_name", F.when(F.col("n") == 1, F.col("base")).otherwise(
-                F.concat("base", F.lit("_"), F.col("n").cast("string"))))
-        made = placed.filter("n > 1").select(
-            F.col("unique_name").alias("base"), F.col("base").alias("stem"), F.col("n").alias("j"), F.col("_at").alias("made_at"))
-        clash = made.join(bases, "base").join(
-            blocked.select("base", F.lit(True).alias("own_blocked")).where("j = 1"), "base", "left").filter("own_blocked IS NULL")
-        loser = clash.select(
-            F.when(F.col("first_at") < F.col("made_at"), F.col("stem")).otherwise(F.col("base")).alias("base"),
-            F.when(F.col("first_at") < F.col("made_at"), F.col("j")).otherwise(F.lit(1)).alias("j"))
-        found = loser.groupBy("base").agg(F.min("j").alias("j")).checkpoint()
-        if found.isEmpty():
-            return placed.select(*rows.columns, "unique_name")
-        blocked = blocked.unionByName(found).distinct().checkpoint()
+        # Names whose stem is settled: it is no such name itself, or was told in the pass before.
+        open_names = todo.select(F.col("child").alias("base"))
+        ready = todo.join(open_names, "base", "left_anti")
+        if done is not None:
+            ready = ready.join(done.filter("NOT takes").select("base", F.lit(1).alias("gone")), "base", "left")
+        else:
+            ready = ready.withColumn("gone", F.lit(0))
+        free = (F.col("k") - F.col("below") - F.coalesce("gone", F.lit(0))).alias("free")
+        told = ready.select("base", "child", "k", "before", "turn", free).groupBy("base").applyInPandas(
+            lambda g: _takers(g), "base string, takes boolean").checkpoint()
+        done = told if done is None else done.unionByName(told).checkpoint()
+        todo = todo.join(told.select(F.col("base").alias("child")), "child", "left_anti").checkpoint()
+        if todo.isEmpty():
+            return done
 
 
 def max_file_numbers(base: DataFrame) -> DataFrame:

@@ -49,6 +49,25 @@ def test_unique_names(spark, names, existing):
     assert got == _first_free(names, existing)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_unique_names_in_chains(spark, seed):
+    """Names that other names may be numbered to, in chains, in any order, with existing ones between."""
+    rng = random.Random(seed)
+
+    def name():
+        out = rng.choice(["a", "a", "a", "b", "c_0", "c_02", " ", "document"])
+        while rng.random() < 0.45:
+            out += f"_{rng.choice([2, 2, 3, 4, 7])}"
+        return out
+
+    names = [name() for _ in range(150)]
+    existing = [name().strip() for _ in range(12)]
+    rows = spark.createDataFrame(list(enumerate(names)), "i int, name string").repartition(5)
+    taken = spark.createDataFrame([(e,) for e in existing if e], "name string")
+    got = [r["unique_name"] for r in B.unique_names(rows, taken, ["i"]).orderBy("i").collect()]
+    assert got == _first_free(names, [e for e in existing if e])
+
+
 def _greedy(sizes, limit):
     chunks, size = [], 0
     for s in sizes:
