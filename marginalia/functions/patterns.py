@@ -12,10 +12,12 @@ LINK = r"\[([^\]]*)\]\(([^)]+)\)"
 IMAGE = r"!\[([^\]]*)\]\(([^)]+)\)"
 TABLE_ROW = r"^\|[^\n]+\|$"
 TABLE_SEPARATOR = rf"^\|[{SPACE}\-:]+\|$"
+
+# Words that are keywords, and what names a business.
 KEYWORD = "[A-Z]{2,}|[A-Za-z]+(?:システム|ツール)|[ァ-ヴー]{3,}"
 BUSINESS = "([^、。]+(?:業務|処理|受付|管理|設計|運用))"
 
-# Fixed section titles.
+# Section titles.
 OPENING = "（冒頭）"
 SUMMARY_HEADING = "## サマリー"
 TOC_HEADING = "## 目次"

@@ -81,27 +81,33 @@ def anchor(title: Column) -> Column:
     )
 
 
+# What the name cleaners take out or replace.
+BRACKETED, DATE, ORNAMENTS = "【[^】]*】", r"[0-9]{4}[-_]?[0-9]{2}[-_]?[0-9]{2}", "[★☆●○◆◇■□▲△▼▽]"
+OUTPUT_BRACKETED, OUTPUT_ORNAMENT, OUTPUT_DATE = "【.*?】", "★", r"^[0-9]{6}_"
+NOT_IN_FILES, NOT_IN_TITLES = r'[\\/*?:"<>|\n\r\t]', r'[/\\:*?"<>|]'
+
+
 def clean_filename(name: Column) -> Column:
-    c = F.regexp_replace(name, "【[^】]*】", "")
-    c = F.regexp_replace(c, r"[0-9]{4}[-_]?[0-9]{2}[-_]?[0-9]{2}", "")
-    c = F.regexp_replace(c, "[★☆●○◆◇■□▲△▼▽]", "")
+    c = F.regexp_replace(name, BRACKETED, "")
+    c = F.regexp_replace(c, DATE, "")
+    c = F.regexp_replace(c, ORNAMENTS, "")
     c = F.regexp_replace(F.regexp_replace(c, "_+", "_"), r"^[_\- ]+|[_\- ]+\z", "")
     return F.coalesce(F.nullif(c, F.lit("")), F.lit("document"))
 
 
 def clean_output_name(name: Column) -> Column:
-    c = F.regexp_replace(F.regexp_replace(name, "【.*?】", ""), "★", "")
-    c = F.regexp_replace(c, r"^[0-9]{6}_", "")
+    c = F.regexp_replace(F.regexp_replace(name, OUTPUT_BRACKETED, ""), OUTPUT_ORNAMENT, "")
+    c = F.regexp_replace(c, OUTPUT_DATE, "")
     c = strip(F.regexp_replace(c, rf"[{SPACE}]*\([0-9]+\)\z", ""))
     return F.coalesce(F.nullif(c, F.lit("")), name)
 
 
 def sanitize_filename(name: Column, limit: int = 120) -> Column:
-    return F.substring(strip(F.regexp_replace(name, r'[\\/*?:"<>|\n\r\t]', "_")), 1, limit)
+    return F.substring(strip(F.regexp_replace(name, NOT_IN_FILES, "_")), 1, limit)
 
 
 def sanitize_title(title: Column) -> Column:
-    return F.regexp_replace(title, r'[/\\:*?"<>|]', "・")
+    return F.regexp_replace(title, NOT_IN_TITLES, "・")
 
 
 def truncate(c: Column, n: int) -> Column:

@@ -236,8 +236,8 @@ def is_transient(message: Column) -> Column:
     return contains_any(F.lower(message), P.TRANSIENT)
 
 
-def next_page_status(attempts: DataFrame, max_attempts: int = 3) -> DataFrame:
-    """Status after the last attempt of each page.
+def next_page_status(attempts: DataFrame, max_attempts: int = 3, error_width: int = 240) -> DataFrame:
+    """Status after the last attempt of each page; ``error`` up to a display width, ``whole_error`` as it was.
 
     ``attempts(page_id, deep_link, attempt, ok, pdf_path, error)``.  The last
     attempt is an arg-max with map-side combine, not a sort of all attempts.
@@ -251,7 +251,8 @@ def next_page_status(attempts: DataFrame, max_attempts: int = 3) -> DataFrame:
         "page_id",
         F.when(no_link, "error").when(F.col("ok"), "done").when(again, "retry").otherwise("error").alias("status"),
         F.when(~no_link & F.col("ok"), F.col("pdf_path")).alias("pdf_path"),
-        F.when(no_link, "deep_link missing").when(~F.col("ok"), F.substring("error", 1, 240)).alias("error"),
+        F.when(no_link, "deep_link missing").when(~F.col("ok"), F.substring("error", 1, error_width)).alias("error"),
+        F.when(~F.col("ok"), F.col("error")).alias("whole_error"),
     )
 
 

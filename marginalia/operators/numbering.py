@@ -194,8 +194,8 @@ def missing_chapters(chapters: DataFrame, used: DataFrame) -> DataFrame:
     return chapters.join(used.select("doc_id", "chapter_no").distinct(), ["doc_id", "chapter_no"], "left_anti")
 
 
-def fill_missing(missing: DataFrame, batch: int = 15) -> DataFrame:
-    """Missing chapters in batches as extra files, titled by their first chapter.
+def fill_missing(missing: DataFrame, batch: int = 15, title_width: int = 15) -> DataFrame:
+    """Missing chapters in batches as extra files, titled by their first chapter up to a display width; ``first_title`` is whole.
 
     The window runs within one document, whose chapters came from one row.
     """
@@ -204,7 +204,7 @@ def fill_missing(missing: DataFrame, batch: int = 15) -> DataFrame:
     return batched.groupBy("doc_id", "batch_no").agg(
         F.min_by("clean_title", "chapter_no").alias("first_title"), F.count("*").alias("n_chapters"),
         F.min("chapter_no").alias("first_no"), F.max("chapter_no").alias("last_no"),
-    ).withColumn("title", F.concat(F.substring("first_title", 1, 15), F.lit(" 他"))).drop("first_title")
+    ).withColumn("title", F.concat(F.substring("first_title", 1, title_width), F.lit(" 他")))
 
 
 def missing_ranges(missing: DataFrame) -> DataFrame:
