@@ -11,7 +11,7 @@ from ..plans import execution as E, inference as X, structure as S, updates as U
 from ..views import documents, files, image_files, md_docs, md_docs_v2, table, terms, versions
 from . import sqlviews as Q
 from .classify import containers
-from .matching import plan
+from .matching import _changes_sql, _plan_pairs, plan
 from .quality import _issues
 from ..sources import named_files as N, sinks as K
 from .registry import query
@@ -326,7 +326,7 @@ def _parts_name(suffix):
     return F.concat(F.regexp_replace("target", r"\.md$", ""), F.lit(f"_{suffix}.md"))
 
 
-def plan_actions(spark, d):
+def plan_actions(spark, d, rows=None):
     """The update plan as a list of actions in order of key, so that all their kinds occur.
 
     Updates of one folder share a file in runs of 50 keys, with a strategy per
@@ -334,7 +334,7 @@ def plan_actions(spark, d):
     """
     from ..views import incoming_docs
 
-    rows = plan(spark, d).checkpoint()
+    rows = plan(spark, d).checkpoint() if rows is None else rows
     k, action = F.col("key"), F.col("action")
     run = [F.substring_index("target", "/", 1).alias("folder"), F.floor(k / 50).alias("run")]
     shared = rows.filter("action = 'update'").select("target", *run).groupBy("folder", "run").agg(F.min("target").alias("shared"))
@@ -352,13 +352,13 @@ def plan_actions(spark, d):
         F.when(partial, F.concat(F.lit("90_new/"), "source", F.lit(".md"))).alias("create_target"))
 
 
-def _execution(spark, d):
+def _execution(spark, d, rows=None):
     """Files and outcomes of the plan; texts in Spanish are missing, and so is every file of the first category."""
     from ..views import incoming_docs
 
     sources = incoming_docs(spark, d).filter("lang <> 'es'").select(F.col("doc_id").alias("key"), "text")
     base = md_docs(spark, d).filter("category <> '01_de'").select(F.col("kb_path").alias("target"), "text")
-    return E.execute_plan(plan_actions(spark, d), sources, base, F.lit(TS))
+    return E.execute_plan(plan_actions(spark, d, rows), sources, base, F.lit(TS))
 
 
 def _routed_sql(source):
@@ -567,11 +567,23 @@ def _(spark, d):
     return out
 
 
-@query("update_report", "section:l source:s line:s",
-       """SELECT CASE result WHEN 'created' THEN 1 WHEN 'updated' THEN 2 WHEN 'skipped' THEN 3 ELSE 4 END AS section, source, CASE result WHEN 'created' THEN '| `' || target || '` | ' || source || ' | ' || reason || ' |'
-         WHEN 'updated' THEN '### ' || source || ' → ' || target WHEN 'skipped' THEN '| ' || source || ' | ' || reason || ' |' ELSE '| ' || source || ' | ' || result || ' | ' || reason || ' |' END AS line FROM exec_outcomes""")
+@query("update_report", "section:l key:l source:s place:l line:s",
+       f"""SELECT CASE result WHEN 'created' THEN 1 WHEN 'updated' THEN 2 WHEN 'skipped' THEN 3 ELSE 4 END AS section, key, source, 0 AS place, CASE result WHEN 'created' THEN '| `' || target || '` | ' || source || ' | ' || reason || ' |'
+         WHEN 'updated' THEN '### ' || source || ' → ' || target WHEN 'skipped' THEN '| ' || source || ' | ' || reason || ' |' ELSE '| ' || source || ' | ' || result || ' | ' || reason || ' |' END AS line FROM exec_outcomes
+       UNION ALL SELECT 2, o.key, o.source, 1, '**マージ後サイズ**: ' || format('{{:,}}', length(f.text)) || '文字' FROM exec_outcomes o JOIN exec_files f ON f.target = o.target AND o.step = f.n_edits WHERE o.result = 'updated'
+       UNION ALL SELECT 2, o.key, o.source, 2, '**分割**: ⚠️ ' || p.n || 'ファイルに分割されました（' || format('{{:,}}', {WRITTEN}) || '文字超過のため）' FROM exec_outcomes o JOIN exec_files f ON f.target = o.target AND o.step = f.n_edits
+         JOIN (SELECT target, count(*) AS n FROM exec_long JOIN exec_parts USING (doc_id) GROUP BY target) p ON p.target = o.target WHERE o.result = 'updated'
+       UNION ALL SELECT 2, o.key, o.source, CASE kind WHEN 'added' THEN 100 + place WHEN 'changed' THEN 200 + place ELSE 300 END, CASE kind
+           WHEN 'added' THEN CASE WHEN heading IS NULL THEN '| ✨ ... 他' || n || '件の新規セクション | ' || c.target || ' |  |  |  |' ELSE '| ✨ 新規: ' || heading || ' | ' || c.target || ' | （末尾に追加） | （なし） | 新規セクション追加 |' END
+           WHEN 'changed' THEN CASE WHEN heading IS NULL THEN '| 📝 ... 他' || n || '件の更新セクション | ' || c.target || ' |  |  |  |' ELSE '| 📝 更新: ' || heading || ' | ' || c.target || ' | ' || line_start || '-' || line_end || '行 | 既存の内容 | 更新された内容 |' END
+           ELSE '| 📌 保持: 既存' || n || 'セクション | ' || c.target || ' | （既存内容を保持） |  |  |' END
+         FROM exec_outcomes o JOIN (SELECT x.*, target FROM ({_changes_sql('pair_diff')}) x JOIN plan_pairs USING (pair)) c ON c.pair = o.key WHERE o.result = 'updated'""")
 def _(spark, d):
-    return A.update_report_rows(_execution(spark, d)[1])
+    rows = plan(spark, d).checkpoint()
+    files, outcomes = _execution(spark, d, rows)
+    parts = F.when(F.col("result") == "updated", F.size(C.split_large_update(F.col("text"), WRITTEN)))
+    about = files.select("target", "n_edits", F.length("text").alias("n_chars"), F.coalesce(parts, F.lit(1)).alias("n_parts"))
+    return A.update_report_rows(outcomes, about, U.plan_changes(_plan_pairs(spark, d, rows)), WRITTEN)
 
 
 # User functions

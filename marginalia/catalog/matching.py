@@ -198,8 +198,8 @@ Q.VIEWS["pair_old"] = keyed_sections_sql("(SELECT pair, text FROM plan_pairs JOI
 Q.VIEWS["pair_diff"] = _diff_sql("pair_new", "pair_old")
 
 
-def _plan_pairs(spark, d):
-    return U.matched_pairs(plan(spark, d), _new(spark, d), _base(spark, d)).checkpoint()
+def _plan_pairs(spark, d, rows=None):
+    return U.matched_pairs(plan(spark, d) if rows is None else rows, _new(spark, d), _base(spark, d)).checkpoint()
 
 
 @query("plan_changes", "pair:l target:s kind:s place:l heading:s line_start:l line_end:l n:l is_primary:b",

@@ -301,8 +301,38 @@ def link_report_rows(issues: DataFrame) -> DataFrame:
         F.col("path"), F.col("line_no").cast("string"), kind, F.concat(F.lit("`"), "target", F.lit("`")), F.col("issue")).alias("line"))
 
 
-def update_report_rows(outcomes: DataFrame) -> DataFrame:
-    """One table row per outcome ``(source, target, result, reason)``, by section of the report."""
+# Wording of the change table, as (item, rest, line, before, after).
+CHANGE_WORDS = {
+    "added": ("✨ 新規: ", "件の新規セクション", "（末尾に追加）", "（なし）", "新規セクション追加"),
+    "changed": ("📝 更新: ", "件の更新セクション", "", "既存の内容", "更新された内容"),
+}
+KEPT_WORDS = ("📌 保持: 既存", "セクション", "（既存内容を保持）")
+REST_MARKS = {"added": "✨ ... 他", "changed": "📝 ... 他"}
+
+
+def change_lines(changes: DataFrame) -> DataFrame:
+    """Table rows ``(pair, target, place, line)`` of what ``change_rows`` lists for each pair."""
+    empty = F.lit("")
+    place, line = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    lines_of = F.concat(F.col("line_start").cast("string"), F.lit("-"), F.col("line_end").cast("string"), F.lit("行"))
+    for i, (kind, (item, rest, at, before, after)) in enumerate(CHANGE_WORDS.items()):
+        here = F.col("kind") == kind
+        one = _cells(F.concat(F.lit(item), "heading"), F.col("target"), lines_of if kind == "changed" else F.lit(at), F.lit(before), F.lit(after))
+        more = _cells(F.concat(F.lit(REST_MARKS[kind]), F.col("n").cast("string"), F.lit(rest)), F.col("target"), empty, empty, empty)
+        place = F.when(here, 100 * (i + 1) + F.col("place")).otherwise(place)
+        line = F.when(here, F.when(F.col("heading").isNull(), more).otherwise(one)).otherwise(line)
+    kept = _cells(F.concat(F.lit(KEPT_WORDS[0]), F.col("n").cast("string"), F.lit(KEPT_WORDS[1])), F.col("target"), F.lit(KEPT_WORDS[2]), empty, empty)
+    return changes.select("pair", "target", F.coalesce(place, F.lit(300)).alias("place"), F.coalesce(line, kept).alias("line"))
+
+
+def update_report_rows(outcomes: DataFrame, files: DataFrame | None = None, changes: DataFrame | None = None, limit: int = 10_000) -> DataFrame:
+    """Rows ``(section, key, source, place, line)`` of the report of a run.
+
+    One row per outcome ``(key, source, target, step, result, reason)``; behind
+    an update the size of the merged file and its number of parts, if it was
+    the last edit of ``files(target, n_edits, n_chars, n_parts)``, and the
+    lines of the ``changes`` of its key.
+    """
     r = F.col("result")
     line = (
         F.when(r == "created", _cells(F.concat(F.lit("`"), "target", F.lit("`")), F.col("source"), F.col("reason")))
@@ -310,7 +340,22 @@ def update_report_rows(outcomes: DataFrame) -> DataFrame:
         .when(r == "skipped", _cells(F.col("source"), F.col("reason")))
         .otherwise(_cells(F.col("source"), r, F.col("reason"))))
     section = F.when(r == "created", 1).when(r == "updated", 2).when(r == "skipped", 3).otherwise(4)
-    return outcomes.select(section.alias("section"), "source", line.alias("line"))
+    zero = F.lit(0).cast("bigint")
+    out = outcomes.select(section.alias("section"), "key", "source", zero.alias("place"), line.alias("line"))
+    updates = outcomes.filter("result = 'updated'")
+    if files is not None:
+        last = updates.join(files, "target").filter("step = n_edits")
+        sized = F.struct(F.lit(1).alias("place"), F.concat(F.lit("**マージ後サイズ**: "), F.format_number("n_chars", 0), F.lit("文字")).alias("line"))
+        cut = F.struct(F.lit(2).alias("place"), F.concat(
+            F.lit("**分割**: ⚠️ "), F.col("n_parts").cast("string"), F.lit("ファイルに分割されました（"), F.format_number(F.lit(limit), 0), F.lit("文字超過のため）")).alias("line"))
+        both = F.when(F.col("n_parts") > 1, F.array(sized, cut)).otherwise(F.array(sized))
+        out = out.unionByName(last.select("key", "source", F.explode(both).alias("e")).select(
+            F.lit(2).alias("section"), "key", "source", F.col("e.place").cast("bigint").alias("place"), "e.line"))
+    if changes is not None:
+        listed = change_lines(changes).select(F.col("pair").alias("key"), "place", "line")
+        out = out.unionByName(updates.select("key", "source").join(listed, "key").select(
+            F.lit(2).alias("section"), "key", "source", F.col("place").cast("bigint").alias("place"), "line"))
+    return out
 
 
 def overview_rows(docs: DataFrame) -> DataFrame:
