@@ -19,6 +19,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ BLOCK = 4096
 PERCENTILE = 0.9
 #: Ids after which a segment ends with its document.
 SEGMENT = 1 << 18
+#: Bytes of text of a task: the more, the more of its words it has met before.
+PART = 32 << 20
 #: Distinct pieces a task remembers.
 CACHE = 500_000
 
@@ -43,18 +46,16 @@ SEGMENT_SCHEMA = (
 
 
 def _packed(values: np.ndarray, width: int) -> bytes:
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(bits.astype(np.uint8), axis=None, bitorder="little").tobytes()
+    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    return np.packbits(bits[:, :width], axis=None, bitorder="little").tobytes()
 
 
 def _unpacked(data: np.ndarray, n: int, width: int) -> np.ndarray:
     if not width:
         return np.zeros(n, np.uint32)
-    bits = np.unpackbits(data, count=n * width, bitorder="little").reshape(n, width)
-    out = np.zeros(n, np.uint32)
-    for i in range(width):
-        out |= bits[:, i].astype(np.uint32) << np.uint32(i)
-    return out
+    bits = np.zeros((n, 32), np.uint8)
+    bits[:, :width] = np.unpackbits(data[: -(-n * width // 8)], count=n * width, bitorder="little").reshape(n, width)
+    return np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
 
 
 def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> bytes:
@@ -148,6 +149,15 @@ class Pieces(dict):
         return _bytes([x.id for x in self.tokenize(shown)])
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """The vocabulary, which a worker loads once; it doesn't grow."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class Encoder:
     """Ids of whole texts, the same as the tokenizers library gives, each distinct piece encoded once.
 
@@ -164,10 +174,9 @@ class Encoder:
     UNSURE = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         kind = self.tokenizer.pre_tokenizer
         self.by_piece = (
             isinstance(kind, pre_tokenizers.ByteLevel) and not kind.add_prefix_space and kind.use_regex
@@ -235,7 +244,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
     """
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     tie = F.xxhash64("text")
-    placed = plain.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    placed = plain.repartitionByRange(1 + size // PART, "doc_id", tie).sortWithinPartitions("doc_id", tie)
     # A null among integers would make pandas turn them into floats.
     flagged = placed.select(
         F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text")
@@ -248,7 +258,8 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return segments.join(offsets, "part").withColumn("first", F.col("offset") + F.col("before"))
+    # One row per task that wrote, so the segments themselves stay where they are.
+    return segments.join(F.broadcast(offsets), "part").withColumn("first", F.col("offset") + F.col("before"))
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
