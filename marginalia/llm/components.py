@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import release, stored
 
 MAX_ROUNDS = 60
 #: A node with more than this share of the edges is a hub, so there are at most twice as many hubs; few edges make none.
@@ -54,8 +54,10 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             break
-        edges = stored(_small(_large(edges, before[0]), before[0]), "edges")
-        now = mark(edges)
+        after = stored(_small(_large(edges, before[0]), before[0]), "edges")
+        now = mark(after)
+        release(edges)
+        edges = after
         if now == before:
             break
         before = now
