@@ -191,6 +191,34 @@ def test_best_match_equals_all_pairs(spark):
     assert small == want
 
 
+def test_match_candidates_do_not_grow_with_the_square(spark):
+    rng = random.Random(8)
+
+    def rows(n, first):
+        tokens = [(first + i, [first + i], sorted(rng.sample(range(300), 30)), sorted(rng.sample(range(900), 6)), 100 + i) for i in range(n)]
+        return spark.createDataFrame(tokens, "key bigint, n array<bigint>, s array<bigint>, h array<bigint>, size bigint").withColumn(
+            "profile", F.col("key").cast("string"))
+
+    new, base = rows(1500, 0), rows(1500, 10_000)
+    copy = new.filter("key = 7").withColumn("key", F.lit(20_000)).withColumn("profile", F.lit("copy"))
+    assert M.name_bound(new, base) == 0.0 and M.name_bound(new, new) == 1.0
+    keys = M._keys(new.unionByName(base).select("profile", "s", "h"), 0.875, 0.83)
+    met = keys.groupBy("k").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+    assert met < 10 * keys.count()
+    pairs = M.profile_pairs(new, base.unionByName(copy.withColumn("n", F.array(F.lit(-1).cast("bigint")))))
+    # Names that agree on nothing leave 0.80 to equal summaries, headings and lengths alone.
+    assert [(r["new_profile"], r["base_profile"]) for r in pairs.collect()] == [("7", "copy")]
+
+
+def test_nearest_below_repeats_neither_side(spark):
+    docs = [(i, f"d {i} md", f"# a {i}\n\n## サマリー\n- w{i % 7} x y\n") for i in range(120)]
+    f = M.features(spark.createDataFrame(docs, "key bigint, name string, text string"), "key", "name")
+    base = f.withColumn("key", F.concat(F.lit("b/"), F.format_string("%03d", "key")))
+    found = M.nearest_below(f, base, 16, 9)
+    assert {r["key"]: (r["target"], round(r["similarity"], 9)) for r in found.collect()} == {i: (f"b/{i:03d}", 1.0) for i in range(120)}
+    assert "CoGroup" not in found._jdf.queryExecution().toString()
+
+
 def test_embedding_topk_blocks(spark, monkeypatch):
     monkeypatch.setattr(M, "LIST_ROWS", 3)
     monkeypatch.setattr(M, "ASKED_ROWS", 2)
