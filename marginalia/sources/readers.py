@@ -106,18 +106,23 @@ def ledger_entries(texts: DataFrame) -> DataFrame:
     return by_list.unionByName(by_key).filter("source IS NOT NULL")
 
 
+def _parsed(texts: DataFrame, schema: str) -> DataFrame:
+    """The fields of each JSON text.  The text is parsed here, once; an expression beside an explode
+    would parse it again for each row that comes out."""
+    return texts.select(F.explode(F.array(F.from_json("json", schema))).alias("r")).select("r.*")
+
+
 def term_entries(texts: DataFrame) -> DataFrame:
     """Terms of each document's JSON; unreadable files give no rows."""
-    parsed = F.from_json(
-        "json", "struct<document_name:string,terms:array<struct<term:string,description:string,flag:int>>>")
-    return texts.select(parsed["document_name"].alias("name"), F.posexplode(parsed["terms"]).alias("pos", "t")).select(
+    parsed = _parsed(texts, "struct<document_name:string,terms:array<struct<term:string,description:string,flag:int>>>")
+    return parsed.select(F.col("document_name").alias("name"), F.posexplode("terms").alias("pos", "t")).select(
         "name", "pos", "t.*")
 
 
 def chapter_summary_entries(texts: DataFrame) -> DataFrame:
-    parsed = F.from_json(
-        "json", "struct<document_name:string,chapters:array<struct<title:string,summary:array<string>,line_start:int,line_end:int>>>")
-    return texts.select(parsed["document_name"].alias("name"), F.posexplode(parsed["chapters"]).alias("pos", "c")).select(
+    parsed = _parsed(
+        texts, "struct<document_name:string,chapters:array<struct<title:string,summary:array<string>,line_start:int,line_end:int>>>")
+    return parsed.select(F.col("document_name").alias("name"), F.posexplode("chapters").alias("pos", "c")).select(
         "name", "pos", "c.*")
 
 
