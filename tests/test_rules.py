@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,6 +220,24 @@ def test_nearest_below_repeats_neither_side(spark):
     assert "CoGroup" not in found._jdf.queryExecution().toString()
 
 
+def test_block_holds_frequent_tokens_as_vectors(monkeypatch):
+    """Rows that share a token with all others are found without a list of them, with the same scores."""
+    rng = np.random.default_rng(5)
+    n = 400
+    sets = {c: [np.unique(np.r_[1, 2, rng.integers(3, 40, 6)]) if i % 9 else np.array([], np.int64) for i in range(n)] for c, _ in M.WEIGHTS}
+    size = rng.integers(0, 500, n).astype(np.float64)
+    targets = np.array([f"{i:03d}" for i in range(n)], object)
+    packed = {c: (np.array([len(x) for x in v]), np.concatenate(v)) for c, v in sets.items()}
+    block = M._Block(targets, size, packed)
+    assert all({1, 2} <= often.keys() and len(often) * n <= M.DENSE * len(tokens) for _, _, _, tokens, _, often in block.parts)
+    monkeypatch.setattr(M, "DENSE", 0)
+    plain = M._Block(targets, size, packed)
+    assert not any(often for *_, often in plain.parts)
+    rows = [{"size": int(size[i]) + 3, **{c: sets[c][i] if i % 4 else np.array([90 + i]) for c, _ in M.WEIGHTS}} for i in range(60)]
+    for row in rows:
+        assert block.best(row, 0.1) == plain.best(row, 0.1)
+
+
 def test_embedding_topk_blocks(spark, monkeypatch):
     monkeypatch.setattr(M, "LIST_ROWS", 3)
     monkeypatch.setattr(M, "ASKED_ROWS", 2)
