@@ -238,6 +238,19 @@ def test_block_holds_frequent_tokens_as_vectors(monkeypatch):
         assert block.best(row, 0.1) == plain.best(row, 0.1)
 
 
+def test_sections_are_placed_a_few_pairs_at_a_time():
+    import pyarrow as pa
+
+    section = lambda h, c: {"heading": h, "content": c, "line_start": 1, "line_end": 2}
+    pairs = [{"pair": i, "new_sections": [section("a", "x"), section("b", "one two three")], "old_sections": [section("a", "x"), section("c", "one two three")][:i % 3]}
+             for i in range(300)]
+    got = list(M._place(iter([pa.RecordBatch.from_pylist(pairs)])))
+    assert [len(set(b.column("pair").to_pylist())) for b in got] == [64, 64, 64, 64, 44]
+    rows = [(r["pair"], r["kind"], r["line_start"], r["similarity"]) for b in got for r in b.to_pylist()]
+    assert rows == [r for i in range(300) for r in (
+        (i, "unchanged", 1, None) if i % 3 else (i, "new", None, None), (i, "matched", 1, 1.0) if i % 3 == 2 else (i, "new", None, None))]
+
+
 def test_embedding_topk_blocks(spark, monkeypatch):
     monkeypatch.setattr(M, "LIST_ROWS", 3)
     monkeypatch.setattr(M, "ASKED_ROWS", 2)
