@@ -211,6 +211,18 @@ def test_match_candidates_do_not_grow_with_the_square(spark):
     assert [(r["new_profile"], r["base_profile"]) for r in pairs.collect()] == [("7", "copy")]
 
 
+def test_names_that_few_share_need_no_search_of_texts(spark, monkeypatch):
+    """Where names agree in rare tokens alone, the pairs of those are all that can reach the limit, however many texts are alike."""
+    def rows(n, side):
+        return spark.createDataFrame([(i, f"{side} {i} md{side}", f"# a\n\n## サマリー\n- w x y\n{'z' * (i % 5)}\n") for i in range(n)], "key bigint, name string, text string")
+
+    new, base = M.features(rows(200, "p"), "key", "name"), M.features(rows(120, "q"), "key", "name").withColumn("key", F.format_string("b/%03d", "key"))
+    monkeypatch.setattr(M, "profile_pairs", None)
+    found = {r["key"]: (r["target"], round(r["similarity"], 9)) for r in M.update_matches(new, base, many=3).collect()}
+    assert found == {i: (f"b/{i:03d}", 0.84) for i in range(120)}
+    assert M.name_bound(new, base) == 0.2 and M.name_bound(new, base, 3) == 0.0
+
+
 def test_nearest_below_repeats_neither_side(spark):
     docs = [(i, f"d {i} md", f"# a {i}\n\n## サマリー\n- w{i % 7} x y\n") for i in range(120)]
     f = M.features(spark.createDataFrame(docs, "key bigint, name string, text string"), "key", "name")
