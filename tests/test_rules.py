@@ -223,6 +223,17 @@ def test_names_that_few_share_need_no_search_of_texts(spark, monkeypatch):
     assert M.name_bound(new, base) == 0.2 and M.name_bound(new, base, 3) == 0.0
 
 
+def test_change_rows_read_the_sections_once(spark, tmp_path):
+    rows = [(p, "added", f"{i}. a", i, i) for p in (1, 2) for i in range(5 * p)] + [(1, "changed", f"c{i}", 1, 2) for i in range(2)] + [
+        (2, "kept", f"k{i}", 1, 2) for i in range(4)] + [(2, "unchanged", "u", 1, 2)]
+    spark.createDataFrame(rows, "pair int, kind string, heading string, line_start int, line_end int").write.parquet(f"{tmp_path}/d")
+    found = M.change_rows(spark.read.parquet(f"{tmp_path}/d"), "pair", 7, 2)
+    got = sorted((r["pair"], r["kind"], r["place"], r["heading"], r["line_start"], r["n"], r["is_primary"]) for r in found.collect())
+    assert got == [(1, "added", i + 1, f"{i}. a", i, 1, True) for i in range(5)] + [(1, "changed", i + 1, f"c{i}", 1, 1, True) for i in range(2)] + [
+        (2, "added", i + 1, f"{i}. a", i, 1, True) for i in range(7)] + [(2, "added", 8, None, None, 3, True), (2, "kept", 1, None, None, 4, False)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
 def test_nearest_below_repeats_neither_side(spark):
     docs = [(i, f"d {i} md", f"# a {i}\n\n## サマリー\n- w{i % 7} x y\n") for i in range(120)]
     f = M.features(spark.createDataFrame(docs, "key bigint, name string, text string"), "key", "name")
