@@ -223,6 +223,19 @@ def test_names_that_few_share_need_no_search_of_texts(spark, monkeypatch):
     assert M.name_bound(new, base) == 0.2 and M.name_bound(new, base, 3) == 0.0
 
 
+def test_sheet_lines_are_trimmed_without_patterns(spark):
+    """Trimming by a list of characters is the same as by their class, for every code point; no line of a sheet meets a pattern."""
+    from marginalia.functions import patterns as P
+    from marginalia.functions.text import strip
+
+    points = [(chr(i),) for i in range(1, 0x3100) if not 0xD800 <= i < 0xE000] + [(chr(i),) for i in (0xFEFF, 0x10000, 0x1F600, 0xE0020)]
+    c = spark.createDataFrame(points, "c string")
+    assert c.filter((strip(F.col("c")) == "") != F.col("c").rlike(f"^[{P.SPACE}]")).count() == 0
+    assert c.agg(F.count_if(strip(F.concat("c", F.lit("x y"), "c")) == "x y")).first()[0] == len(P.SPACES)
+    cut = c.select(C.split_sheet_by_size(F.col("c"), 100))
+    assert "regexp" not in cut._jdf.queryExecution().analyzed().toString()
+
+
 def test_change_rows_read_the_sections_once(spark, tmp_path):
     rows = [(p, "added", f"{i}. a", i, i) for p in (1, 2) for i in range(5 * p)] + [(1, "changed", f"c{i}", 1, 2) for i in range(2)] + [
         (2, "kept", f"k{i}", 1, 2) for i in range(4)] + [(2, "unchanged", "u", 1, 2)]
