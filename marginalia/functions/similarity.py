@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .patterns import SPACE, WORD
+from .patterns import WORD
 from .text import let, normalize_content
 
 
@@ -17,23 +20,27 @@ def lowered_set(items: Column) -> Column:
     return F.array_distinct(F.transform(items, F.lower))
 
 
-def space_word_set(c: Column) -> Column:
-    """Distinct lowered space-separated words of normalised text."""
-    words = F.split(F.lower(normalize_content(c)), f"[{SPACE}]+")
-    return F.array_distinct(F.filter(words, lambda w: w != ""))
+def space_word_set(normalised: Column) -> Column:
+    """Distinct lowered words of a normalised text, between whose words stands one space each."""
+    return F.array_distinct(F.filter(F.split(F.lower(normalised), " ", -1), lambda w: w != ""))
 
 
-def gram_set(c: Column) -> Column:
-    """Distinct lowered character 3-grams of normalised text, in linear time."""
-    return let(
-        F.split(F.lower(normalize_content(c)), "", -1),
-        lambda t: F.when(F.size(t) < 3, F.array().cast("array<string>")).otherwise(
-            F.array_distinct(F.transform(
-                F.slice(t, F.lit(3), F.greatest(F.size(t) - 2, F.lit(0))),
-                lambda x, i: F.concat(F.get(t, i), F.get(t, i + 1), x),
-            ))
-        ),
-    )
+def _grams(text: str) -> np.ndarray:
+    """Distinct character 3-grams of a text, each as one number of three code points."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.unique(c[:-2] << 42 | c[1:-1] << 21 | c[2:]) if len(c) > 2 else c[:0]
+
+
+@F.pandas_udf(StructType([StructField(c, IntegerType()) for c in ("shared", "left", "right")]))
+def gram_counts(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """How many distinct character 3-grams two texts share and have; a missing text has no counts."""
+    def count(x: str | None, y: str | None) -> tuple:
+        if x is None or y is None:
+            return None, None, None
+        left, right = _grams(x), _grams(y)
+        return len(np.intersect1d(left, right, assume_unique=True)), len(left), len(right)
+
+    return pd.DataFrame([count(x, y) for x, y in zip(a, b)], columns=["shared", "left", "right"], dtype="Int32")
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -77,17 +84,21 @@ def weighted_content_score(words: Column, grams: Column) -> Column:
 
 
 def content_similarity(a: Column, b: Column) -> Column:
-    def unequal(na: Column, nb: Column) -> Column:
-        words = jaccard(space_word_set(na), space_word_set(nb))
-        return let(gram_set(na), lambda ga: let(gram_set(nb), lambda gb: F.when(
-            (F.size(ga) == 0) | (F.size(gb) == 0), words
-        ).otherwise(weighted_content_score(words, jaccard(ga, gb)))))
+    """Shares of words and of character 3-grams of two texts, whose spaces count as one each."""
+    # Arrow tasks count the grams, so this is no expression for the inside of a lambda.
+    grams = gram_counts(F.lower(normalize_content(a)), F.lower(normalize_content(b)))
+
+    def unequal(na: Column, nb: Column, g: Column) -> Column:
+        return let(jaccard(space_word_set(na), space_word_set(nb)), lambda words: F.when(
+            (g["left"] == 0) | (g["right"] == 0), words
+        ).otherwise(weighted_content_score(words, ratio_of_counts(g["shared"], g["left"], g["right"]))))
 
-    return let(normalize_content(a), lambda na: let(normalize_content(b), lambda nb: (
+    texts = F.struct(normalize_content(a).alias("a"), normalize_content(b).alias("b"), grams.alias("g"))
+    return let(texts, lambda t: (
         F.when((a == "") | (b == ""), F.lit(0.0))
-        .when(na == nb, F.lit(1.0))
-        .when((na == "") | (nb == ""), F.lit(0.0))
-        .otherwise(unequal(na, nb)))))
+        .when(t["a"] == t["b"], F.lit(1.0))
+        .when((t["a"] == "") | (t["b"] == ""), F.lit(0.0))
+        .otherwise(unequal(t["a"], t["b"], t["g"]))))
 
 
 def dot(a: Column, b: Column) -> Column:

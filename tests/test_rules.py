@@ -236,6 +236,24 @@ def test_sheet_lines_are_trimmed_without_patterns(spark):
     assert "regexp" not in cut._jdf.queryExecution().analyzed().toString()
 
 
+def test_similarity_makes_no_array_of_characters(spark):
+    def grams(t):
+        t = " ".join(t.split()).lower()
+        return {t[i:i + 3] for i in range(len(t) - 2)}
+
+    rows = [("a  b c\u3000d", "A b c e"), ("\U0001f600x\U0001f601 yz", "x\U0001f601 y"), ("ab", "ab cd"), (None, "x"), ("", "x"), (" ", "x"), ("q", "Q")]
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", content_similarity(F.col("a"), F.col("b")).alias("s"))
+    for r in df.collect():
+        if not r["a"] or not r["a"].strip():
+            assert r["s"] == (None if r["a"] is None else 0.0)
+            continue
+        x, y = grams(r["a"]), grams(r["b"])
+        v, w = (set(t.lower().split()) for t in (r["a"], r["b"]))
+        words = len(v & w) / len(v | w)
+        assert abs(r["s"] - (words * 0.4 + len(x & y) / len(x | y) * 0.6 if x and y else words)) < 1e-12
+    assert ", , -1)" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_change_rows_read_the_sections_once(spark, tmp_path):
     rows = [(p, "added", f"{i}. a", i, i) for p in (1, 2) for i in range(5 * p)] + [(1, "changed", f"c{i}", 1, 2) for i in range(2)] + [
         (2, "kept", f"k{i}", 1, 2) for i in range(4)] + [(2, "unchanged", "u", 1, 2)]
