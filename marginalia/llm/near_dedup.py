@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType
 
-from .common import stored
+from .common import TEXTS, stored
 from .components import components
 
 WORDS = 5
@@ -206,7 +206,7 @@ def _judged(docs: DataFrame, similarity_pct: int = 85, bands: int = BANDS, rows:
     some = F.col("n_shingles") > 0
     signed = stored(flagged.mapInPandas(_signer(bands, rows), SIGNED).select(
         F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "rk", "n_shingles", F.when(some, F.col("h1")).alias("h1"),
-        F.when(some, F.col("h2")).alias("h2"), "keys", "sketch"), "signed")
+        F.when(some, F.col("h2")).alias("h2"), "keys", "sketch"), "signed", TEXTS)
     classes = stored(
         signed.filter("n_shingles > 0").groupBy("h1", "h2").agg(
             F.min("doc_id").alias("least"), F.min("rk").alias("rk"), F.min("n_shingles").alias("n"),

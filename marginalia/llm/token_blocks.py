@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..sources.sinks import scratch_path
-from .common import released
+from .common import TEXTS, arrow_rows, released, stored
 
 MAGIC = b"PFR1"
 BLOCK = 4096
@@ -35,6 +35,8 @@ PERCENTILE = 0.9
 SEGMENT = 1 << 18
 #: Bytes of text of a task: the more, the more of its words it has met before.
 PART = 32 << 20
+#: Segments that a Python worker decodes at once.
+SEGMENTS = 4
 #: Distinct pieces a task remembers.
 CACHE = 500_000
 
@@ -249,7 +251,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
     # A null among integers would make pandas turn them into floats.
     flagged = placed.select(
         F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text")
-    flagged.mapInPandas(released(_writer(tokenizer, end_id)), SEGMENT_SCHEMA).write.parquet(path)
+    with arrow_rows(docs.sparkSession, TEXTS):
+        flagged.mapInPandas(released(_writer(tokenizer, end_id)), SEGMENT_SCHEMA).write.parquet(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -308,7 +311,7 @@ def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     path = scratch_path(spark, "tokens")
     write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_digests(spark, path)
+    return stored(read_digests(spark, path), "digests", SEGMENTS)
 
 
 def op10(spark: SparkSession, folder: str) -> DataFrame:

@@ -470,6 +470,31 @@ def test_token_blocks(spark, docs, none, tmp_path):
     assert token_blocks.read_digests(spark, str(tmp_path / "n")).count() == 0
 
 
+def test_workers_hold_few_texts(spark, monkeypatch):
+    """All texts of a task at once would be held by both ends of a worker's stream."""
+    def watched(make):
+        def made(*args):
+            run = make(*args)
+
+            def work(batches):
+                def few():
+                    for batch in batches:
+                        assert len(batch) <= 1000, f"{len(batch)} rows at once"
+                        yield batch
+
+                yield from run(few())
+
+            return work
+
+        return made
+
+    monkeypatch.setattr(token_blocks, "_writer", watched(token_blocks._writer))
+    monkeypatch.setattr(near_dedup, "_signer", watched(near_dedup._signer))
+    many = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), F.col("id").cast("string")).alias("text"))
+    assert token_blocks.encoded(spark, many).count() == 3000
+    assert near_dedup.near_duplicates(many).filter("kept").count() == 3000
+
+
 def test_pieces_encode_as_whole_texts():
     import public_tokenizers
     encoder = token_blocks.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
