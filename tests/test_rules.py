@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,6 +293,45 @@ def test_block_holds_frequent_tokens_as_vectors(monkeypatch):
         assert block.best(row, 0.1) == plain.best(row, 0.1)
 
 
+def _search_sets(rng, n, name):
+    """Token sets of rows: an own name token next to a frequent one, summaries and headings of frequent and of rare tokens."""
+    return {"n": [np.unique(np.r_[1, name + i]) for i in range(n)],
+            "s": [np.unique(np.r_[rng.integers(0, 6, 3), rng.integers(10, 400, rng.integers(0, 9))]) for _ in range(n)],
+            "h": [np.unique(np.r_[1, 2, rng.integers(3, 300, rng.integers(0, 4))]) for _ in range(n)]}
+
+
+def test_rows_whose_name_gives_a_high_score_are_not_compared_with_all(monkeypatch):
+    """Scores and targets are those of all pairs, also in small parts; only rows without a high score see all rows of a block."""
+    rng = np.random.default_rng(8)
+    n, size = 1500, rng.integers(50, 900, 1500).astype(np.float64)
+    base = _search_sets(rng, n, 1000)
+    targets = np.array([f"{i:04d}" for i in range(n)], object)
+    rows = pd.DataFrame({"key": range(90), "size": size[:90] + 7, **{c: v[:90] for c, v in base.items()}})
+    other = _search_sets(rng, 90, 9000)
+    for c in base:  # the last thirty share neither name nor text with a row
+        rows[c] = [v if i < 60 else other[c][i] for i, v in enumerate(rows[c])]
+    share = lambda a, b: len(set(a) & set(b)) / max(len(set(a) | set(b)), 1)
+    want = []
+    for row in rows.itertuples():
+        scores = [share(row.n, base["n"][i]) * 0.20 + share(row.s, base["s"][i]) * 0.40 + share(row.h, base["h"][i]) * 0.30
+                  + (1 - abs(row.size - size[i]) / max(row.size, size[i])) * 0.10 for i in range(n)]
+        want.append((max(scores), targets[int(np.argmax(scores))]))
+    looked = []
+    scan = M._Block._scan
+    monkeypatch.setattr(M._Block, "_scan", lambda self, asked, i, *a: (looked.append(i), scan(self, asked, i, *a)))
+    for met in (M.MET, 200):
+        monkeypatch.setattr(M, "MET", met)
+        asked, looked[:] = M._Asked(rows), []
+        blocks = [M._Block(targets[at], size[at], {c: (np.array([len(v[i]) for i in at]), np.concatenate([v[i] for i in at])) for c, v in base.items()})
+                  for at in (np.arange(0, n, 2), np.arange(1, n, 2))]
+        for block in blocks:
+            block.meet_by_name(asked)
+        for block in blocks:
+            block.search(asked)
+        assert [(round(s, 9), t) for s, t in zip(asked.score, asked.target)] == [(round(s, 9), t) for s, t in want]
+        assert set(looked) <= set(range(60, 90))
+
+
 def test_sections_are_placed_a_few_pairs_at_a_time():
     import pyarrow as pa
 
